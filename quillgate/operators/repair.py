@@ -17,34 +17,42 @@ STRUCTURED_REASON = "structured_regeneration"
 # -- utterance issues --------------------------------------------------------
 
 
-def utterance_issue(value: Column, malformed: Column, min_words: int = MIN_WORDS) -> Column:
-    """First issue of a parsed line, null when it is fine.
+def classify_records(parsed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Add ``issue``, the first issue of a parsed line (columns ``_v`` and
+    ``_malformed``) or null.
 
     A field that is present but null is not missing; a null utterance, or one
-    that is not text, is empty.
+    that is not text, is empty.  What several rules need is computed once in
+    its own column.
     """
-    utterance = F.coalesce(text.strip(val.text_field(value, "utterance")), F.lit(""))
-    n = text.word_count(utterance)
-    return (
-        F.when(malformed, F.lit("malformed_json"))
-        .when(~val.has_field(value, "utterance"), F.lit("missing_utterance_field"))
-        .when(utterance == "", F.lit("empty_utterance"))
+    v = F.col("_v")
+    facts = parsed.withColumn("_text", text.strip(val.text_field(v, "utterance"))).withColumns({
+        "_words": F.coalesce(text.word_count(F.col("_text")), F.lit(0)),
+        "_has_utterance": val.has_field(v, "utterance"),
+        "_has_kpis": val.has_field(v, "kpis_used"),
+        "_has_class": val.has_field(v, "complexity"),
+    })
+    n = F.col("_words")
+    issue = (
+        F.when(F.col("_malformed"), F.lit("malformed_json"))
+        .when(~F.col("_has_utterance"), F.lit("missing_utterance_field"))
+        .when(n == 0, F.lit("empty_utterance"))
         .when(n < min_words, F.concat(F.lit("too_short_"), n.cast("string"), F.lit("_words")))
-        .when(~val.has_field(value, "kpis_used"), F.lit("missing_kpis_metadata"))
-        .when(~val.has_field(value, "complexity"), F.lit("missing_complexity"))
+        .when(~F.col("_has_kpis"), F.lit("missing_kpis_metadata"))
+        .when(~F.col("_has_class"), F.lit("missing_complexity"))
+    )
+    return facts.withColumn("issue", issue).drop(
+        "_text", "_words", "_has_utterance", "_has_kpis", "_has_class"
     )
-
-
-def classify_records(parsed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Add ``issue`` to parsed lines (columns ``_v`` and ``_malformed``)."""
-    return parsed.withColumn("issue", utterance_issue(F.col("_v"), F.col("_malformed"), min_words))
 
 
 def issue_counts(classified: DataFrame, issue: str = "issue") -> DataFrame:
+    """Records per issue.  Fine rows drop out after the count: a filter on
+    ``issue`` would move below it and evaluate all rules a second time."""
     return (
-        classified.filter(F.col(issue).isNotNull())
-        .groupBy(issue)
-        .agg(F.count(F.lit(1)).alias("records"))
+        classified.groupBy(issue)
+        .agg(F.count_if(F.col(issue).isNotNull()).alias("records"))
+        .filter("records > 0")
     )
 
 
@@ -61,13 +69,12 @@ def issue_examples(classified: DataFrame, n: int = 3, issue: str = "issue") -> D
     """First ``n`` records per issue and how many more there are.
 
     The rank limit is applied before the shuffle, so a frequent issue sends
-    ``n`` rows per task.
+    ``n`` rows per task.  The input is read twice; give it a written table.
     """
     label = F.coalesce(F.col("record_id"), F.concat(F.lit("index-"), F.col("index").cast("string")))
     first = W.partitionBy(issue).orderBy("index")
     shown = (
-        classified.filter(F.col(issue).isNotNull())
-        .select(issue, "index", label.alias("_label"))
+        classified.select(issue, "index", label.alias("_label"))
         .withColumn("_rn", F.row_number().over(first))
         .filter(F.col("_rn") <= n)
         .groupBy(issue)
@@ -159,18 +166,29 @@ def audit_row(
 # -- structured-output issues ------------------------------------------------
 
 
-def structured_issue(value: Column) -> Column:
-    """First reason to extract again, null when there is none."""
-    output = extraction.output_value(value)
-    kind = F.schema_of_variant(output)
-    status = val.text_field(value, "structured_status")
-    return (
-        F.when(~val.has_field(value, "utterance"), F.lit("missing_utterance"))
-        .when(extraction.output_is_bad_text(value), F.lit("structured_output_not_json"))
-        .when(F.coalesce(kind, F.lit("VOID")) == "VOID", F.lit("missing_structured_output"))
+def classify_structured(df: DataFrame, value: str = "_v") -> DataFrame:
+    """Add ``issue``, the first reason to extract a parsed record again."""
+    v = F.col(value)
+    facts = df.withColumn("_text", val.text_field(v, "structured_output")).withColumn(
+        "_parsed", val.parse_exact(text.strip(F.col("_text")))
+    ).withColumn(
+        "_output",
+        F.when(F.col("_text").isNotNull(), F.col("_parsed")).otherwise(
+            val.field(v, "structured_output")
+        ),
+    )
+    output, status = F.col("_output"), val.text_field(v, "structured_status")
+    issue = (
+        F.when(~val.has_field(v, "utterance"), F.lit("missing_utterance"))
+        .when(
+            F.col("_text").isNotNull() & F.col("_parsed").isNull(),
+            F.lit("structured_output_not_json"),
+        )
+        .when(output.isNull() | F.is_variant_null(output), F.lit("missing_structured_output"))
         .when(~F.coalesce(val.is_valid_output(output), F.lit(False)), F.lit("invalid_structured_output"))
         .when(~status.eqNullSafe(F.lit(extraction.COMPLETED)), F.lit("incomplete_status"))
     )
+    return facts.withColumn("issue", issue).drop("_text", "_parsed", "_output")
 
 
 def typed_structured_issue() -> Column:

@@ -204,7 +204,7 @@ select "index", record_id from d where doc_id < coalesce(
 
 ORACLES["id_mismatch"] = f"""with {D}
 select "index", record_id as planned_id, {rid('doc_id + 2')} as found_id from d
-where regexp_matches(text, '[<>]')"""
+where regexp_matches(text, '[!"]')"""
 
 ORACLES["stage_handoff"] = """select count(*) as planned, count(l.doc_id) as available,
   count(*) - count(l.doc_id) as missing, count(*) = count(l.doc_id) as complete
@@ -360,8 +360,8 @@ p as (select record_id, doc_id, {lit(prompts.EXTRACT_USER.rstrip())} || {NL} ||
 c as (select prompt, min(fa) as cached from p join l using (doc_id) group by prompt)
 select record_id,
   case when cached is not null then trim(cached, {WS})
-    when not contains(prompt, '>') then 'answer ' || md5(prompt) || ' of ' || length(prompt) end as response,
-  case when cached is null and contains(prompt, '>') then 'ValueError: refused' end as error
+    when not contains(prompt, '!') then 'answer ' || md5(prompt) || ' of ' || length(prompt) end as response,
+  case when cached is null and contains(prompt, '!') then 'ValueError: refused' end as error
 from p left join c using (prompt)"""
 
 CLASS = """case when error is null then null
@@ -369,15 +369,15 @@ CLASS = """case when error is null then null
   when lower(error) like '%401%' or lower(error) like '%unauthorized%' then 'auth'
   when lower(error) like '%429%' or lower(error) like '%rate limit%' then 'rate_limit'
   else 'fatal' end"""
-ATTEMPTS = f"""at as (select cast({b.REQUEST_SQL} as varchar) as request_id, event_id as attempt,
+ATTEMPTS = f"""att as (select cast({b.REQUEST_SQL} as varchar) as request_id, event_id as attempt,
   {b.ENDPOINT_SQL} as endpoint, {b.ERROR_SQL} as error from events)"""
 ORACLES["error_classes"] = f"""with {ATTEMPTS}
-select {CLASS} as error_class, count(*) as attempts from at where error is not null group by 1"""
+select {CLASS} as error_class, count(*) as attempts from att where error is not null group by 1"""
 
 ORACLES["retry_frontier"] = f"""with {ATTEMPTS},
 r as (select *, row_number() over (partition by request_id order by attempt desc) as rn,
-  count(*) over (partition by request_id, endpoint) as tries from at),
-v as (select request_id, count(distinct endpoint) as visited from at group by request_id),
+  count(*) over (partition by request_id, endpoint) as tries from att),
+v as (select request_id, count(distinct endpoint) as visited from att group by request_id),
 z as (select r.request_id, endpoint, tries, visited, {CLASS} as cls from r join v using (request_id) where rn = 1),
 y as (select *, case when cls is null then 'done' when cls = 'fatal' then 'fatal'
   when cls = 'timeout' and tries < 5 then 'retry_same'
@@ -457,7 +457,7 @@ select issue, count(*) as records,
 ORACLES["jsonl_tolerant"] = f'with {D}, {LINES} select "index", not fine as malformed, issue from li'
 
 REPAIR = f"""rp as (select d.*, l.toxic, l.fa,
-  case when {words('text')} < 30 then 'short' when regexp_matches(text, '[<>]') then 'marks' end as issue
+  case when {words('text')} < 30 then 'short' when regexp_matches(text, '[!=]') then 'marks' end as issue
   from d left join l using (doc_id)),
 ro as (select *, case when issue is not null then case when toxic is null then 'no answer'
   when toxic = 1 then 'refused' end end as repair_error from rp)"""

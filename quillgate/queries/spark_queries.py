@@ -231,7 +231,7 @@ def prefix_commit(spark, sf):
 
 @query
 def id_mismatch(spark, sf):
-    found = F.when(F.rlike("text", F.lit("[<>]")), text.record_id(F.col("doc_id") + 2)).when(
+    found = F.when(F.rlike("text", F.lit('[!"]')), text.record_id(F.col("doc_id") + 2)).when(
         F.col("n_chars") >= 60, F.col("record_id")
     )
     records = b.documents(spark, sf).select("index", found.alias("record_id"))
@@ -399,7 +399,7 @@ def answer(prompt: str) -> str:
 
 
 def refuse_or_answer(prompt: str) -> str:
-    if ">" in prompt:
+    if "!" in prompt:
         raise ValueError("refused")
     return answer(prompt)
 
@@ -506,9 +506,7 @@ def output_from_string(spark, sf):
 
 @query
 def structured_issues(spark, sf):
-    return structured_lines(spark, sf).select(
-        "record_id", repair.structured_issue(F.col("v")).alias("issue")
-    )
+    return repair.classify_structured(structured_lines(spark, sf), "v").select("record_id", "issue")
 
 
 @query
@@ -545,7 +543,8 @@ def issue_summary(spark, sf):
 
 @query
 def issue_examples(spark, sf):
-    return repair.issue_examples(classified(spark, sf))
+    marked = materialise(classified(spark, sf).select("index", "record_id", "issue"), "issues")
+    return repair.issue_examples(marked)
 
 
 def repair_input(spark, sf):
@@ -561,7 +560,7 @@ def repair_input(spark, sf):
     docs = b.documents(spark, sf).withColumn("repair_history", history).withColumn(
         "issue",
         F.when(text.word_count(F.col("utterance")) < 30, "short")
-        .when(F.rlike("utterance", F.lit("[<>]")), "marks"),
+        .when(F.rlike("utterance", F.lit("[!=]")), "marks"),
     )
     return docs.select("doc_id", "record_id", "utterance", "complexity", "issue", "repair_history")
 
@@ -815,8 +814,9 @@ def jsonl_tolerant(spark, sf):
 @query
 def incremental_stream(spark, sf):
     """Stream the documents through the utterance check into a table."""
-    source = spark.readStream.schema(b.table(spark, sf, "documents").schema).parquet(
-        f"{sf}/documents.parquet"
+    source = (
+        spark.readStream.schema(b.table(spark, sf, "documents").schema)
+        .option("pathGlobFilter", "documents.parquet").parquet(sf)
     )
 
     def check(batch):

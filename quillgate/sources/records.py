@@ -34,25 +34,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def corrupt_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """File and text of the lines the strict reader would refuse."""
-    probe = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
-    return (
-        spark.read.schema(probe)
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-        .select("*", F.col("_metadata.file_path").alias("file"))
-        .filter(F.col("_corrupt").isNotNull())
-        .select("file", F.col("_corrupt").alias("line"))
+def corrupt_lines(spark: SparkSession, path: str) -> DataFrame:
+    """File and text of the lines that are not a JSON object; blank lines are
+    no lines here."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), text.strip(F.col("value")).alias("line")
     )
+    return lines.filter((F.col("line") != "") & ~val.is_object(val.parse_exact(F.col("line"))))
 
 
 def read_jsonl_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Strict reader whose error names file and text of one broken line."""
-    bad = corrupt_lines(spark, path, schema).first()
+    bad = corrupt_lines(spark, path).first()
     if bad:
         raise ValueError(f"broken line in {bad['file']}: {bad['line'][:200]}")
-    return spark.read.schema(schema).json(path)
+    return read_jsonl(spark, path, schema)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
