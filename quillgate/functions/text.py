@@ -6,17 +6,32 @@ record format does, so strip, word count and line splitting name the full set.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
-# The white-space characters that strip and word splitting honour.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+# Code points of the white space that strip and word splitting
+# honour.
+WHITESPACE = "".join(
+    map(
+        chr,
+        [
+            0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+            0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009,
+            0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+        ],
+    )
 )
 
-# The line ends that line splitting honours.
-LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+# The same set as a regular expression: Unicode white space and four separators.
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+
+# Code points that end a line in line splitting, besides "\r\n".
+LINE_ENDS = "".join(
+    map(chr, [0x0A, 0x0D, 0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x85, 0x2028, 0x2029])
+)
+LINE_END = "\r\n|[" + LINE_ENDS + "]"
 
 FENCE = "```"
 
@@ -35,14 +50,24 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def words(text: Column) -> Column:
+    """White-space separated words as an array."""
+    return F.array_remove(F.split(text, WHITESPACE_RUN), "")
+
+
 def word_count(text: Column) -> Column:
-    """Number of white-space separated words."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
+    return F.size(words(text))
 
 
-def words(text: Column) -> Column:
-    """White-space separated words as an array."""
-    return F.regexp_extract_all(text, F.lit(f"[^{WHITESPACE}]+"), F.lit(0))
+def contains_any(text: Column, needles: Iterable[str]) -> Column:
+    """Whether one of a few substrings occurs; byte search, no regex."""
+    return reduce(
+        lambda acc, needle: acc | F.contains(text, F.lit(needle)), needles, F.lit(False)
+    )
+
+
+def has_line_end(text: Column) -> Column:
+    return contains_any(text, LINE_ENDS)
 
 
 def strip_fences(raw: Column) -> Column:
@@ -80,10 +105,7 @@ def error_class(error: Column) -> Column:
     lowered = F.lower(error)
     out = F.when(error.isNull(), F.lit(None).cast("string"))
     for name, needles in ERROR_CLASSES:
-        hit = F.lit(False)
-        for needle in needles:
-            hit = hit | F.contains(lowered, F.lit(needle))
-        out = out.when(hit, F.lit(name))
+        out = out.when(contains_any(lowered, needles), F.lit(name))
     return out.otherwise(F.lit(FATAL))
 
 

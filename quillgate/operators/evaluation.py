@@ -213,12 +213,23 @@ def quality_gate(evaluations: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def gold_overlap(found: DataFrame, gold: DataFrame, items: str = "items") -> DataFrame:
-    """Set overlap per record with hand-made samples: precision and recall."""
-    both = found.select("record_id", F.array_distinct(items).alias("_found")).join(
-        gold.select("record_id", F.array_distinct(items).alias("_gold")), "record_id"
+def gold_overlap(
+    found: DataFrame, gold: DataFrame, items: Callable[[Column], Column], value: str = "value"
+) -> DataFrame:
+    """Set overlap per record with hand-made samples: precision and recall.
+
+    ``items`` turns a value into the array to compare; it runs after the join,
+    so only on records that have a sample.
+    """
+    both = found.select("record_id", F.col(value).alias("_f")).join(
+        gold.select("record_id", F.col(value).alias("_g")), "record_id"
+    )
+    sets = both.select(
+        "record_id",
+        F.array_distinct(items(F.col("_f"))).alias("_found"),
+        F.array_distinct(items(F.col("_g"))).alias("_gold"),
     )
-    return both.select(
+    return sets.select(
         "record_id",
         F.size("_found").cast("bigint").alias("n_found"),
         F.size("_gold").cast("bigint").alias("n_gold"),

@@ -70,13 +70,15 @@ JUDGE_SCHEDULE = (
     "action? Begin the answer with YES or NO and give a short reason."
 )
 
-# Word range and forbidden marks the prompts ask for.
+# Word range, forbidden marks and forbidden words the prompts ask
+# for.
 CONTRACT_WORDS = {"simple": (25, 50), "medium": (50, 75), "complex": (75, 110)}
 CONTRACT_MARKS = {
-    "simple": r"[<>]|==|(^|\s)(AND|OR)(\s|$)",
-    "medium": r"[<>]|&&|\|\|",
-    "complex": r"[<>!]|&&|\|\|",
+    "simple": ["<", ">", "=="],
+    "medium": ["<", ">", "&&", "||"],
+    "complex": ["<", ">", "!", "&&", "||"],
 }
+CONTRACT_BANNED = {"simple": ["AND", "OR"], "medium": [], "complex": []}
 
 
 def by_value(key: Column, table: dict, default) -> Column:
@@ -200,17 +202,29 @@ def schedule_prompt(utterance: Column, schedule: Column) -> Column:
 def audit_contract(records: DataFrame) -> DataFrame:
     """What the generation prompt asks for, checked: length, marks, one line."""
     complexity, utterance = F.col("complexity"), F.col("utterance")
-    low = by_value(complexity, {k: v[0] for k, v in CONTRACT_WORDS.items()}, CONTRACT_WORDS["complex"][0])
-    high = by_value(complexity, {k: v[1] for k, v in CONTRACT_WORDS.items()}, CONTRACT_WORDS["complex"][1])
-    marks = F.rlike(utterance, F.lit(CONTRACT_MARKS["complex"]))
-    for name in ("medium", "simple"):
-        marks = F.when(complexity == name, F.rlike(utterance, F.lit(CONTRACT_MARKS[name]))).otherwise(marks)
-    counted = records.withColumn("n_words", text.word_count(utterance))
-    return counted.withColumns({
-        "bad_length": ~F.col("n_words").between(low, high),
-        "has_marks": marks,
-        "many_lines": F.rlike(text.strip(utterance), F.lit(text.LINE_END)),
-    }).withColumn("in_contract", ~(F.col("bad_length") | F.col("has_marks") | F.col("many_lines")))
+
+    def marked(name: str) -> Column:
+        found = text.contains_any(utterance, CONTRACT_MARKS[name])
+        for word in CONTRACT_BANNED[name]:
+            found = found | F.array_contains("_words", word)
+        return found
+
+    def by_class(value) -> Column:
+        return (
+            F.when(complexity == "simple", value("simple"))
+            .when(complexity == "medium", value("medium"))
+            .otherwise(value("complex"))
+        )
+
+    counted = records.withColumn("_words", text.words(utterance)).withColumns({
+        "n_words": F.size("_words"),
+        "has_marks": by_class(marked),
+        "many_lines": text.has_line_end(text.strip(utterance)),
+    })
+    in_range = by_class(lambda name: F.col("n_words").between(*CONTRACT_WORDS[name]))
+    return counted.drop("_words").withColumn("bad_length", ~in_range).withColumn(
+        "in_contract", ~(F.col("bad_length") | F.col("has_marks") | F.col("many_lines"))
+    )
 
 
 def contract_summary(audited: DataFrame) -> DataFrame:

@@ -111,14 +111,11 @@ def quality_gate(spark, sf):
 
 @query
 def gold_overlap(spark, sf):
-    def items(c):
-        return text.words(F.lower(F.col(c)))
-
     gold = b.table(spark, sf, "benchmark").select(
-        text.record_id(F.col("item_id")).alias("record_id"), items("text").alias("items")
+        text.record_id(F.col("item_id")).alias("record_id"), F.col("text").alias("value")
     )
-    found = b.documents(spark, sf).select("record_id", items("text").alias("items"))
-    return evaluation.gold_overlap(found, gold)
+    found = b.documents(spark, sf).select("record_id", F.col("text").alias("value"))
+    return evaluation.gold_overlap(found, gold, lambda c: text.words(F.lower(c)))
 
 
 # -- gate --------------------------------------------------------------------
