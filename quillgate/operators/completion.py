@@ -196,6 +196,10 @@ def attach_completions(
         key="_request",
         order="_rank",
     ).drop("_rank")
-    joined = spread_join(keyed, outcome, "_request", "left", spread_by=[prompt]).drop("_request")
-    unanswered = F.col(prompt).isNotNull() & F.col(response).isNull() & F.col(error).isNull()
-    return joined.withColumn(error, F.when(unanswered, F.lit(NO_ANSWER)).otherwise(F.col(error)))
+    # the flag lets the prompt text drop out before the shuffle when unused
+    asked = keyed.withColumn("_asked", F.col(prompt).isNotNull())
+    joined = spread_join(asked, outcome, "_request", "left", spread_by=["_asked"])
+    unanswered = F.col("_asked") & F.col(response).isNull() & F.col(error).isNull()
+    return joined.withColumn(
+        error, F.when(unanswered, F.lit(NO_ANSWER)).otherwise(F.col(error))
+    ).drop("_request", "_asked")

@@ -89,6 +89,17 @@ def roll_up(entries: dict[str, Column], missing: Column) -> dict[str, Column]:
     }
 
 
+def is_valid_typed(output: Column) -> Column:
+    """Whether a typed ``structured_output`` has both fields and no null
+    statement."""
+    statements = output["normal_statements"]
+    return (
+        statements.isNotNull()
+        & ~F.exists(statements, lambda s: s.isNull())
+        & output["schedule"].isNotNull()
+    )
+
+
 def evaluate(
     df: DataFrame,
     responses: dict[str, str],
@@ -105,11 +116,7 @@ def evaluate(
     if missing is None:
         missing = output.isNull()
     if valid is None:
-        valid = (
-            output["normal_statements"].isNotNull()
-            & ~F.exists(output["normal_statements"], lambda s: s.isNull())
-            & output["schedule"].isNotNull()
-        )
+        valid = is_valid_typed(output)
     entries = {"schema": schema_metric(valid)}
     for m in judged_metrics(thresholds):
         entries[m.name] = verdict_metric(F.col(responses[m.name]), m.threshold, m.score)

@@ -35,7 +35,7 @@ def resolve_distribution(n_examples: int | None = None, custom: dict | None = No
 
 def distribution_rows(df: DataFrame, n: str) -> DataFrame:
     """The even split for every row of ``df``: adds ``ord, complexity, n_class``."""
-    share, extra = F.floor(F.col(n) / len(COMPLEXITIES)), F.col(n) % len(COMPLEXITIES)
+    share, extra = F.expr(f"{n} div {len(COMPLEXITIES)}"), F.col(n) % len(COMPLEXITIES)
     classes = F.array(*[
         F.struct(
             F.lit(pos).alias("ord"),
@@ -111,7 +111,7 @@ def next_batch(todo: DataFrame, n: int, in_task: int = 100_000, bucket: int = BU
     """
     if n <= in_task:
         return todo.orderBy("index").limit(n)
-    keyed = todo.select("index", F.floor(F.col("index") / bucket).alias("_bucket"))
+    keyed = todo.select("index", F.expr(f"index div {bucket}").alias("_bucket"))
     running = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = (
         keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

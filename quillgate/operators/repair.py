@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillgate.functions import text, validation as val
-from quillgate.operators import extraction
+from quillgate.operators import evaluation, extraction
 
 MIN_WORDS = 10
 UTTERANCE_REASON = "utterance_regeneration"
@@ -197,12 +197,7 @@ def typed_structured_issue() -> Column:
     return (
         F.when(F.col("utterance").isNull(), F.lit("missing_utterance"))
         .when(output.isNull(), F.lit("missing_structured_output"))
-        .when(
-            output["normal_statements"].isNull()
-            | output["schedule"].isNull()
-            | F.exists(output["normal_statements"], lambda s: s.isNull()),
-            F.lit("invalid_structured_output"),
-        )
+        .when(~evaluation.is_valid_typed(output), F.lit("invalid_structured_output"))
         .when(
             ~F.col("structured_status").eqNullSafe(F.lit(extraction.COMPLETED)),
             F.lit("incomplete_status"),

@@ -16,6 +16,9 @@ TONES = ["formal", "direct", "casual"]
 #: largest profile table, in bytes of text, that is broadcast
 BROADCAST_BYTES = 64 << 20
 
+#: largest profile table that one task numbers
+ONE_TASK_ROWS = 1_000_000
+
 
 def assign_tone(tone: Column, record_id: Column, seed: int | str) -> Column:
     """The given tone, else one drawn per record."""
@@ -53,13 +56,20 @@ def draw_positions(record_id: Column, n: Column, seed: int | str, table_rows: in
     return F.aggregate(F.sequence(F.lit(1), n), F.array().cast("array<bigint>"), add_draw)
 
 
-def with_positions(profiles: DataFrame, buckets: int = 256) -> DataFrame:
-    """Dense 0-based ``position`` by ``profile_id`` without one global window.
+def with_positions(
+    profiles: DataFrame, rows: int, one_task: int = ONE_TASK_ROWS, buckets: int = 256
+) -> DataFrame:
+    """Dense 0-based ``position`` by ``profile_id``.
 
-    Approximate quantiles give bucket bounds, bucket counts give each bucket
-    its start, and rows are ranked inside their bucket.  The result does not
-    depend on where the bounds fall.
+    A table of up to ``one_task`` rows is numbered in one window.  Of a larger
+    one approximate quantiles give bucket bounds, bucket counts give each
+    bucket its start, and rows are ranked inside their bucket; the result does
+    not depend on where the bounds fall.
     """
+    if rows <= one_task:
+        return profiles.withColumn(
+            "position", F.row_number().over(W.orderBy("profile_id")).cast("bigint") - 1
+        )
     grid = [i / buckets for i in range(1, buckets)]
     bounds = profiles.agg(F.percentile_approx("profile_id", grid, 10_000)).first()[0] or []
     cuts = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<bigint>")
@@ -108,7 +118,7 @@ def sample_profiles(
     drawn = records.withColumn("_n", n).withColumn(
         "_picks", draw_positions(F.col("record_id"), F.col("_n"), seed, rows)
     )
-    dim = with_positions(profiles).select(
+    dim = with_positions(profiles, rows).select(
         "position",
         F.struct(
             "profile_id",

@@ -12,7 +12,6 @@ from quillgate import schemas
 from quillgate.functions import text, validation as val
 from quillgate.operators import extraction, offsets, prompts, refine, repair, sampling
 from quillgate.operators.completion import Backend, attach_completions
-from quillgate.operators.joins import last_per_key
 from quillgate.plans import stages
 from quillgate.session import configure, materialise
 from quillgate.sources import records as rec, state
@@ -129,7 +128,7 @@ def repair_structured(
     incomplete; returns the audit row (dry run: the counts)."""
     configure(spark)
     source = state.current_output(spark, store)
-    records = stages.stage_records(spark, store, schemas.STRUCTURED)
+    records = stages.stage_records(spark, store, schemas.STRUCTURED, indexed=True)
     marked = records.withColumn("issue", repair.typed_structured_issue())
     if dry_run:
         return repair.issue_counts(marked)
@@ -154,7 +153,7 @@ def repair_structured(
     output = f"{store}/data-{run.run_id}"
     good = marked.filter(F.col("issue").isNull())
     both = good.unionByName(fixed)
-    rec.append_table(both, f"{output}/records", schemas.STRUCTURED)
+    rec.append_table(both, f"{output}/records", stages.with_index(schemas.STRUCTURED))
     rec.read_table(spark, f"{source}/plan", schemas.PLAN).write.parquet(f"{output}/plan")
     audit = repair.audit_row(
         good.select("issue", "structured_status").unionByName(fixed.select("issue", "structured_status")),
@@ -184,8 +183,8 @@ def refine_low_scores(
     replace both tables; returns old and new score per refined record (dry
     run: the counts)."""
     configure(spark)
-    evals = stages.stage_records(spark, evaluations, schemas.EVALUATIONS)
-    records = stages.stage_records(spark, structured, schemas.STRUCTURED)
+    evals = stages.stage_records(spark, evaluations, schemas.EVALUATIONS, indexed=True)
+    records = stages.stage_records(spark, structured, schemas.STRUCTURED, indexed=True)
     candidates = refine.pair_candidates(evals, records, min_score)
     if dry_run:
         return refine.candidate_counts(candidates)
@@ -204,12 +203,15 @@ def refine_low_scores(
         .select("record_id", "utterance", "structured_output"),
         "refined",
     )
+    # an evaluation that occurs twice is refined twice; one result counts
+    fresh = fresh.dropDuplicates(["record_id"])
     rated = stages.judge(fresh, f"{evaluations}/attempts", run, judge_backends, parallelism)
-    changes = rated.filter(F.col("answer_error").isNull())
+    changes = rated.filter(F.col("answer_error").isNull()).join(
+        fresh.select("record_id", "structured_output"), "record_id"
+    )
     if keep_best:
         changes = refine.keep_better(changes, evals)
-    # an evaluation that occurs twice is refined twice; one result counts
-    changes = materialise(changes.dropDuplicates(["record_id"]), "refined-scored")
+    changes = materialise(changes, "refined-scored")
     delta = materialise(refine.score_delta(evals, changes), "refined-delta")
 
     for store, table, columns, schema in (
@@ -218,7 +220,9 @@ def refine_low_scores(
          schemas.EVALUATIONS),
     ):
         source, output = state.current_output(spark, store), f"{store}/data-{run.run_id}"
-        rec.append_table(refine.upsert(table, changes, columns), f"{output}/records", schema)
+        rec.append_table(
+            refine.upsert(table, changes, columns), f"{output}/records", stages.with_index(schema)
+        )
         rec.read_table(spark, f"{source}/plan", schemas.PLAN).write.parquet(f"{output}/plan")
         state.publish(spark, store, run, output)
     return delta

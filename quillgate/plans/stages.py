@@ -17,8 +17,17 @@ from quillgate.sources import records as rec, state
 from quillgate.sources.state import Run
 
 
-def stage_records(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
-    return rec.read_table(spark, f"{state.current_output(spark, store)}/records", schema)
+def with_index(schema: T.StructType) -> T.StructType:
+    """Stage tables carry the plan position, so that no stage has to join the
+    plan back to wide records."""
+    return T.StructType([schemas.PLAN["index"]] + schema.fields)
+
+
+def stage_records(
+    spark: SparkSession, store: str, schema: T.StructType, indexed: bool = False
+) -> DataFrame:
+    path = f"{state.current_output(spark, store)}/records"
+    return rec.read_table(spark, path, with_index(schema) if indexed else schema)
 
 
 def stage_plan(spark: SparkSession, store: str) -> DataFrame:
@@ -37,8 +46,9 @@ def stage_progress(spark: SparkSession, store: str) -> DataFrame:
     return planning.progress(stage_status(spark, store))
 
 
-def _todo(plan: DataFrame, records: DataFrame, max_records: int | None) -> DataFrame:
-    todo = planning.pending(plan, records)
+def _todo(work: DataFrame, done: DataFrame, max_records: int | None) -> DataFrame:
+    """Rows of ``work`` (plan or indexed records) that are not done."""
+    todo = planning.pending(work, done)
     return planning.next_batch(todo, max_records) if max_records is not None else todo
 
 
@@ -50,7 +60,7 @@ def _commit(
     results = materialise(results, run.stage)
     good = planning.committed_prefix(results, error) if prefix_only else results
     good = good.filter(F.col(error).isNull())
-    rec.append_table(good, f"{out}/records", schema)
+    rec.append_table(good, f"{out}/records", with_index(schema))
     failed = results.filter(F.col(error).isNotNull())
     log = rec.read_table(results.sparkSession, f"{out}/status", schemas.PLAN_STATUS)
     turn = (log.agg(F.max("seq")).first()[0] or 0) + 1
@@ -129,15 +139,14 @@ def extract(
 ) -> DataFrame:
     """Structured output for every utterance; returns the structured table."""
     configure(spark)
-    utterances = stage_records(spark, upstream, schemas.UTTERANCES)
+    utterances = stage_records(spark, upstream, schemas.UTTERANCES, indexed=True)
     out = state.open_run(spark, store, run, resume)
     if not resume:
         planning.next_stage_plan(stage_plan(spark, upstream), utterances, allow_partial).write.parquet(
             f"{out}/plan"
         )
     have = rec.read_table(spark, f"{out}/records", schemas.STRUCTURED)
-    todo = _todo(stage_plan(spark, store), have, max_records).drop("complexity")
-    work = todo.join(utterances, "record_id").withColumn(
+    work = _todo(utterances, have, max_records).withColumn(
         "prompt",
         prompts.request_text(prompts.extraction_messages(prompts.extraction_user(F.col("utterance")))),
     )
@@ -157,19 +166,29 @@ def judge(
     backends: list[Backend],
     parallelism: int | None = None,
 ) -> DataFrame:
-    """Evaluation columns for records with ``utterance, structured_output``."""
+    """Evaluation of records with ``utterance, structured_output``: adds the
+    scores to the narrow columns (all but those two)."""
     asked = evaluation.judge_requests(records, run.thresholds)
     answers = attach_completions(
         asked, "prompt", backends, attempts,
         backend_id=run.backend_id, run_id=run.run_id, parallelism=parallelism,
     )
-    names = [m.name for m in evaluation.judged_metrics()]
+    # what the scores need of the output is one flag each, taken before the join
+    output = F.col("structured_output")
+    flags = records.withColumns({
+        "_no_output": output.isNull(), "_valid": evaluation.is_valid_typed(output)
+    })
+    keep = [c for c in ("index", "record_id") if c in records.columns]
     scored = evaluation.evaluate(
-        records.join(evaluation.pivot_answers(answers), "record_id", "left"),
-        {n: f"answer_{n}" for n in names},
+        flags.select(*keep, "_no_output", "_valid").join(
+            evaluation.pivot_answers(answers), "record_id", "left"
+        ),
+        {m.name: f"answer_{m.name}" for m in evaluation.judged_metrics()},
+        missing=F.col("_no_output"),
+        valid=F.col("_valid"),
         thresholds=run.thresholds,
     )
-    return scored.withColumn("evaluated_at", run.now())
+    return scored.drop("_no_output", "_valid").withColumn("evaluated_at", run.now())
 
 
 def evaluate(
@@ -186,15 +205,14 @@ def evaluate(
 ) -> DataFrame:
     """Schema and judge scores for every structured record."""
     configure(spark)
-    structured = stage_records(spark, upstream, schemas.STRUCTURED)
+    structured = stage_records(spark, upstream, schemas.STRUCTURED, indexed=True)
     out = state.open_run(spark, store, run, resume)
     if not resume:
         planning.next_stage_plan(stage_plan(spark, upstream), structured, allow_partial).write.parquet(
             f"{out}/plan"
         )
     have = rec.read_table(spark, f"{out}/records", schemas.EVALUATIONS)
-    todo = _todo(stage_plan(spark, store), have, max_records).drop("complexity")
-    work = todo.join(structured, "record_id")
+    work = _todo(structured, have, max_records)
     scored = judge(work, f"{store}/attempts", run, backends, parallelism)
     _commit(scored, out, schemas.EVALUATIONS, run, "answer_error", False)
     return stage_records(spark, store, schemas.EVALUATIONS)
