@@ -77,9 +77,16 @@ def _dispatch(endpoints: list[BatchFn]) -> BatchFn:
     return call
 
 
-def request_id(prompt: Column, backend_id: str) -> Column:
-    """Cache key: same prompt to the same model and settings, same id."""
-    return F.sha2(F.concat(F.lit(backend_id), F.lit("\x1f"), prompt), 256)
+def request_id(prompt: Column, backend_id: str, turn: Column | None = None) -> Column:
+    """Cache key: same prompt to the same model and settings, same id.
+
+    ``turn`` counts how often a used-up answer has to be asked for anew; turn 0
+    is the plain id.
+    """
+    parts = [F.lit(backend_id)]
+    if turn is not None:
+        parts.append(F.when(turn > 0, F.concat(F.lit("#"), turn.cast("string"))).otherwise(F.lit("")))
+    return F.sha2(F.concat(*parts, F.lit("\x1f"), prompt), 256)
 
 
 def classify_errors(attempts: DataFrame) -> DataFrame:
@@ -140,6 +147,7 @@ def attach_completions(
     max_tries: int = MAX_TRIES,
     parallelism: int | None = None,
     max_rounds: int | None = None,
+    turn: Column | None = None,
 ) -> DataFrame:
     """Add the (stripped) response to each prompt, and the error where it failed.
 
@@ -148,7 +156,7 @@ def attach_completions(
     ``parallelism`` bounds how many calls run at the same time.
     """
     spark = df.sparkSession
-    keyed = df.withColumn("_request", request_id(F.col(prompt), backend_id))
+    keyed = df.withColumn("_request", request_id(F.col(prompt), backend_id, turn))
     calls = rec.read_table(spark, store, schemas.ATTEMPTS)
 
     cached = calls.filter(F.col("error").isNull()).select(F.col("request_id").alias("_request"))

@@ -1,6 +1,7 @@
 """Repair of utterances, repair of structured output, refinement.
 
-Each job writes its result to a new folder; the tables it read stay as they
+They exist because an earlier answer would not do, so they ask anew: their
+calls are cached for the run alone.  Each job writes its result to a new folder; the tables it read stay as they
 are until the new run row is published.
 """
 
@@ -82,7 +83,7 @@ def repair_dataset(
     )
     answered = materialise(
         attach_completions(
-            asked, "prompt", backends, f"{output}/attempts", backend_id=run.backend_id,
+            asked, "prompt", backends, f"{output}/attempts", backend_id=run.own_backend_id,
             run_id=run.run_id, response="utterance", parallelism=parallelism,
         ),
         "repair-answers",
@@ -140,7 +141,7 @@ def repair_structured(
         )),
     )
     answered = attach_completions(
-        asked, "prompt", backends, f"{store}/attempts", backend_id=run.backend_id,
+        asked, "prompt", backends, f"{store}/attempts", backend_id=run.own_backend_id,
         run_id=run.run_id, parallelism=parallelism,
     )
     new = val.structured_output(extraction.parse_completion(F.col("response")))
@@ -193,7 +194,7 @@ def refine_low_scores(
     )
     answered = attach_completions(
         asked.drop("structured_output", "metric_results", "overall_score"), "prompt",
-        extract_backends, f"{structured}/attempts", backend_id=run.backend_id,
+        extract_backends, f"{structured}/attempts", backend_id=run.own_backend_id,
         run_id=run.run_id, parallelism=parallelism,
     )
     new = val.structured_output(extraction.parse_completion(F.col("response")))
@@ -205,7 +206,8 @@ def refine_low_scores(
     )
     # an evaluation that occurs twice is refined twice; one result counts
     fresh = fresh.dropDuplicates(["record_id"])
-    rated = stages.judge(fresh, f"{evaluations}/attempts", run, judge_backends, parallelism)
+    rated = stages.judge(fresh, f"{evaluations}/attempts", run, judge_backends, parallelism,
+                         run.own_backend_id)
     changes = rated.filter(F.col("answer_error").isNull()).join(
         fresh.select("record_id", "structured_output"), "record_id"
     )

@@ -150,9 +150,18 @@ def extract(
         "prompt",
         prompts.request_text(prompts.extraction_messages(prompts.extraction_user(F.col("utterance")))),
     )
+    turn = None
+    if resume:
+        # a cached answer that did not pass the check is not used again
+        log = rec.read_table(spark, f"{out}/status", schemas.PLAN_STATUS)
+        failed = log.filter("status = 'failed'").groupBy("record_id").agg(
+            F.count(F.lit(1)).alias("_failed")
+        )
+        work = work.join(failed, "record_id", "left")
+        turn = F.coalesce("_failed", F.lit(0))
     answered = attach_completions(
         work, "prompt", backends, f"{store}/attempts",
-        backend_id=run.backend_id, run_id=run.run_id, parallelism=parallelism,
+        backend_id=run.backend_id, run_id=run.run_id, parallelism=parallelism, turn=turn,
     )
     structured = extraction.attach_structured(answered, "response", "error")
     _commit(structured, out, schemas.STRUCTURED, run, "structured_error", prefix_only)
@@ -165,13 +174,14 @@ def judge(
     run: Run,
     backends: list[Backend],
     parallelism: int | None = None,
+    backend_id: str | None = None,
 ) -> DataFrame:
     """Evaluation of records with ``utterance, structured_output``: adds the
     scores to the narrow columns (all but those two)."""
     asked = evaluation.judge_requests(records, run.thresholds)
     answers = attach_completions(
         asked, "prompt", backends, attempts,
-        backend_id=run.backend_id, run_id=run.run_id, parallelism=parallelism,
+        backend_id=backend_id or run.backend_id, run_id=run.run_id, parallelism=parallelism,
     )
     # what the scores need of the output is one flag each, taken before the join
     output = F.col("structured_output")

@@ -390,15 +390,16 @@ def contract_summary(spark, sf):
 # -- completions -------------------------------------------------------------
 
 
-def answer(prompt: str) -> str:
-    """Deterministic backend answer used by the queries."""
-    return f" answer {hashlib.md5(prompt.encode()).hexdigest()} of {len(prompt)}\n"
+def hashing_backend(refused: str | None = None) -> completion.Backend:
+    """Deterministic backend of the queries.  The nested function travels to
+    the workers by value, so they need not have this package."""
 
+    def answer(prompt: str) -> str:
+        if refused and refused in prompt:
+            raise ValueError("refused")
+        return f" answer {hashlib.md5(prompt.encode()).hexdigest()} of {len(prompt)}\n"
 
-def refuse_or_answer(prompt: str) -> str:
-    if "!" in prompt:
-        raise ValueError("refused")
-    return answer(prompt)
+    return completion.backend_from_function("only", answer)
 
 
 @query
@@ -416,7 +417,7 @@ def completion_attach(spark, sf):
         cached.withColumns({"run_id": F.lit("earlier"), "attempt": F.lit(1), "endpoint": F.lit(0)}),
         store, schemas.ATTEMPTS,
     )
-    backend = completion.backend_from_function("only", refuse_or_answer)
+    backend = hashing_backend("!")
     out = completion.attach_completions(
         asked, "prompt", [backend], store, backend_id=backend_id, run_id="now"
     )
@@ -441,7 +442,7 @@ def generate_stage(spark, sf):
     total = b.table(spark, sf, "documents").count()
     store = scratch_path(spark, "generate")
     run = Run("run-1", "generate", "part", "model-a", 0.85)
-    backend = completion.backend_from_function("only", answer)
+    backend = hashing_backend()
     out = stages.generate(
         spark, b.profiles(spark, sf), store, run, [backend], n_examples=total, seed=SEED
     )

@@ -29,6 +29,11 @@ class Run:
     def backend_id(self) -> str:
         return f"{self.model}@{self.temperature}"
 
+    @property
+    def own_backend_id(self) -> str:
+        """As ``backend_id`` for calls that no other run may answer."""
+        return f"{self.backend_id}/{self.run_id}"
+
     def now(self):
         return F.lit(self.at).cast("timestamp_ntz")
 
