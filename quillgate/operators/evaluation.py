@@ -106,11 +106,13 @@ def evaluate(
     missing: Column | None = None,
     valid: Column | None = None,
     thresholds: dict[str, float] | None = None,
+    metrics: list[Metric] | None = None,
 ) -> DataFrame:
     """Score records that carry ``structured_output`` and judge answers.
 
     ``responses`` maps a metric to its answer column.  ``valid`` and
-    ``missing`` default to what the typed ``structured_output`` says.
+    ``missing`` default to what the typed ``structured_output`` says.  Other
+    judged metrics than the two shipped ones go into ``metrics``.
     """
     output = F.col("structured_output")
     if missing is None:
@@ -118,7 +120,7 @@ def evaluate(
     if valid is None:
         valid = is_valid_typed(output)
     entries = {"schema": schema_metric(valid)}
-    for m in judged_metrics(thresholds):
+    for m in metrics or judged_metrics(thresholds):
         entries[m.name] = verdict_metric(F.col(responses[m.name]), m.threshold, m.score)
     # metric entries are named first so that they are computed once
     named = df.withColumn("_missing", missing).withColumns(
@@ -138,7 +140,7 @@ def evaluate_variant(df: DataFrame, value: Column, responses: dict[str, str]) ->
     )
 
 
-def judge_requests(df: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
+def judge_requests(df: DataFrame, metrics: list[Metric] | None = None) -> DataFrame:
     """One ``(record_id, metric, prompt)`` row per judged metric and record
     that has output."""
     asked = F.array(*[
@@ -146,16 +148,16 @@ def judge_requests(df: DataFrame, thresholds: dict[str, float] | None = None) ->
             F.lit(m.name).alias("metric"),
             m.prompt(F.col("utterance"), F.col("structured_output")).alias("prompt"),
         )
-        for m in judged_metrics(thresholds)
+        for m in metrics or judged_metrics()
     ])
     return df.filter(F.col("structured_output").isNotNull()).select("record_id", F.inline(asked))
 
 
-def pivot_answers(answers: DataFrame) -> DataFrame:
+def pivot_answers(answers: DataFrame, metrics: list[Metric] | None = None) -> DataFrame:
     """Back to one row per record: ``answer_<metric>``, ``answer_error``."""
     columns = [
         F.max(F.when(F.col("metric") == m.name, F.col("response"))).alias(f"answer_{m.name}")
-        for m in judged_metrics()
+        for m in metrics or judged_metrics()
     ]
     return answers.groupBy("record_id").agg(*columns, F.max("error").alias("answer_error"))
 
@@ -163,11 +165,11 @@ def pivot_answers(answers: DataFrame) -> DataFrame:
 # -- reports -----------------------------------------------------------------
 
 
-def metric_rows(evaluations: DataFrame) -> DataFrame:
+def metric_rows(evaluations: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
     """Long form: one row per record and metric that was measured."""
     cells = F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(f"metric_results.{m}").alias("entry"))
-        for m in METRICS
+        for m in metrics
     ])
     return (
         evaluations.select("record_id", F.inline(cells))

@@ -156,6 +156,7 @@ def repair_structured(
     both = good.unionByName(fixed)
     rec.append_table(both, f"{output}/records", stages.with_index(schemas.STRUCTURED))
     rec.read_table(spark, f"{source}/plan", schemas.PLAN).write.parquet(f"{output}/plan")
+    stages.write_status(both, output, run)
     audit = repair.audit_row(
         good.select("issue", "structured_status").unionByName(fixed.select("issue", "structured_status")),
         "issue", F.col("structured_status") == extraction.FAILED, run.run_id, run.stage, run.now(),
@@ -225,6 +226,18 @@ def refine_low_scores(
         rec.append_table(
             refine.upsert(table, changes, columns), f"{output}/records", stages.with_index(schema)
         )
+        stages.write_status(table, output, run)
         rec.read_table(spark, f"{source}/plan", schemas.PLAN).write.parquet(f"{output}/plan")
         state.publish(spark, store, run, output)
     return delta
+
+
+def recalculate_offsets(spark: SparkSession, lines_path: str, plan: DataFrame, output: str) -> DataFrame:
+    """Plan with the byte offsets of an edited JSON-lines file, written to
+    ``output``; returns the positions that changed."""
+    configure(spark)
+    found = materialise(offsets.file_offsets(spark, lines_path), "file-offsets")
+    if found.select("file").distinct().count() > 1:
+        raise ValueError("offsets of a plan refer to one file")
+    offsets.update_offsets(plan, found).write.parquet(output)
+    return offsets.changed_offsets(plan, found)

@@ -76,6 +76,20 @@ def _commit(
     return results
 
 
+def write_status(records: DataFrame, out: str, run: Run) -> None:
+    """Status of a rewritten stage table, from its own rows."""
+    status = F.lit("completed")
+    if "structured_status" in records.columns:
+        status = F.coalesce("structured_status", status)
+    rec.append_table(
+        records.select("record_id", "index", status.alias("status")).withColumns(
+            {"seq": F.lit(1), "updated_at": run.now()}
+        ),
+        f"{out}/status",
+        schemas.PLAN_STATUS,
+    )
+
+
 def add_generation_prompt(
     todo: DataFrame, profiles: DataFrame, seed: int | str, tone: Column | None = None
 ) -> DataFrame:
@@ -178,7 +192,7 @@ def judge(
 ) -> DataFrame:
     """Evaluation of records with ``utterance, structured_output``: adds the
     scores to the narrow columns (all but those two)."""
-    asked = evaluation.judge_requests(records, run.thresholds)
+    asked = evaluation.judge_requests(records)
     answers = attach_completions(
         asked, "prompt", backends, attempts,
         backend_id=backend_id or run.backend_id, run_id=run.run_id, parallelism=parallelism,

@@ -202,6 +202,8 @@ def test_repair_structured(spark, profiles, tmp_path):
     assert after[2]["structured_status"] == "completed"
     assert after[3]["structured_status"] == "failed" and after[3]["structured_error"]
     assert after[0]["repair_history"] is None
+    status = dict(rows(stages.stage_status(spark, x).groupBy("status").count(), "status", "count"))
+    assert status == {"completed": 5, "failed": 1}
 
 
 def test_repair_dataset(spark, profiles, tmp_path):
@@ -240,3 +242,32 @@ def test_repair_dataset(spark, profiles, tmp_path):
     got = spark.read.parquet(f"{out}/plan").orderBy("index").collect()
     assert [r["offset"] for r in got] == want + [None]
     assert rows(spark.read.parquet(f"{out}/failures"), "record_id", "error") == [("rule-000005", "ValueError: refused")]
+
+
+def test_recalculate_offsets(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    path.write_text('{"a":1}\n{"a":"' + chr(0xE9) + '"}\n{}\n')
+    plan = spark.createDataFrame([(0, 0), (1, 8), (2, 17), (3, 99)], "index long, offset long")
+    changed = side_jobs.recalculate_offsets(spark, str(path), plan, f"{tmp_path}/plan")
+    assert rows(changed, "index", "new_offset") == [(2, 19)]
+    assert rows(spark.read.parquet(f"{tmp_path}/plan"), "index", "offset") == [(0, 0), (1, 8), (2, 19), (3, 99)]
+
+
+def test_own_metric(spark):
+    from quillgate.operators import evaluation
+    short = evaluation.Metric(
+        "brief", lambda u, s: F.concat(F.lit("Brief? "), u), 1.0, lambda r: F.length(r) < 4
+    )
+    df = spark.createDataFrame(
+        [("a", "u", ([], "")), ("b", "v", ([], "x"))],
+        "record_id string, utterance string, structured_output struct<normal_statements:array<string>,schedule:string>",
+    )
+    asked = evaluation.judge_requests(df, [short])
+    assert rows(asked, "record_id", "metric", "prompt") == [("a", "brief", "Brief? u"), ("b", "brief", "Brief? v")]
+    answers = asked.withColumns({"response": F.col("record_id"), "error": F.lit(None).cast("string")}).withColumn(
+        "response", F.when(F.col("record_id") == "a", "ok").otherwise("too long")
+    )
+    got = evaluation.evaluate(
+        df.join(evaluation.pivot_answers(answers, [short]), "record_id"), {"brief": "answer_brief"}, metrics=[short]
+    )
+    assert rows(got, "record_id", "overall_score", "metric_results.brief.passed") == [("a", 100.0, True), ("b", 50.0, False)]
