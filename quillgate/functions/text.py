@@ -6,7 +6,7 @@ record format does, so strip, word count and line splitting name the full set.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -70,29 +70,38 @@ def has_line_end(text: Column) -> Column:
     return contains_any(text, LINE_ENDS)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once.  Expressions inside array
+    lambdas and conditional branches are otherwise evaluated per mention."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def strip_fences(raw: Column) -> Column:
     """Remove the Markdown fence around a fenced payload.
 
     Only a payload that *opens* with a fence is touched: its first line goes
     whole, then every trailing line that starts with a fence.
     """
-    text = strip(raw)
-    lines = F.split(F.regexp_replace(text, LINE_END, "\n"), "\n")
-    rest = F.slice(lines, F.lit(2), F.size(lines))
-    kept = F.coalesce(
-        F.array_max(
+
+    def body(lines: Column) -> Column:
+        last = F.array_max(
             F.transform(
-                rest,
-                lambda line, pos: F.when(F.startswith(strip(line), F.lit(FENCE)), F.lit(0))
-                .otherwise(pos + 1),
+                lines,
+                lambda line, pos: F.when(
+                    (pos == 0) | F.startswith(strip(line), F.lit(FENCE)), F.lit(0)
+                ).otherwise(pos),
             )
-        ),
-        F.lit(0),
-    )
-    return F.when(
-        F.startswith(text, F.lit(FENCE)),
-        strip(F.array_join(F.slice(rest, F.lit(1), kept), "\n")),
-    ).otherwise(text)
+        )
+        return strip(F.array_join(F.slice(lines, F.lit(2), last), "\n"))
+
+    def unwrap(text: Column) -> Column:
+        # the regex is slow and other line ends than a line feed are rare
+        plain = F.when(
+            contains_any(text, LINE_ENDS[1:]), F.regexp_replace(text, LINE_END, "\n")
+        ).otherwise(text)
+        return F.when(F.startswith(text, F.lit(FENCE)), let(F.split(plain, "\n"), body)).otherwise(text)
+
+    return let(strip(raw), unwrap)
 
 
 def is_yes(response: Column) -> Column:
