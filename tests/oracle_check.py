@@ -23,7 +23,10 @@ TABLES = (
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+        path = Path(sf) / f"{t}.parquet"
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            con.execute(f"create view {t} as select * from read_parquet('{files}')")
     return con
 
 
