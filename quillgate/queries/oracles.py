@@ -385,6 +385,20 @@ y as (select *, case when cls is null then 'done' when cls = 'fatal' then 'fatal
 select request_id, action, cast(case action when 'retry_same' then endpoint
   when 'rotate' then (endpoint + 1) % 8 end as bigint) as next_endpoint from y"""
 
+EXTRACT_REQUEST = f"""'system:' || {NL} || {lit(prompts.EXTRACT_SYSTEM)} || {NL2}
+  || 'user:' || {NL} || {lit(prompts.EXTRACT_USER.rstrip())} || {NL} || text"""
+ORACLES["extract_stage"] = f"""with {D}, q as (select record_id, {EXTRACT_REQUEST} as request from d)
+select record_id, 'completed' as structured_status, md5(request) as statement,
+  length(request)::varchar as schedule from q where not contains(request, '!')"""
+
+COIN = "case when md5({}) < '9' then 100.0e0 else 0.0e0 end"
+ORACLES["evaluate_stage"] = f"""with {D}, q as (select record_id, doc_id % 13 = 0 as gone,
+    case when doc_id % 13 <> 0 then {COIN.format(FAITH_PROMPT)} end as f,
+    case when doc_id % 13 <> 0 then {COIN.format(SCHEDULE_PROMPT)} end as s from d)
+select record_id, case when gone then 0.0e0 else 100.0e0 end as schema_score, f as faithfulness_score,
+  s as schedule_score, case when gone then 0.0e0 else round((100.0e0 + f + s) / 3.0e0, 2) end as overall_score,
+  coalesce(f = 100 and s = 100, false) as overall_pass from q"""
+
 # -- extraction --------------------------------------------------------------
 
 TRIM_RAW = f"trim(raw, {WS})"
@@ -501,6 +515,7 @@ o as (select "index", text, coalesce(sum(strlen(line) + 1) over before, 0)::bigi
   coalesce(sum(length(line) + 1) over before, 0)::bigint as old_offset
   from ln window before as (order by "index" rows between unbounded preceding and 1 preceding))"""
 ORACLES["record_offsets"] = f'with {D}, {OFFSETS} select "index", new_offset as "offset" from o'
+ORACLES["file_offsets"] = ORACLES["record_offsets"]
 ORACLES["offset_diff"] = f"""with {D}, {OFFSETS} select "index", old_offset, new_offset from o
 where contains(text, chr(10)) and old_offset <> new_offset"""
 ORACLES["offset_update"] = f"""with {D}, {OFFSETS},

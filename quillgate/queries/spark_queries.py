@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from quillgate import schemas
 from quillgate.functions import text, validation as val
@@ -13,10 +13,10 @@ from quillgate.operators import (
     completion, evaluation, extraction, gate, offsets, planning, prompts, refine, repair, sampling,
 )
 from quillgate.operators.joins import last_per_key
-from quillgate.plans import side_jobs, stages
+from quillgate.plans import stages
 from quillgate.queries import bindings as b
 from quillgate.session import configure, materialise, scratch_path
-from quillgate.sources import records as rec
+from quillgate.sources import records as rec, state
 from quillgate.sources.state import Run
 from quillgate.streaming import incremental
 
@@ -451,6 +451,59 @@ def generate_stage(spark, sf):
     )
 
 
+def stage_input(spark, records, schema, name):
+    """A finished stage over the documents, for the stage after it."""
+    store = scratch_path(spark, name)
+    output = state.open_run(spark, store, Run("run-0", name, "documents", "model-a"))
+    rec.append_table(records, f"{output}/records", stages.with_index(schema))
+    records.select("index", "record_id", "complexity").write.parquet(f"{output}/plan")
+    return store
+
+
+def structuring_backend(refused: str) -> completion.Backend:
+    def structure(prompt: str) -> str:
+        if refused in prompt:
+            raise ValueError("refused")
+        statement = hashlib.md5(prompt.encode()).hexdigest()
+        return f'```json\n{{"normal_statements": ["{statement}"], "schedule": "{len(prompt)}"}}\n```'
+
+    return completion.backend_from_function("structure", structure)
+
+
+@query
+def extract_stage(spark, sf):
+    """The whole extract stage; documents with a ``!`` are refused."""
+    upstream = stage_input(spark, b.documents(spark, sf), schemas.UTTERANCES, "utterances")
+    store = scratch_path(spark, "extract")
+    out = stages.extract(
+        spark, upstream, store, Run("run-1", "extract", upstream, "model-a"), [structuring_backend("!")]
+    )
+    return out.select(
+        "record_id",
+        "structured_status",
+        F.col("structured_output.normal_statements")[0].alias("statement"),
+        F.col("structured_output.schedule").alias("schedule"),
+    )
+
+
+def coin_backend() -> completion.Backend:
+    def judge(prompt: str) -> str:
+        return "Yes" if hashlib.md5(prompt.encode()).hexdigest() < "9" else "No: gap"
+
+    return completion.backend_from_function("judge", judge)
+
+
+@query
+def evaluate_stage(spark, sf):
+    """The whole evaluate stage over the structured documents."""
+    upstream = stage_input(spark, b.structured(spark, sf), schemas.STRUCTURED, "structured")
+    store = scratch_path(spark, "evaluate")
+    out = stages.evaluate(
+        spark, upstream, store, Run("run-1", "evaluate", upstream, "model-a"), [coin_backend()]
+    )
+    return flat_scores(out)
+
+
 # -- extraction --------------------------------------------------------------
 
 
@@ -575,7 +628,9 @@ def repaired(spark, sf):
         )
         return new.drop("toxic", "faithful_answer")
 
-    return repair.repair_rows(repair_input(spark, sf), F.col("issue").isNotNull(), regenerate)
+    # both branches read the input: it is classified once and written
+    marked = materialise(repair_input(spark, sf), "classified")
+    return repair.repair_rows(marked, F.col("issue").isNotNull(), regenerate)
 
 
 @query
@@ -677,6 +732,28 @@ def record_offsets(spark, sf):
     return offsets.record_offsets(utterance_lines(spark, sf))
 
 
+@query
+def file_offsets(spark, sf):
+    """Offsets of written files, strung together in file order."""
+    path = scratch_path(spark, "offset-lines")
+    utterance_lines(spark, sf).repartitionByRange(8, "index").sortWithinPartitions("index").select(
+        "value"
+    ).write.text(path)
+    found = materialise(offsets.file_offsets(spark, path), "found-offsets")
+    sizes = spark.read.option("lineSep", "\n").text(path).groupBy(
+        F.col("_metadata.file_path").alias("file")
+    ).agg(F.count(F.lit(1)).alias("_lines"), F.sum(F.octet_length("value") + 1).alias("_bytes"))
+    earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(
+        "file",
+        F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_lines"),
+        F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_bytes"),
+    )
+    return found.join(before, "file").select(
+        (F.col("index") + F.col("_lines")).alias("index"), (F.col("offset") + F.col("_bytes")).alias("offset")
+    )
+
+
 def stale_plan(spark, sf):
     """Offsets that count characters; they go wrong after the first
     multi-byte character.  The plan lacks the single-line documents."""
@@ -812,9 +889,9 @@ def jsonl_tolerant(spark, sf):
 @query
 def incremental_stream(spark, sf):
     """Stream the documents through the utterance check into a table."""
-    source = (
-        spark.readStream.schema(b.table(spark, sf, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet").parquet(sf)
+    # a stream source wants a folder or a pattern, not the name of one file
+    source = spark.readStream.schema(b.table(spark, sf, "documents").schema).parquet(
+        f"{sf}/documents[.]parquet"
     )
 
     def check(batch):

@@ -29,6 +29,16 @@ def append_new(batch: DataFrame, batch_id: int, sink: str, schema: T.StructType,
     rec.conform(fresh, schema).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
 
+def jsonl_stream(
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    """JSON lines that keep arriving as files; a broken line fails the batch."""
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)
+
+
 def stream_stage(
     source: DataFrame,
     stage: Callable[[DataFrame], DataFrame],

@@ -70,7 +70,7 @@ def test_stream_writes_each_record_once(spark, tmp_path):
     src, sink, state = (f"{tmp_path}/{n}" for n in ("src", "sink", "state"))
 
     def go():
-        source = spark.readStream.schema(FLAT).json(src)
+        source = incremental.jsonl_stream(spark, src, FLAT, max_files=1)
         incremental.stream_stage(source, stage, sink, state, FLAT).awaitTermination()
         return incremental.sink_table(spark, sink, FLAT)
 
