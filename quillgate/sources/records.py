@@ -139,7 +139,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return conform(spark.range(0).drop("id"), schema)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

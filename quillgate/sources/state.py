@@ -39,11 +39,19 @@ class Run:
 
 
 def run_row(spark: SparkSession, run: Run, output: str, seq: int) -> DataFrame:
-    return spark.createDataFrame(
-        [(run.run_id, seq, run.stage, run.input, output, run.model, float(run.temperature),
-          dict(run.thresholds), run.at)],
-        schemas.RUNS,
+    limits = [F.lit(part) for item in run.thresholds.items() for part in item]
+    row = spark.range(1).select(
+        F.lit(run.run_id).alias("run_id"),
+        F.lit(seq).alias("seq"),
+        F.lit(run.stage).alias("stage"),
+        F.lit(run.input).alias("input"),
+        F.lit(output).alias("output"),
+        F.lit(run.model).alias("model"),
+        F.lit(run.temperature).alias("temperature"),
+        F.create_map(*limits).alias("thresholds"),
+        run.now().alias("started_at"),
     )
+    return rec.conform(row, schemas.RUNS)
 
 
 def runs_table(spark: SparkSession, store: str) -> DataFrame:
