@@ -7,7 +7,7 @@ only constants, prompt texts and the damaged input texts are shared.
 from __future__ import annotations
 
 from quillgate.functions.text import WHITESPACE
-from quillgate.operators import evaluation, extraction, prompts, sampling
+from quillgate.operators import evaluation, extraction, prompts
 from quillgate.queries import bindings as b
 from quillgate.queries.spark_queries import BATCH, SEED, TOP
 
