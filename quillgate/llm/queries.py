@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import chat, common as c, language_id, mixing, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, language_id, mixing, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,8 @@ select conv_id, count(*) as n_turns,
     (sum(chars) + 4)::bigint as formatted_chars
 from sized group by conv_id
 """
+
+
+@query
+def op5_projection_forest(spark, sf):
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
