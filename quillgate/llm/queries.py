@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import ann, chat, common as c, language_id, mixing, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, language_id, mixing, pii, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,17 @@ from sized group by conv_id
 @query
 def op5_projection_forest(spark, sf):
     return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op3_skip_chain(spark, sf):
+    docs = table(spark, sf, "documents")
+    got = pii.find(docs, pii.train(docs), keep=[F.col("doc_id")])
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
+    return got.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+                      pii.listed(F.col("spans")).alias("spans"))
