@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import ann, chat, common as c, language_id, mixing, pii, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, language_id, mixing, near_dedup, pii, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,8 @@ def op3_skip_chain(spark, sf):
     counts = [count(k) for k in pii.KINDS]
     return got.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
                       pii.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op1_weighted_minhash(spark, sf):
+    return near_dedup.classes(table(spark, sf, "documents"))
