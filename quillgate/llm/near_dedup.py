@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from quillgate.llm import common as c
 from quillgate.llm.components import components
@@ -27,16 +27,19 @@ SIMILARITY = 0.8
 AGREE = 33
 WORD_BUCKETS = 1 << 16
 _TABLE_BITS = 16
+#: bytes sketched at a time: they fit the processor's cache
+SKETCH_BYTES = 1 << 18
 
 
 def _draws() -> tuple[np.ndarray, ...]:
-    """r, 1 / r, beta and ln c for each of 2**16 places, and a multiplier for
-    each hash: a shingle's place in the table depends on shingle and hash."""
+    """r, 1 / r, beta and ln c - r + r * beta for each of 2**16 places, and a
+    multiplier for each hash: a shingle's place depends on shingle and hash."""
     draw = np.random.default_rng(20)
     n = 1 << _TABLE_BITS
     r = draw.gamma(2.0, 1.0, n)
-    return (r.astype(np.float32), (1 / r).astype(np.float32), draw.random(n).astype(np.float32),
-            np.log(draw.gamma(2.0, 1.0, n)).astype(np.float32), draw.integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    beta = draw.random(n)
+    level = np.log(draw.gamma(2.0, 1.0, n)) - r + r * beta
+    return (r.astype(np.float32), (1 / r).astype(np.float32), beta.astype(np.float32), level.astype(np.float32), draw.integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
 
 
 _DRAWS = _draws()
@@ -100,13 +103,14 @@ def sketches(part: c.Slice, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros((len(first), HASHES), np.uint32)
     if not len(first):
         return owner[first], out
-    r, inverse, beta, ln_c, multiplier = _DRAWS
+    r, inverse, beta, level, multiplier = _DRAWS
     ln_w = np.log(weight)
     group = np.repeat(np.arange(len(first)), sizes)
     for k in range(HASHES):
         place = (s * multiplier[k]) >> np.uint64(64 - _TABLE_BITS)
+        place = place.astype(np.int64)
         step = np.floor(ln_w * inverse[place] + beta[place])
-        a = ln_c[place] - r[place] * (step + 1 - beta[place])
+        a = level[place] - r[place] * step
         win = np.flatnonzero(a == np.minimum.reduceat(a, first)[group])
         win = win[np.flatnonzero(np.diff(group[win], prepend=-1))]  # of equal ones the least shingle
         mark = c.mix(s[win] ^ (step[win].astype(np.int64).astype(np.uint64) << np.uint64(48)))
@@ -130,7 +134,7 @@ def sketched(docs: DataFrame, idf: np.ndarray, doc_id: str, text: str) -> DataFr
 
     def run(batches):
         for batch in batches:
-            for part in c.slices(c.as_bytes(batch.column("text"))):
+            for part in c.slices(c.as_bytes(batch.column("text")), SKETCH_BYTES):
                 at, marks = sketches(part, shared.value)
                 band = np.zeros((len(at), BANDS), np.uint64)
                 for j in range(ROWS):
@@ -251,7 +255,9 @@ def compare(picks: DataFrame, docs: DataFrame, sketch: DataFrame, idf: np.ndarra
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose id names their class; a row without an id is
-    kept, of rows with the same id and text one stays."""
-    kept = classes(docs, doc_id, text, least).filter("doc_id = class_id").select("doc_id").distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).join(kept.withColumnRenamed("doc_id", doc_id), doc_id, "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(docs.filter(F.col(doc_id).isNull()))
+    kept, of rows that repeat an id one stays."""
+    kept = classes(docs, doc_id, text, least).filter("doc_id = class_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = docs.filter(F.col(doc_id).isNotNull()).join(c.materialise(kept, "dedup-kept"), doc_id, "left_semi")
+    first = F.row_number().over(W.partitionBy(doc_id).orderBy(doc_id))
+    named = named.withColumn("_dedup_n", first).filter("_dedup_n = 1").drop("_dedup_n")
+    return named.unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import ann, chat, common as c, language_id, mixing, near_dedup, pii, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, decontaminate, language_id, mixing, near_dedup, pii, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,9 @@ def op3_skip_chain(spark, sf):
 @query
 def op1_weighted_minhash(spark, sf):
     return near_dedup.classes(table(spark, sf, "documents"))
+
+
+@query
+def op4_latent_decontamination(spark, sf):
+    found = decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=[F.col("doc_id")])
+    return found.select("doc_id", F.inline("matches"))
