@@ -34,8 +34,8 @@ DIVERGENCE = 0.25
 #: weight of the parent's distribution in a state's
 SMOOTHING = 2.0
 END = 0x0A
-BLOCK_BYTES = 12 << 20
-RANGES_PER_BLOCK = 0.5
+BLOCK_BYTES = 6 << 20
+RANGES_PER_BLOCK = 0.25
 
 
 def normal_form(part: c.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -86,18 +86,19 @@ def _gram_counts(batches):
     """Counts of DEPTH + 1 bytes, merged as they come so that a task holds
     about its distinct ones."""
     keys, counts = [], []
-    held = 0
+    held, limit = 0, 1_000_000
     for batch in batches:
-        for part in c.slices(c.as_bytes(batch.column("text")), 4 << 20):
+        for part in c.slices(c.as_bytes(batch.column("text"))):
             symbols, first, _, _ = normal_form(part)
             at, past = histories(symbols, first)
             k, n = np.unique((past << np.uint64(8)) | symbols[at].astype(np.uint64), return_counts=True)
             keys.append(k)
             counts.append(n)
             held += len(k)
-            if held > 4_000_000:
+            if held > limit:
                 keys, counts = _merge(keys, counts)
                 held = len(keys[0])
+                limit = 2 * held + 500_000
     keys, counts = _merge(keys, counts)
     for lo in range(0, len(keys[0]), 200_000):
         yield {"gram": keys[0][lo : lo + 200_000].view(np.int64), "n": counts[0][lo : lo + 200_000]}

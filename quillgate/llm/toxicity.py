@@ -98,8 +98,11 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, share: float,
     sizes = np.array([len(b) for b, _ in bags])
     keep = sizes > 0
     bags, y, sizes, totals = [b for b, k in zip(bags, keep) if k], y[keep], sizes[keep], totals[keep]
-    used, index = np.unique(np.concatenate([b for b, _ in bags]), return_inverse=True)
-    index = index.astype(np.int32)
+    index = np.concatenate([b for b, _ in bags])
+    used = np.flatnonzero(np.bincount(index, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    index = place[index]
     weight = np.concatenate([n for _, n in bags]).astype(np.float32) * np.repeat(GAIN / totals, sizes).astype(np.float32)
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     e = draw.normal(0, 0.02, (len(used), DIM))
