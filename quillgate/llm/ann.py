@@ -27,8 +27,9 @@ SAMPLE_ROWS_PER_LEAF = 8
 #: for each tree whose leaf holds it)
 READ_SHARE = 1.0
 LEAST_ROWS = 4000
-#: index rows and queries that meet in one group
-BLOCK_ROWS = 4096
+#: index rows and queries that meet in one group; every group gives each of its
+#: queries a list, so fewer, larger blocks send less
+BLOCK_ROWS, BLOCK_QUERIES = 16384, 4096
 
 
 @dataclass
@@ -147,7 +148,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     shelf_bits = max(0, min(forest.depth, int(np.log2(max(1, n / BLOCK_ROWS)))))
     shift = forest.depth - shelf_bits
     row_blocks = int(np.ceil(n / (1 << shelf_bits) / (2 * BLOCK_ROWS)))
-    query_blocks = int(np.ceil(n_asked / BLOCK_ROWS))
+    query_blocks = int(np.ceil(n_asked / BLOCK_QUERIES))
     wanted = max(read_share * n, least_rows * len(forest.direction))
 
     def walk(batches):
