@@ -242,7 +242,8 @@ def distinct_words(texts: list[bytes], learn: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _range_counts(key, tables):
-    """For one hash range: corpus counts of every block's words."""
+    """For one hash range: corpus counts of every block's words, in the order
+    in which the block has sent them."""
     blocks = tables.column("block").to_pylist()
     words = [np.frombuffer(b, np.uint64) for b in tables.column("words").to_pylist()]
     counts = [np.frombuffer(b, np.int64) for b in tables.column("counts").to_pylist()]
@@ -253,8 +254,7 @@ def _range_counts(key, tables):
     tokens, kinds = [0] * len(blocks), [0] * len(blocks)
     tokens[0], kinds[0] = int(known.sum()), len(known)  # once for the range
     return pa.table({
-        "block": pa.array(blocks, pa.int32()),
-        "words": pa.array([w.tobytes() for w in words], pa.binary()),
+        "block": pa.array(blocks, pa.int32()), "range": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
         "counts": pa.array([total[x].tobytes() for x in np.split(at, sizes)], pa.binary()),
         "tokens": pa.array(tokens, pa.int64()), "kinds": pa.array(kinds, pa.int64()),
     })
@@ -280,7 +280,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     dealt = dealt.withColumn("_ranges", F.lit(ranges))
     words = dealt.groupBy("_block").applyInArrow(_block_words, "block int, range int, words binary, counts binary")
     counted = c.materialise(
-        words.groupBy("range").applyInArrow(_range_counts, "block int, words binary, counts binary, tokens long, kinds long"),
+        words.groupBy("range").applyInArrow(_range_counts, "block int, range int, counts binary, tokens long, kinds long"),
         "suffix-words",
     )
     tokens, kinds = counted.agg(F.sum("tokens"), F.sum("kinds")).first()
@@ -293,15 +293,15 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
             return pa.table({"doc_id": left.column("doc_id")} | {
                 x: pa.array([], t) for x, t in (("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                                                 ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
-        held = [np.frombuffer(b, np.uint64) for b in right.column("words").to_pylist()]
-        held_n = [np.frombuffer(b, np.int64) for b in right.column("counts").to_pylist()]
-        known = np.concatenate([np.zeros(0, np.uint64), *held])
-        order = np.argsort(known)
-        known, counts = known[order], np.concatenate([np.zeros(0, np.int64), *held_n])[order]
+        texts = c.as_bytes(left.column("text").combine_chunks())
+        known, _ = distinct_words(texts, np.zeros(len(texts), bool))
+        where = known % np.uint64(ranges)
+        counts = np.zeros(len(known), np.int64)
+        for r, b in zip(right.column("range").to_pylist(), right.column("counts").to_pylist()):
+            counts[where == np.uint64(r)] = np.frombuffer(b, np.int64)
         value = np.log10((counts + 1) / (n + v + 1))
         end = np.log10((ends + 1) / (n + v + 1))
         tables = shared.value.tables
-        texts = c.as_bytes(left.column("text").combine_chunks())
         n_tokens, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         base, model = np.zeros(len(texts)), np.zeros(len(texts))
         for part in c.slices(texts):
