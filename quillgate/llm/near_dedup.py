@@ -26,6 +26,7 @@ SIMILARITY = 0.8
 #: similarity 0.8 has fewer in 1 of 10**6 cases
 AGREE = 33
 WORD_BUCKETS = 1 << 16
+PIVOTS = 32
 _TABLE_BITS = 16
 #: bytes sketched at a time: they fit the processor's cache
 SKETCH_BYTES = 1 << 18
@@ -183,11 +184,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     can't be named and are left out.
 
     Equal texts are one candidate.  In each bucket all others are compared
-    with one pivot; while a bucket holds texts of different classes, a member
-    of its smallest class is the next pivot, until every pair of it has been
-    compared or lies in one class.  So no link inside a bucket is lost, a
-    group of near copies takes one round, and each round is linear in the
-    bucket.
+    with one pivot; while a bucket holds texts of different classes, PIVOTS
+    members outside its largest class are the next pivots, until every pair of
+    it has been compared or lies in one class.  So no link inside a bucket is
+    lost, a group of near copies takes one round, and each round is linear in
+    the bucket.
     """
     idf = inverse_frequency(docs, text)
     rows = c.materialise(sketched(docs, idf, doc_id, text), "dedup-sketches")
@@ -205,19 +206,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     while True:
         labelled = active.join(same.withColumnRenamed("node", "id"), "id", "left")
         labelled = c.materialise(labelled.select("id", "band", "hash", F.coalesce("root", "id").alias("root")), "dedup-open")
-        parts = labelled.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-        choice = parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("classes"), F.min(F.struct("n", "first", "root")).alias("s"))
-        choice = choice.filter("classes > 1").select("band", "hash", F.col("s.first").alias("p"), F.col("s.root").alias("p_root"))
-        choice = c.materialise(choice, "dedup-choice")
-        if choice.isEmpty():
+        parts = labelled.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
+        top = parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "root")).alias("t"))
+        top = top.filter("classes > 1").select("band", "hash", F.col("t.root").alias("top_root"))
+        still = c.materialise(labelled.join(top, ["band", "hash"]), "dedup-members")
+        if still.isEmpty():
             break
-        still = c.materialise(labelled.join(choice, ["band", "hash"]).filter("id <> p"), "dedup-members")
-        picks = still.filter("root <> p_root").select(F.col("id").alias("x"), "p").distinct()
+        w = W.partitionBy("band", "hash").orderBy("n", "root", "id")
+        pivots = still.filter("root <> top_root").join(parts, ["band", "hash", "root"]).withColumn("_r", F.row_number().over(w))
+        pivots = pivots.filter(F.col("_r") <= PIVOTS).select("band", "hash", F.col("id").alias("p"), F.col("root").alias("p_root"))
+        pivots = c.materialise(pivots, "dedup-pivots")
+        picks = still.join(pivots, ["band", "hash"]).filter("root <> p_root")
+        picks = picks.select(F.greatest("id", "p").alias("x"), F.least("id", "p").alias("p")).distinct()
         more = compare(picks, docs, sketch, idf, doc_id, text, least)
         if not more.isEmpty():
             links = links.unionByName(more)
             same = c.materialise(components(links, "x", "p"), "dedup-classes")
-        active = still.select("id", "band", "hash")
+        active = still.select("id", "band", "hash").join(pivots.withColumnRenamed("p", "id"), ["band", "hash", "id"], "left_anti")
     # equal texts and repeated ids on top
     head = heads.select("key", F.col("id").alias("head"))
     tied = rows.select("id", "key").join(head, "key").filter("id <> head").select(F.col("id").alias("x"), F.col("head").alias("p"))
