@@ -159,7 +159,7 @@ def attach_completions(
     keyed = df.withColumn("_request", request_id(F.col(prompt), backend_id, turn))
     calls = rec.read_table(spark, store, schemas.ATTEMPTS)
 
-    cached = calls.filter(F.col("error").isNull()).select(F.col("request_id").alias("_request"))
+    cached = calls.filter(F.col("error").isNull() & F.col("response").isNotNull()).select(F.col("request_id").alias("_request"))
     wanted = materialise(
         keyed.filter(F.col(prompt).isNotNull())
         .select("_request", F.col(prompt).alias("prompt"))
@@ -172,15 +172,18 @@ def attach_completions(
     start = F.pmod(F.xxhash64("request_id"), F.lit(n)).cast("int")
     todo = wanted.select("request_id", "prompt", start.alias("endpoint"))
     call = _dispatch([b.batches for b in backends])
-    for turn in range(max_rounds or n * max_tries):
+    # attempts go on counting where a stopped run of the same id has ended
+    before = calls.filter(F.col("run_id") == run_id).agg(F.max("attempt")).first()[0] or 0
+    for tried in range(max_rounds or n * max_tries):
         if todo.isEmpty():
             break
         if parallelism:
             todo = todo.repartition(parallelism, "request_id")
-        # every open request is tried once per turn, so the turn numbers the attempt
-        answered = todo.mapInPandas(call, _ANSWER)
+        # every open request is tried once per round, so the round numbers the attempt
+        silent = F.col("response").isNull() & F.col("error").isNull()
+        answered = todo.mapInPandas(call, _ANSWER).withColumn("error", F.when(silent, F.lit(NO_ANSWER)).otherwise(F.col("error")))
         rec.append_table(
-            answered.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(turn + 1)}),
+            answered.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(before + tried + 1)}),
             store,
             schemas.ATTEMPTS,
         )
@@ -191,7 +194,7 @@ def attach_completions(
         )
 
     calls = rec.read_table(spark, store, schemas.ATTEMPTS)
-    good = F.col("error").isNull()
+    good = F.col("error").isNull() & F.col("response").isNotNull()
     # a success of any run wins; else the newest error of this run
     rank = F.when(good, F.lit(1 << 62)).when(F.col("run_id") == run_id, F.col("attempt"))
     outcome = planning.latest_state(

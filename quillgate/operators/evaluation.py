@@ -228,14 +228,15 @@ def gold_overlap(
     """Set overlap per record with hand-made samples: precision and recall.
 
     ``items`` turns a value into the array to compare; it runs after the join,
-    so only on records that have a sample.
+    so only on records that have a sample.  A sample without a result counts as
+    one of which nothing was found.
     """
-    both = found.select("record_id", F.col(value).alias("_f")).join(
-        gold.select("record_id", F.col(value).alias("_g")), "record_id"
+    both = gold.select("record_id", F.col(value).alias("_g")).join(
+        found.select("record_id", F.col(value).alias("_f")), "record_id", "left"
     )
     sets = both.select(
         "record_id",
-        F.array_distinct(items(F.col("_f"))).alias("_found"),
+        F.coalesce(F.array_distinct(items(F.col("_f"))), F.array().cast("array<string>")).alias("_found"),
         F.array_distinct(items(F.col("_g"))).alias("_gold"),
     )
     return sets.select(

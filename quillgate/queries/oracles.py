@@ -143,9 +143,9 @@ ORACLES["gold_overlap"] = rf"""with g as (
 f as (
   select {rid('doc_id')} as record_id, list_distinct(regexp_extract_all(lower(text), '[^\s]+')) as found
   from documents),
-c as (select record_id, len(found) as n_found, len(gold) as n_gold,
-  len(list_intersect(found, gold)) as n_common from f join g using (record_id))
-select *, round(n_common / cast(n_found as double), 6) as "precision",
+c as (select record_id, coalesce(len(found), 0) as n_found, len(gold) as n_gold,
+  coalesce(len(list_intersect(found, gold)), 0) as n_common from g left join f using (record_id))
+select *, round(n_common / nullif(cast(n_found as double), 0), 6) as "precision",
   round(n_common / cast(n_gold as double), 6) as recall from c"""
 
 # -- gate --------------------------------------------------------------------

@@ -27,12 +27,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for cut lineage: the one the cluster names, else (tests
-    on one machine only) a fresh temporary folder that is then remembered."""
+    """Shared folder for cut lineage: the one the cluster names.  On a local
+    master without one, a fresh temporary folder that is then remembered; a
+    cluster without one is refused, as its executors share no such folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quillgate-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
