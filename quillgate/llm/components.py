@@ -27,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         done = c.materialise(small, "component-edges")
-        if done.exceptAll(pairs).isEmpty() and pairs.exceptAll(done).isEmpty():
+        if done.count() == pairs.count() and done.join(pairs, ["u", "v"], "left_anti").isEmpty():  # both are sets
             break
         pairs = done
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

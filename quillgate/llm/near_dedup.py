@@ -26,7 +26,10 @@ SIMILARITY = 0.8
 #: similarity 0.8 has fewer in 1 of 10**6 cases
 AGREE = 33
 WORD_BUCKETS = 1 << 16
-PIVOTS = 32
+#: members of a bucket that are compared with as many others at a time
+TILE = 128
+#: ids of this many bytes at most are broadcast to fetch their texts
+BROADCAST_BYTES = 32 << 20
 _TABLE_BITS = 16
 #: bytes sketched at a time: they fit the processor's cache
 SKETCH_BYTES = 1 << 18
@@ -129,7 +132,8 @@ def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray
 
 
 def sketched(docs: DataFrame, idf: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """(id, key, sketch, bands) of the rows that have an id and a word."""
+    """(id, key, sketch, bands) of the rows that have an id and a word.  The
+    sketch has the low byte of each sample: equal samples stay equal."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
     rows = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.md5(F.col(text)).alias("key"), F.col(text).alias("text"))
 
@@ -142,7 +146,7 @@ def sketched(docs: DataFrame, idf: np.ndarray, doc_id: str, text: str) -> DataFr
                     band = band * np.uint64(0x9E3779B97F4A7C15) + marks[:, j::ROWS]
                 rows = pa.array(at + part.lo)
                 yield {"id": batch.column("id").take(rows), "key": batch.column("key").take(rows),
-                       "sketch": [m.tobytes() for m in marks], "bands": list(c.mix(band).view(np.int64))}
+                       "sketch": [m.tobytes() for m in marks.astype(np.uint8)], "bands": list(c.mix(band).view(np.int64))}
 
     return c.over_batches(rows, run, f"id {dict(rows.dtypes)['id']}, key string, sketch binary, bands array<long>")
 
@@ -184,11 +188,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     can't be named and are left out.
 
     Equal texts are one candidate.  In each bucket all others are compared
-    with one pivot; while a bucket holds texts of different classes, PIVOTS
-    members outside its largest class are the next pivots, until every pair of
-    it has been compared or lies in one class.  So no link inside a bucket is
-    lost, a group of near copies takes one round, and each round is linear in
-    the bucket.
+    with one pivot, then those outside the bucket's largest class with all
+    members of other classes.  So every pair of a bucket has been compared or
+    lies in one class, in two steps for any number of classes.
     """
     idf = inverse_frequency(docs, text)
     rows = c.materialise(sketched(docs, idf, doc_id, text), "dedup-sketches")
@@ -198,64 +200,132 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     buckets = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("p")).filter("n > 1")
     buckets = c.materialise(buckets.select("band", "hash", "p"), "dedup-buckets")
     active = c.materialise(members.join(buckets, ["band", "hash"]), "dedup-members")
-    sketch = heads.select("id", "sketch")
+    sketch = c.materialise(heads.select("id", "sketch").join(active.select("id").distinct(), "id", "left_semi"), "dedup-shared")
+    texts = fetched(docs, sketch.select("id"), doc_id, text)
+
     picks = active.filter("id <> p").select(F.col("id").alias("x"), "p").distinct()
-    links = compare(picks, docs, sketch, idf, doc_id, text, least)
+    links = c.materialise(verified(like(picks, sketch), texts, idf, least), "dedup-links")
     same = c.materialise(components(links, "x", "p"), "dedup-classes")
-    active = active.filter("id <> p").drop("p")
-    while True:
-        labelled = active.join(same.withColumnRenamed("node", "id"), "id", "left")
-        labelled = c.materialise(labelled.select("id", "band", "hash", F.coalesce("root", "id").alias("root")), "dedup-open")
-        parts = labelled.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
-        top = parts.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "root")).alias("t"))
-        top = top.filter("classes > 1").select("band", "hash", F.col("t.root").alias("top_root"))
-        still = c.materialise(labelled.join(top, ["band", "hash"]), "dedup-members")
-        if still.isEmpty():
-            break
-        w = W.partitionBy("band", "hash").orderBy("n", "root", "id")
-        pivots = still.filter("root <> top_root").join(parts, ["band", "hash", "root"]).withColumn("_r", F.row_number().over(w))
-        pivots = pivots.filter(F.col("_r") <= PIVOTS).select("band", "hash", F.col("id").alias("p"), F.col("root").alias("p_root"))
-        pivots = c.materialise(pivots, "dedup-pivots")
-        picks = still.join(pivots, ["band", "hash"]).filter("root <> p_root")
-        picks = picks.select(F.greatest("id", "p").alias("x"), F.least("id", "p").alias("p")).distinct()
-        more = compare(picks, docs, sketch, idf, doc_id, text, least)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            same = c.materialise(components(links, "x", "p"), "dedup-classes")
-        active = still.select("id", "band", "hash").join(pivots.withColumnRenamed("p", "id"), ["band", "hash", "id"], "left_anti")
+    more = c.materialise(across(active, same, sketch, texts, idf, least), "dedup-links")
+    if not more.isEmpty():
+        stars = same.select(F.col("node").alias("x"), F.col("root").alias("p"))
+        same = c.materialise(components(stars.unionByName(more), "x", "p"), "dedup-classes")
     # equal texts and repeated ids on top
     head = heads.select("key", F.col("id").alias("head"))
-    tied = rows.select("id", "key").join(head, "key").filter("id <> head").select(F.col("id").alias("x"), F.col("head").alias("p"))
     several = rows.groupBy("id").agg(F.count_distinct("key").alias("n")).filter("n > 1").limit(1)
     if several.isEmpty():  # each id has one head, so its class is the head's
         root = head.join(same.select(F.col("node").alias("head"), "root"), "head", "left").select(
             "key", F.coalesce("root", "head").alias("root"))
         named = rows.select("id", "key").distinct().join(c.materialise(root, "dedup-roots"), "key").select("id", "root")
     else:
-        named = components(links.unionByName(tied), "x", "p").withColumnRenamed("node", "id")
+        tied = rows.select("id", "key").join(head, "key").filter("id <> head").select(F.col("id").alias("x"), F.col("head").alias("p"))
+        stars = same.select(F.col("node").alias("x"), F.col("root").alias("p"))
+        named = components(stars.unionByName(tied), "x", "p").withColumnRenamed("node", "id")
     ids = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"))
     return ids.join(named, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("class_id"))
 
 
-def compare(picks: DataFrame, docs: DataFrame, sketch: DataFrame, idf: np.ndarray, doc_id: str, text: str, least: float) -> DataFrame:
-    """Written table of the pairs (x, p) that are similar enough: sketches are
-    compared first, so only the texts of likely pairs are fetched."""
+def fetched(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Written table of the texts of ``ids``; the ids are broadcast if few."""
+    size = ids.agg(F.coalesce(F.sum(F.octet_length(F.col("id").cast("string")) + 16), F.lit(0))).first()[0]
+    ids = F.broadcast(ids) if size <= BROADCAST_BYTES else ids
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+    return c.materialise(texts, "dedup-texts")
+
+
+def like(picks: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The pairs (x, p) of ``picks`` of which AGREE samples agree."""
     pairs = picks.join(sketch.select(F.col("id").alias("x"), F.col("sketch").alias("a")), "x")
     pairs = pairs.join(sketch.select(F.col("id").alias("p"), F.col("sketch").alias("b")), "p")
 
     def agree(batches):
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint32).reshape(-1, HASHES) for x in "ab")
+            a, b = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(-1, HASHES) for x in "ab")
             keep = pa.array((a == b).sum(axis=1) >= AGREE)
             yield {"x": batch.column("x").filter(keep), "p": batch.column("p").filter(keep)}
 
     kind = dict(picks.dtypes)["x"]
-    pairs = c.materialise(c.over_batches(pairs.select("x", "p", "a", "b"), agree, f"x {kind}, p {kind}"), "dedup-pairs")
-    if pairs.isEmpty():
-        return pairs
-    ids = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("p").alias("id"))).distinct()
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
-    return c.materialise(verified(pairs, c.materialise(texts, "dedup-texts"), idf, least), "dedup-links")
+    return c.materialise(c.over_batches(pairs.select("x", "p", "a", "b"), agree, f"x {kind}, p {kind}"), "dedup-pairs")
+
+
+def across(active: DataFrame, same: DataFrame, sketch: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """Links (x, p) that join all classes of a bucket that have a pair which is
+    similar enough, by comparing all its pairs from two classes.
+
+    A bucket is dealt by hash into tiles of about TILE members.  Members of its
+    largest class need no comparison with each other, so only the other
+    members of each tile meet the tiles, each two tiles as one row.
+    """
+    shared = active.sparkSession.sparkContext.broadcast(idf)
+    labelled = active.select("id", "band", "hash").join(same.withColumnRenamed("node", "id"), "id", "left")
+    labelled = c.materialise(labelled.select("id", "band", "hash", F.coalesce("root", "id").alias("root")), "dedup-open")
+    parts = labelled.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
+    top = parts.groupBy("band", "hash").agg(
+        F.count(F.lit(1)).alias("classes"), F.ceil(F.sum("n") / TILE).alias("tiles"), F.max(F.struct("n", "root")).alias("t"))
+    top = top.filter("classes > 1").select("band", "hash", "tiles", F.col("t.root").alias("top_root"))
+    still = labelled.join(top, ["band", "hash"]).join(sketch, "id").join(texts, "id")
+    item = F.struct("id", F.xxhash64("root").alias("root"), "sketch", F.col("text").cast("binary").alias("text"),
+                    (F.col("root") != F.col("top_root")).alias("out"))
+    still = still.select("band", "hash", "tiles", F.pmod(F.xxhash64("id"), "tiles").alias("tile"), item.alias("m"))
+    tiles = c.materialise(still.groupBy("band", "hash", "tiles", "tile").agg(F.collect_list("m").alias("m")), "dedup-tiles")
+    left = tiles.select("band", "hash", "tiles", F.filter("m", lambda m: m["out"]).alias("l")).filter(F.size("l") > 0)
+    left = left.select("band", "hash", "l", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)).alias("tile"))
+    both = left.join(tiles.select("band", "hash", "tile", F.col("m").alias("r")), ["band", "hash", "tile"])
+    names = ("id", "root", "sketch", "text")
+    both = both.select(*[F.col(f"{side}.{x}").alias(f"{side}_{x}") for side in "lr" for x in names])
+
+    def compare(batches):
+        for batch in batches:
+            for n in range(batch.num_rows):
+                left, right = ([batch.column(f"{side}_{x}")[n].values for x in names] for side in "lr")
+                i, j = joining(left, right, shared.value, least)
+                if len(i):
+                    yield {"x": left[0].take(pa.array(i)), "p": right[0].take(pa.array(j))}
+
+    kind = dict(active.dtypes)["id"]
+    pairs = c.over_batches(both, compare, f"x {kind}, p {kind}")
+    return pairs.select(F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
+
+
+def joining(left: list[pa.Array], right: list[pa.Array], idf: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """Places (left, right) of the links of a forest that joins the classes
+    with a similar pair; each side has ids, classes, sketches and texts."""
+    ls, rs = (np.frombuffer(b"".join(side[2].to_pylist()), np.uint8).reshape(-1, HASHES) for side in (left, right))
+    mine, theirs = (side[1].to_numpy(zero_copy_only=False).copy() for side in (left, right))
+    alike = np.count_nonzero(ls[:, None] == rs[None], axis=2) >= AGREE
+    alike &= mine[:, None] != theirs[None]
+    at, to = np.flatnonzero(alike.any(axis=1)), np.flatnonzero(alike.any(axis=0))
+    i: list[int] = []
+    j: list[int] = []
+    if not len(at):
+        return i, j
+    sides = []
+    for side, chosen in ((left, at), (right, to)):
+        owner, t, v = bags(c.Slice(side[3].take(pa.array(chosen)).to_pylist(), 0, len(chosen)), idf)
+        owner = chosen[owner]
+        sides.append((owner, t, v, np.bincount(owner, v, len(side[0]))))
+    (owner, s_all, w_all, weight), (theirs_of, t_all, v_all, whole) = sides
+    first, last = np.searchsorted(owner, at, "left"), np.searchsorted(owner, at, "right")
+    for x, lo, hi in zip(at, first, last):
+        chosen = alike[x] & (theirs != mine[x])
+        others = np.flatnonzero(chosen)
+        if not len(others):
+            continue
+        s, w = s_all[lo:hi], w_all[lo:hi]
+        use = np.flatnonzero(chosen[theirs_of])
+        t = t_all[use]
+        place = np.minimum(np.searchsorted(s, t), len(s) - 1)
+        hit = np.flatnonzero(s[place] == t)
+        common = np.bincount(theirs_of[use[hit]], np.minimum(w[place[hit]], v_all[use[hit]]), len(rs))[others]
+        good = others[common >= least * (weight[x] + whole[others] - common)]
+        for k in good:
+            if theirs[k] != mine[x]:
+                i.append(int(x))
+                j.append(int(k))
+                old, new = theirs[k], mine[x]
+                theirs[theirs == old] = new
+                mine[mine == old] = new
+    return i, j
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:

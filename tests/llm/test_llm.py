@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,7 +75,31 @@ def test_near_duplicates_of_cases(spark, odd, empty):
     assert near_dedup.keep_one(odd).count() == 6
 
 
-def test_near_duplicates_equal_brute_force(spark):
+def test_links_across_a_bucket():
+    """The forest joins the same classes as all similar pairs do."""
+    draw = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(60)]
+    raw = [" ".join(w if draw.random() > 0.015 else f"x{draw.integers(99)}" for w in base).encode() for _ in range(40)]
+    idf = np.ones(near_dedup.WORD_BUCKETS, np.float32)
+    part = c.Slice(raw, 0, len(raw))
+    marks = [m.tobytes() for m in near_dedup.sketches(part, idf)[1].astype(np.uint8)]
+    side = [pa.array(range(40)), pa.array(range(40)), pa.array(marks, pa.binary()), pa.array(raw, pa.binary())]
+    bags = [near_dedup.bags(c.Slice([t], 0, 1), idf)[1:] for t in raw]
+    pairs = {(a, b) for a in range(40) for b in range(a) if near_dedup.similarity(bags[a], bags[b]) >= near_dedup.SIMILARITY}
+    i, j = near_dedup.joining(side, side, idf, near_dedup.SIMILARITY)
+    assert {(max(x), min(x)) for x in zip(i, j)} <= pairs and len(i) < 40
+
+    def groups(links):
+        at = list(range(40))
+        for a, b in links:
+            at = [at[a] if x == at[b] else x for x in at]
+        return [[at[a] == at[b] for b in range(40)] for a in range(40)]
+
+    assert pairs and groups(zip(i, j)) == groups(pairs)
+
+
+def test_near_duplicates_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TILE", 2)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     idf = near_dedup.inverse_frequency(docs)
     rows = [(r.doc_id, near_dedup.bags(c.Slice([(r.text or "").encode()], 0, 1), idf)[1:]) for r in docs.collect()]
