@@ -125,6 +125,11 @@ def test_components(spark):
     assert got == {i: 1 for i in range(1, 41)} | {50: 50, 51: 50, 52: 50}
 
 
+def test_stars_are_told_from_other_graphs(spark):
+    for edges, want in (([], True), ([(2, 1), (3, 1), (9, 8)], True), ([(2, 1), (3, 2)], False), ([(3, 1), (3, 2)], False)):
+        assert components.stars(spark.createDataFrame(edges, "u long, v long")) == want
+
+
 def test_pii_field_carries_labels():
     skip = np.full((5, 5), -pii.DISSENT)
     np.fill_diagonal(skip, pii.DOUBT - 0.5)
