@@ -102,33 +102,37 @@ def pending(plan: DataFrame, done: DataFrame) -> DataFrame:
     return plan.join(done.select("record_id"), "record_id", "left_anti")
 
 
-def next_batch(todo: DataFrame, n: int, in_task: int = 100_000, bucket: int = BUCKET) -> DataFrame:
-    """The first ``n`` rows by plan order.
+def next_batch(todo: DataFrame, n: int, bucket: int = BUCKET) -> DataFrame:
+    """The first ``n`` rows by plan order, with every row that shares the
+    index of the last one.
 
-    A small ``n`` is a top-k.  For a large one the cut position is found from
-    bucket counts, so the batch itself is never gathered in one task.
-    ``index`` is unique, which bounds the one bucket that is ranked.
+    The cut is found from counts by bucket and then by index in one bucket, so
+    neither the batch nor the rows of a repeated index are gathered in a task.
     """
-    if n <= in_task:
-        return todo.orderBy("index").limit(n)
+    if n < 1:
+        return todo.limit(0)
     keyed = todo.select("index", F.expr(f"index div {bucket}").alias("_bucket"))
-    running = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = (
         keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
+        .withColumn("_upto", F.sum("_n").over(_running("_bucket")))
         .filter((F.col("_upto") >= n) & (F.col("_upto") - F.col("_n") < n))
         .select("_bucket", (F.lit(n) - F.col("_upto") + F.col("_n")).alias("_rank"))
     )
     cut = (
         keyed.join(F.broadcast(edge), "_bucket")
-        .withColumn("_rn", F.row_number().over(W.partitionBy("_bucket").orderBy("index")))
-        .filter("_rn = _rank")
-        .agg(F.max("index"))
+        .groupBy("index", "_rank").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(_running("index")))
+        .filter("_upto >= _rank")
+        .agg(F.min("index"))
         .scalar()
     )
     return todo.filter(F.col("index") <= F.coalesce(cut, F.lit((1 << 63) - 1)))
 
 
+def _running(column: str):
+    return W.orderBy(column).rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
 def committed_prefix(results: DataFrame, error: str = "error") -> DataFrame:
     """Rows before the first failing plan position (stop-at-first-failure)."""
     first_bad = results.filter(F.col(error).isNotNull()).agg(F.min("index")).scalar()

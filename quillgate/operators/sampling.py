@@ -16,10 +16,6 @@ TONES = ["formal", "direct", "casual"]
 #: largest profile table, in bytes of text, that is broadcast
 BROADCAST_BYTES = 64 << 20
 
-#: largest profile table that one task numbers
-ONE_TASK_ROWS = 1_000_000
-
-
 def assign_tone(tone: Column, record_id: Column, seed: int | str) -> Column:
     """The given tone, else one drawn per record."""
     pick = F.pmod(text.hash_number(F.lit(str(seed)), record_id, F.lit("tone")), F.lit(len(TONES)))
@@ -56,20 +52,13 @@ def draw_positions(record_id: Column, n: Column, seed: int | str, table_rows: in
     return F.aggregate(F.sequence(F.lit(1), n), F.array().cast("array<bigint>"), add_draw)
 
 
-def with_positions(
-    profiles: DataFrame, rows: int, one_task: int = ONE_TASK_ROWS, buckets: int = 256
-) -> DataFrame:
-    """Dense 0-based ``position`` by ``profile_id``.
+def with_positions(profiles: DataFrame, buckets: int = 256) -> DataFrame:
+    """Dense 0-based ``position`` by ``profile_id``, then name and description.
 
-    A table of up to ``one_task`` rows is numbered in one window.  Of a larger
-    one approximate quantiles give bucket bounds, bucket counts give each
-    bucket its start, and rows are ranked inside their bucket; the result does
-    not depend on where the bounds fall.
+    Approximate quantiles give bucket bounds, bucket counts give each bucket
+    its start, and rows are ranked inside their bucket; the result does not
+    depend on where the bounds fall.
     """
-    if rows <= one_task:
-        return profiles.withColumn(
-            "position", F.row_number().over(W.orderBy("profile_id")).cast("bigint") - 1
-        )
     grid = [i / buckets for i in range(1, buckets)]
     bounds = profiles.agg(F.percentile_approx("profile_id", grid, 10_000)).first()[0] or []
     cuts = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<bigint>")
@@ -81,7 +70,7 @@ def with_positions(
         keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
-    inside = F.row_number().over(W.partitionBy("_bucket").orderBy("profile_id"))
+    inside = F.row_number().over(W.partitionBy("_bucket").orderBy("profile_id", "profile_name", "generated_description"))
     return (
         keyed.withColumn("_rn", inside)
         .join(F.broadcast(starts), "_bucket")
@@ -98,9 +87,11 @@ def sample_profiles(
 ) -> DataFrame:
     """Add ``kpis_used`` (profiles in draw order) and ``num_kpis``.
 
-    ``records`` needs ``record_id`` and ``complexity``.  A profile table of
-    checked size is broadcast once and looked up per draw, so records are not
-    shuffled.  A larger one is joined on the drawn position.
+    ``records`` needs ``record_id`` and ``complexity``; rows that repeat an id,
+    or have none, each get the draws of that id.  Every draw is looked up by
+    its position.  A profile table of at most ``broadcast_bytes`` is broadcast
+    once for all look-ups, so records are not shuffled; that limit changes how
+    the joins run and nothing else.
     """
     size = profiles.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -118,7 +109,7 @@ def sample_profiles(
     drawn = records.withColumn("_n", n).withColumn(
         "_picks", draw_positions(F.col("record_id"), F.col("_n"), seed, rows)
     )
-    dim = with_positions(profiles, rows).select(
+    dim = with_positions(profiles).select(
         "position",
         F.struct(
             "profile_id",
@@ -127,20 +118,12 @@ def sample_profiles(
         ).alias("kpi"),
     )
     if size["bytes"] <= broadcast_bytes:
-        out = drawn
-        for j in range(MAX_DRAWS):
-            out = out.withColumn("_at", F.get("_picks", F.lit(j))).join(
-                F.broadcast(dim), F.col("_at") == F.col("position"), "left"
-            ).withColumnRenamed("kpi", f"_kpi{j}").drop("position", "_at")
-        kpis = F.array_compact(F.array(*[F.col(f"_kpi{j}") for j in range(MAX_DRAWS)]))
-        out = out.withColumn("kpis_used", kpis).drop(*[f"_kpi{j}" for j in range(MAX_DRAWS)])
-    else:
-        picks = drawn.select("record_id", F.posexplode("_picks").alias("_pos", "position"))
-        gathered = (
-            picks.join(dim, "position")
-            .groupBy("record_id")
-            .agg(F.array_sort(F.collect_list(F.struct("_pos", "kpi"))).alias("_drawn"))
-            .select("record_id", F.col("_drawn.kpi").alias("kpis_used"))
-        )
-        out = drawn.join(gathered, "record_id")
+        dim = F.broadcast(dim)
+    out = drawn
+    for j in range(MAX_DRAWS):
+        out = out.withColumn("_at", F.get("_picks", F.lit(j))).join(
+            dim, F.col("_at") == F.col("position"), "left"
+        ).withColumnRenamed("kpi", f"_kpi{j}").drop("position", "_at")
+    kpis = F.array_compact(F.array(*[F.col(f"_kpi{j}") for j in range(MAX_DRAWS)]))
+    out = out.withColumn("kpis_used", kpis).drop(*[f"_kpi{j}" for j in range(MAX_DRAWS)])
     return out.drop("_n", "_picks").withColumn("num_kpis", F.size("kpis_used"))

@@ -213,7 +213,7 @@ def next_batch(spark, sf):
 @query
 def next_batch_large(spark, sf):
     todo = planning.pending(b.plan(spark, sf), b.labelled(spark, sf))
-    return planning.next_batch(todo, todo.count() // 2, in_task=0, bucket=64)
+    return planning.next_batch(todo, todo.count() // 2, bucket=64)
 
 
 @query
@@ -903,5 +903,7 @@ def incremental_stream(spark, sf):
 
     sink, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     schema = check(b.table(spark, sf, "documents")).schema
-    incremental.stream_stage(source, check, sink, checkpoint, schema).awaitTermination()
-    return incremental.sink_table(spark, sink, schema).drop("batch")
+    # the second stream has a checkpoint of its own and finds every record written
+    for state in (checkpoint, f"{checkpoint}-2"):
+        incremental.stream_stage(source, check, sink, state, schema).awaitTermination()
+    return incremental.sink_table(spark, sink, schema).drop(*incremental.FOLDERS)

@@ -1,8 +1,9 @@
 """Keep appending new records to a table, each record once.
 
-Every micro-batch owns one folder of the sink and overwrites it when it runs
-again, so a batch that was repeated after a failure leaves no second copy.
-Records that an earlier batch has written are left out by key.
+Every micro-batch of every stream owns one folder of the sink and overwrites it
+when it runs again, so a batch that was repeated after a failure leaves no
+second copy, and a stream with a fresh checkpoint leaves the batches of an older
+one alone.  Records that any other batch has written are left out by key.
 """
 
 from __future__ import annotations
@@ -15,18 +16,28 @@ from pyspark.sql.streaming import StreamingQuery
 from quillgate.sources import records as rec
 
 
+#: folder columns of the sink: the stream and its batch
+FOLDERS = ("stream", "batch")
+
+
 def sink_table(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
-    """All rows of the sink; ``batch`` comes from the folder name."""
-    full = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
+    """All rows of the sink; ``stream`` and ``batch`` come from the folders."""
+    stream, batch = FOLDERS
+    full = T.StructType(schema.fields + [T.StructField(stream, T.StringType()), T.StructField(batch, T.LongType())])
     return rec.read_table(spark, sink, full)
 
 
-def append_new(batch: DataFrame, batch_id: int, sink: str, schema: T.StructType, key: str) -> None:
-    """Write the records of one micro-batch that the sink does not have."""
+def append_new(batch: DataFrame, batch_id: int, sink: str, schema: T.StructType, key: str, stream: str) -> None:
+    """Write the records of one micro-batch that the sink does not have.
+
+    A record without a key can't be told from others, so all of them are kept.
+    """
     spark = batch.sparkSession
-    seen = sink_table(spark, sink, schema).filter(F.col("batch") != batch_id).select(key)
-    fresh = batch.dropDuplicates([key]).join(seen, key, "left_anti")
-    rec.conform(fresh, schema).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    other = (F.col("stream") != stream) | (F.col("batch") != batch_id)
+    seen = sink_table(spark, sink, schema).filter(other).select(key)
+    named = batch.filter(F.col(key).isNotNull()).dropDuplicates([key]).join(seen, key, "left_anti")
+    fresh = named.unionByName(batch.filter(F.col(key).isNull()))
+    rec.conform(fresh, schema).write.mode("overwrite").parquet(f"{sink}/stream={stream}/batch={batch_id}")
 
 
 def jsonl_stream(
@@ -54,7 +65,9 @@ def stream_stage(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_new(stage(batch), batch_id, sink, schema, key)
+        # the id that the checkpoint keeps: the same after a restart
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_new(stage(batch), batch_id, sink, schema, key, stream)
 
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if once:

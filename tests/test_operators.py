@@ -82,7 +82,7 @@ def test_next_batch_by_cut(spark):
     index = sorted(rng.sample(range(1000), 300))
     todo = spark.createDataFrame([(i, f"r{i}") for i in index], "index long, record_id string")
     for n in (1, 63, 64, 150, 299, 300, 500):
-        cut = planning.next_batch(todo, n, in_task=0, bucket=16)
+        cut = planning.next_batch(todo, n, bucket=16)
         assert rows(cut, "index") == [(i,) for i in index[:n]]
         assert rows(planning.next_batch(todo, n), "index") == [(i,) for i in index[:n]]
 
@@ -146,6 +146,23 @@ def test_sample_is_whole_and_without_repeats(spark, n):
     assert rows(near, *key) == rows(far, *key)
 
 
+def test_sample_is_the_same_for_any_limit(spark):
+    ids = ["a", "a", None, None, "b", "c"]
+    records = spark.createDataFrame([(i, x, "complex") for i, x in enumerate(ids)], "index long, record_id string, complexity string")
+    table = profiles(spark, 30).union(profiles(spark, 3).withColumn("profile_name", F.lit("again")))
+    near, far = (rows(sampling.sample_profiles(records, table, "s", broadcast_bytes=b), "index", "kpis_used", "num_kpis") for b in (1 << 20, 0))
+    assert near == far and len(near) == len(ids)
+    assert near[0][1:] == near[1][1:] and near[2][1:] == near[3][1:]
+    assert all(4 <= r[2] <= 5 for r in near)
+
+
+def test_next_batch_takes_the_rows_of_an_index_together(spark):
+    todo = spark.createDataFrame([(i // 3, f"r{i}") for i in range(30)], "index long, record_id string")
+    for n, want in ((0, 0), (1, 3), (3, 3), (4, 6), (29, 30), (99, 30)):
+        for bucket in (1, 4, 1 << 20):
+            assert planning.next_batch(todo, n, bucket=bucket).count() == want
+
+
 def test_sample_does_not_depend_on_partitions(spark):
     plan = planning.build_plan(spark, planning.resolve_distribution(90))
     table = profiles(spark, 50)
@@ -169,8 +186,8 @@ def test_sample_is_even(spark):
 
 def test_positions_in_two_phases(spark):
     table = profiles(spark, 500).repartition(9)
-    one = rows(sampling.with_positions(table, 500), "profile_id", "position")
-    two = rows(sampling.with_positions(table, 500, one_task=0, buckets=17), "profile_id", "position")
+    one = rows(sampling.with_positions(table), "profile_id", "position")
+    two = rows(sampling.with_positions(table, buckets=17), "profile_id", "position")
     assert one == two == [(1000 + 3 * i, i) for i in range(500)]
 
 

@@ -85,14 +85,32 @@ def test_stream_writes_each_record_once(spark, tmp_path):
 def test_repeated_batch_leaves_no_second_copy(spark, tmp_path):
     sink = f"{tmp_path}/sink"
     first = spark.createDataFrame([("a", 1), ("b", 2)], FLAT)
-    incremental.append_new(first, 0, sink, FLAT, "record_id")
+    incremental.append_new(first, 0, sink, FLAT, "record_id", "s")
     second = spark.createDataFrame([("b", 2), ("c", 3)], FLAT)
     for _ in range(2):
-        incremental.append_new(second, 1, sink, FLAT, "record_id")
+        incremental.append_new(second, 1, sink, FLAT, "record_id", "s")
     got = incremental.sink_table(spark, sink, FLAT)
     assert sorted(r["record_id"] for r in got.collect()) == ["a", "b", "c"]
 
 
+def test_a_second_stream_leaves_the_first_one_alone(spark, tmp_path):
+    sink = f"{tmp_path}/sink"
+    for name, ids in (("one", range(10)), ("two", range(5, 15))):
+        arrive(spark, f"{tmp_path}/{name}", ids)
+        source = incremental.jsonl_stream(spark, f"{tmp_path}/{name}", FLAT)
+        incremental.stream_stage(source, stage, sink, f"{tmp_path}/state-{name}", FLAT).awaitTermination()
+    got = incremental.sink_table(spark, sink, FLAT)
+    assert sorted(r["record_id"] for r in got.collect()) == sorted(f"r{i}" for i in range(15))
+    assert got.select("stream").distinct().count() == 2 and got.filter("stream = 'None'").isEmpty()
+
+
+def test_records_without_a_key_are_all_kept(spark, tmp_path):
+    sink = f"{tmp_path}/sink"
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 3)], FLAT)
+    incremental.append_new(rows, 0, sink, FLAT, "record_id", "s")
+    assert sorted(r["n"] for r in incremental.sink_table(spark, sink, FLAT).collect()) == [1, 2, 3]
+
+
 def test_examples_are_the_first_in_order(spark):
     df = spark.createDataFrame(
         [(i, f"r{i}" if i % 2 else None, "x" if i < 8 else None) for i in range(10)],
