@@ -2,40 +2,48 @@
 
 Symbols are the bytes of a normal form of the text: its words (ASCII in lower
 case), each with a space after it, and an end sign, so the tree gives every
-sequence of words a probability.  Contexts are up to DEPTH bytes long.  A
-context is a candidate if it makes up at least MIN_SHARE of all training
-symbols, which bounds the tree by DEPTH / MIN_SHARE states whatever the corpus;
-it is kept if its next-symbol distribution diverges from that of its longest
-kept-or-candidate suffix by more than an information criterion.  Scoring uses
-the longest kept suffix of what precedes each symbol.  A word's probability
-mixes its own count with the tree's, which counts as much as there are kinds of
-words; both are distributions over all words, and so is the mixture.
-
-Words are counted exactly beside it, for the unigram score: the texts are dealt
-into blocks, each block sends its distinct words by hash range, and gets their
-counts back; nothing of the vocabulary's size is ever in one place.
+sequence of words a probability.  Contexts are up to DEPTH bytes long, which
+with the next symbol fills 64 bits.  Contexts of fewer than BASE bytes are all
+states.  A longer one is a state if it occurs MIN_COUNT times, however large the
+corpus, and its next-symbol distribution diverges from that of its suffix by
+more than an information criterion; suffixes of states are states.  So the tree
+grows with the corpus.  Scoring uses the longest state that ends what precedes
+each symbol.  A word's probability mixes its own count with the tree's, which
+counts as much as there are kinds of words; both are distributions over all
+words, and so is the mixture.
+
+Words (for their exact counts) and grams, contexts with their next symbol, go
+the same way: the texts are dealt into blocks, each block sends its distinct
+words and grams by range, and gets the words' counts and the grams'
+probabilities back.  Grams are dealt by their latest BASE bytes of context, so
+that a range holds all longer states that its grams need; of the rest every
+task knows the counts, whose number the bytes bound.  Nothing of the
+vocabulary's or the tree's size is ever in one place.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import cached_property
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillgate.llm import common as c
 
-DEPTH = 5
-MIN_SHARE = 1 / 100000
+DEPTH = 7
+#: latest bytes of context by which grams are dealt
+BASE = 3
+#: least occurrences of a context of BASE bytes or more
+MIN_COUNT = 2
 #: bits of divergence a context must bring for each bit that storing it costs
 DIVERGENCE = 0.25
 #: weight of the parent's distribution in a state's
 SMOOTHING = 2.0
 END = 0x0A
 BLOCK_BYTES = 6 << 20
-RANGES_PER_BLOCK = 0.25
+RANGES_PER_BLOCK = 0.5
+_BYTE = np.uint64(8)
+#: lowest bytes of a gram, by their number
+_LOW = [np.uint64((1 << 8 * d) - 1) for d in range(DEPTH + 2)]
 
 
 def normal_form(part: c.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,38 +75,30 @@ def normal_form(part: c.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return out, first, hashes, text
 
 
-def histories(symbols: np.ndarray, first: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Positions to predict and, for each, the ``depth`` bytes before it, the
-    latest lowest, packed in 64 bits.  What lies before a text is all END."""
+def grams(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions to predict and, for each, the DEPTH bytes before it and itself,
+    the latest lowest, packed in 64 bits.  What lies before a text is all END."""
     n = len(symbols)
-    since = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    packed = np.zeros(n, np.uint64)
-    for back in range(depth, 0, -1):
-        byte = np.full(n, END, np.uint8)
-        byte[back:] = symbols[:-back] if back < n else byte[back:]
-        byte[since < back] = END
-        packed = (packed << np.uint64(8)) | byte.astype(np.uint64)
-    at = np.flatnonzero(since > 0)
-    return at, packed[at]
-
-
-def _gram_counts(batches):
-    """Counts of DEPTH + 1 bytes, merged as they come so that a task holds
-    about its distinct ones."""
+    lengths = np.diff(np.append(first, n))
+    place = np.arange(n) + np.repeat(DEPTH * np.arange(1, len(first) + 1), lengths)
+    wide = np.full(n + DEPTH * len(first), END, np.uint64)
+    wide[place] = symbols
+    for step in (1, 2, 4):
+        wide[step:] |= wide[:-step] << np.uint64(8 * step)
+    inside = np.ones(n, bool)
+    inside[first] = False
+    at = np.flatnonzero(inside)
+    return at, wide[place[at]]
+
+
+def _base_counts(batches):
+    """Counts of the lowest BASE bytes of the grams, merged as they come."""
     keys, counts = [], []
-    held, limit = 0, 1_000_000
     for batch in batches:
         for part in c.slices(c.as_bytes(batch.column("text"))):
             symbols, first, _, _ = normal_form(part)
-            at, past = histories(symbols, first)
-            k, n = np.unique((past << np.uint64(8)) | symbols[at].astype(np.uint64), return_counts=True)
-            keys.append(k)
-            counts.append(n)
-            held += len(k)
-            if held > limit:
-                keys, counts = _merge(keys, counts)
-                held = len(keys[0])
-                limit = 2 * held + 500_000
+            k, n = np.unique(grams(symbols, first)[1] & _LOW[BASE], return_counts=True)
+            keys, counts = _merge([*keys, k], [*counts, n])
     keys, counts = _merge(keys, counts)
     for lo in range(0, len(keys[0]), 200_000):
         yield {"gram": keys[0][lo : lo + 200_000].view(np.int64), "n": counts[0][lo : lo + 200_000]}
@@ -111,125 +111,141 @@ def _merge(keys, counts):
     return [k], [np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)]
 
 
-@dataclass
-class Tree:
-    """States as (depth, context) with counts of their next symbols, and the
-    root's counts."""
-
-    depth: np.ndarray
-    context: np.ndarray
-    symbol: np.ndarray
-    n: np.ndarray
-
-    @cached_property
-    def tables(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Column of each byte; log10 probability by state and column; for each
-        depth the child of (state of the depth before, column).
-
-        State 0 is 'none', 1 the root.  Column 0 is for all bytes never seen,
-        which share the weight of one byte."""
-        root = self.depth == 0
-        seen = np.unique(self.symbol[root])
-        column = np.zeros(256, np.int64)
-        column[seen] = 1 + np.arange(len(seen))
-        width = len(seen) + 1
-        p = np.zeros((2, width))
-        p[1] = np.bincount(column[self.symbol[root]], self.n[root], width)
-        p[1, 0] = 1
-        p[1] /= p[1].sum()
-        rows, children, numbers, size = [p.astype(np.float32)], [], (np.zeros(1, np.int64), np.ones(1, np.int64)), 2
-        for d in range(1, DEPTH + 1):
-            at = np.flatnonzero(self.depth == d)
-            contexts, row = np.unique(self.context[at], return_inverse=True)
-            latest = contexts & ((1 << 8 * (d - 1)) - 1)
-            parent = numbers[1][np.searchsorted(numbers[0], latest)]
-            p = np.zeros((len(contexts), width), np.float32)
-            np.add.at(p, (row, column[self.symbol[at]]), self.n[at])
-            total = p.sum(axis=1, keepdims=True) + SMOOTHING
-            p += SMOOTHING * np.vstack(rows)[parent]
-            child = np.zeros((size, width), np.int32)
-            child[parent, column[contexts >> (8 * (d - 1)) & 255]] = size + np.arange(len(contexts))
-            children.append(child)
-            rows.append(p / total)
-            numbers = contexts, size + np.arange(len(contexts))
-            size += len(contexts)
-        table = np.vstack(rows)
-        table[:, 0] /= 256 - len(seen)
-        table[0] = 1
-        return column, np.log10(np.maximum(table, 1e-30)), children
-
-
-def grow(docs: DataFrame, min_share: float = MIN_SHARE) -> Tree:
-    """Learn a tree from all texts of ``docs`` (text; null: empty)."""
-    grams = c.materialise(
-        c.over_batches(docs.select("text"), _gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")),
-        "suffix-grams",
-    )
-    total = grams.agg(F.sum("n")).first()[0]
-    if not total:
-        none = np.zeros(0, np.int64)
-        return Tree(none, none, none, none)
-    levels = F.array(*[
-        F.struct(F.lit(d).alias("depth"), (F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * d) - 1))).alias("context"))
-        for d in range(DEPTH + 1)
-    ])
-    symbol = F.col("gram").bitwiseAND(F.lit(255)).cast("int")
-    nodes = grams.select(F.inline(levels), symbol.alias("symbol"), "n").groupBy("depth", "context", "symbol").agg(F.sum("n").alias("n"))
-    nodes = c.materialise(nodes, "suffix-nodes")
-    sizes = nodes.groupBy("depth", "context").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("kinds"))
-    sizes = sizes.filter(F.col("size") >= min_share * total)  # at most 1 / min_share for each depth
-    known = c.materialise(nodes.join(sizes, ["depth", "context"]), "suffix-states")
-    parent = known.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("_suffix"), "symbol",
-                          (F.col("n") / F.col("size")).alias("_p"))
-    suffix = F.expr("context & (shiftleft(1L, 8 * (depth - 1)) - 1)")
-    gain = known.filter("depth > 0").withColumn("_suffix", suffix).join(parent, ["depth", "_suffix", "symbol"])
-    gain = gain.groupBy("depth", "context").agg(
-        F.sum(F.col("n") * F.log2(F.col("n") / F.col("size") / F.col("_p"))).alias("bits"),
-        (F.first("kinds") * F.log2(F.first("size")) / 2).alias("cost"),
-    ).filter(F.col("bits") > DIVERGENCE * F.col("cost")).select("depth", "context")
-    # every suffix of a kept context is kept, too
-    closed = gain.select(F.inline(F.expr(
-        "transform(sequence(1, depth), d -> struct(d as depth, context & (shiftleft(1L, 8 * d) - 1) as context))"
-    ))).distinct()
-    got = known.join(closed, ["depth", "context"], "left_semi").unionByName(known.filter("depth = 0"))
-    got = got.select("depth", "context", "symbol", "n").toPandas()
-    return Tree(*(got[x].to_numpy(np.int64) for x in ("depth", "context", "symbol", "n")))
-
-
-def token_scores(tables: tuple[np.ndarray, np.ndarray, list[np.ndarray]], symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 probability of each word with its space, and of each end, given
-    all that stands before it, in the order of the texts."""
-    column, table, children = tables
-    at, past = histories(symbols, first)
-    state = np.ones(len(at), np.int32)
-    best = state
-    for d, child in enumerate(children):
-        byte = ((past >> np.uint64(8 * d)) & np.uint64(255)).astype(np.int64)
-        state = child[state, column[byte]]
-        best = np.where(state > 0, state, best)
-    gain = table[best, column[symbols[at]]].astype(np.float64)
+def pack(x: np.ndarray, differences: bool = False) -> bytes:
+    """An array, byte by byte of its numbers, compressed."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if differences else x
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(b: bytes, kind: type, differences: bool = False) -> np.ndarray:
+    n, size = int.from_bytes(b[:8], "little"), np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(b[8:], n * size, codec="zstd", asbytes=True), np.uint8)
+    x = np.ascontiguousarray(raw.reshape(size, n).T).view(kind).reshape(n)
+    return np.cumsum(x, dtype=kind) if differences else x
+
+
+def base(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The lowest BASE bytes of all grams of ``docs`` (text; null: empty),
+    sorted, and their counts: no more than there are triples of bytes."""
+    got = c.over_batches(docs.select("text"), _base_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    keys, counts = got["gram"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
+    order = np.argsort(keys)
+    return keys[order], counts[order]
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of ``wanted`` among sorted keys; 0 for others."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    k, at = np.unique(keys, return_inverse=True)
+    return k, np.bincount(at, n, len(k)).astype(np.int64)
+
+
+def base_states(known: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability, count and count of the context of each of ``wanted`` (as in
+    ``base``).  Bytes never seen share the weight of one byte."""
+    for d in range(BASE):
+        keys, n = _sums(known[0] & _LOW[d + 1], known[1])
+        mine = wanted & _LOW[d + 1]
+        count, size = _found(keys, n, mine), _found(*_sums(keys >> _BYTE, n), mine >> _BYTE)
+        if d == 0:
+            p = np.where(count > 0, count, 1 / max(1, 256 - len(keys))) / (known[1].sum() + 1)
+        else:
+            p = np.where(size > 0, (count + SMOOTHING * p) / (size + SMOOTHING), p)
+    return p, count, size
+
+
+def probabilities(gram: np.ndarray, n: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Probability of the last byte of each gram (sorted, distinct) after the
+    others, under the tree of their counts ``n``.  Grams with the same lowest
+    BASE + 1 bytes must all be there."""
+    levels = []  # deepest first: counts, context of each gram, and its place among the shorter grams
+    while True:
+        new = np.diff(gram >> _BYTE) != 0
+        context = np.concatenate([[0], np.cumsum(new)])[: len(gram)]
+        depth = DEPTH - len(levels)
+        if depth < BASE:
+            break
+        shorter, up = np.unique(gram & _LOW[depth], return_inverse=True)
+        levels.append((n, context, up))
+        gram, n = shorter, np.bincount(up, n, len(shorter)).astype(np.int64)
+    p, n, size = base_states(known, gram)
+    states, shares = [], n / np.maximum(size, 1)
+    for n, context, up in reversed(levels):
+        size = np.bincount(context, n)
+        kinds = np.bincount(context, n > 0)
+        share = n / np.maximum(size, 1)[context]
+        bits = np.zeros(len(n))
+        some = n > 0
+        bits[some] = n[some] * np.log2(share[some] / shares[up[some]])
+        cost = kinds * np.log2(np.maximum(size, 1)) / 2
+        states.append((size >= MIN_COUNT) & (np.bincount(context, bits) > DIVERGENCE * cost))
+        shares = share
+    for deep in range(len(states) - 1, 0, -1):  # suffixes of states
+        _, context, up = levels[len(states) - 1 - deep]
+        shorter = levels[len(states) - deep][1]
+        states[deep - 1][shorter[up[states[deep][context]]]] = True
+    for (n, context, up), state in zip(reversed(levels), states):
+        size = np.bincount(context, n)
+        p = np.where(state[context], (n + SMOOTHING * p[up]) / (size[context] + SMOOTHING), p[up])
+    return p
+
+
+def token_scores(gain: np.ndarray, at: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``gain`` (one for each position ``at`` to predict) over each word
+    with its space, and over each end, in the order of the texts."""
     begins = symbols[at - 1] == 0x20
     begins[np.searchsorted(at, first)] = True
     return np.add.reduceat(gain, np.flatnonzero(begins))
 
 
+def block_grams(texts: list[bytes], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams, their training counts, and the place among them of each
+    position to predict."""
+    keys, weight = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+    for part in c.slices(texts):
+        symbols, first, _, _ = normal_form(part)
+        at, gram = grams(symbols, first)
+        keys.append(gram)
+        weight.append(learn[part.lo : part.hi][np.searchsorted(first, at, "right") - 1])
+    k, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return k, np.bincount(place, np.concatenate(weight), len(k)).astype(np.int32), place.astype(np.int32)
+
+
+def gram_range(gram: np.ndarray, ranges: int) -> np.ndarray:
+    return c.mix((gram >> _BYTE) & _LOW[BASE]) % np.uint64(ranges)
+
+
 def _block_words(key, tables):
-    """Distinct words of a block by hash range, with their training counts."""
+    """Distinct words and grams of a block by range, with their training counts."""
     block, ranges = key[0].as_py(), tables.column("_ranges")[0].as_py()
     texts, learn = c.as_bytes(tables.column("text").combine_chunks()), np.array(tables.column("_learn").to_pylist(), bool)
     words, counts = distinct_words(texts, learn)
-    where = words % np.uint64(ranges)
-    order = np.argsort(where, kind="stable")
-    cut = np.searchsorted(where[order], np.arange(ranges + 1))
-    rows = [r for r in range(ranges) if cut[r] < cut[r + 1]]
-    pick = [order[cut[r] : cut[r + 1]] for r in rows]
+    pick = _by_range(words % np.uint64(ranges), ranges)
+    gram, uses, _ = block_grams(texts, learn)
+    mine = _by_range(gram_range(gram, ranges), ranges)
+    rows = [r for r in range(ranges) if len(pick[r]) or len(mine[r])]
     return pa.table({
         "block": pa.array([block] * len(rows), pa.int32()), "range": pa.array(rows, pa.int32()),
-        "words": pa.array([words[p].tobytes() for p in pick], pa.binary()),
-        "counts": pa.array([counts[p].tobytes() for p in pick], pa.binary()),
+        "words": pa.array([words[pick[r]].tobytes() for r in rows], pa.binary()),
+        "counts": pa.array([counts[pick[r]].tobytes() for r in rows], pa.binary()),
+        "grams": pa.array([pack(gram[mine[r]], True) for r in rows], pa.binary()),
+        "uses": pa.array([pack(uses[mine[r]]) for r in rows], pa.binary()),
     })
 
 
+def _by_range(where: np.ndarray, ranges: int) -> list[np.ndarray]:
+    """Places of each range's rows, in their order."""
+    order = np.argsort(where, kind="stable")
+    return np.split(order, np.searchsorted(where[order], np.arange(1, ranges)))
+
+
 def distinct_words(texts: list[bytes], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for part in c.slices(texts):
@@ -241,21 +257,29 @@ def distinct_words(texts: list[bytes], learn: np.ndarray) -> tuple[np.ndarray, n
     return words[0], counts[0]
 
 
-def _range_counts(key, tables):
-    """For one hash range: corpus counts of every block's words, in the order
-    in which the block has sent them."""
+def _range_answers(key, tables, known):
+    """For one range: corpus counts of every block's words and log10
+    probabilities of its grams, in the order in which the block has sent them."""
     blocks = tables.column("block").to_pylist()
     words = [np.frombuffer(b, np.uint64) for b in tables.column("words").to_pylist()]
     counts = [np.frombuffer(b, np.int64) for b in tables.column("counts").to_pylist()]
     all_words, at = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(at, np.concatenate(counts), len(all_words)).astype(np.int64)
     sizes = np.cumsum([len(w) for w in words])[:-1]
-    known = total[total > 0]
+    seen = total[total > 0]
     tokens, kinds = [0] * len(blocks), [0] * len(blocks)
-    tokens[0], kinds[0] = int(known.sum()), len(known)  # once for the range
+    tokens[0], kinds[0] = int(seen.sum()), len(seen)  # once for the range
+    sent = [unpack(b, np.uint64, True) for b in tables.column("grams").to_pylist()]
+    uses = np.concatenate([unpack(b, np.int32) for b in tables.column("uses").to_pylist()])
+    cuts = np.cumsum([len(g) for g in sent])[:-1]
+    gram, place = np.unique(np.concatenate(sent), return_inverse=True)
+    del sent
+    p = probabilities(gram, np.bincount(place, uses, len(gram)).astype(np.int64), known)
+    gain = np.log10(np.maximum(p, 1e-30)).astype(np.float32)
     return pa.table({
         "block": pa.array(blocks, pa.int32()), "range": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
         "counts": pa.array([total[x].tobytes() for x in np.split(at, sizes)], pa.binary()),
+        "gains": pa.array([pack(gain[x]) for x in np.split(place, cuts)], pa.binary()),
         "tokens": pa.array(tokens, pa.int64()), "kinds": pa.array(kinds, pa.int64()),
     })
 
@@ -270,7 +294,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     are not looked at.
     """
     docs = c.narrow(docs, doc_id=doc_id, text=F.coalesce(F.col(text), F.lit("")), _learn=F.coalesce(learn, F.lit(False)))
-    tree = grow(docs.filter("_learn"))
+    shared = docs.sparkSession.sparkContext.broadcast(base(docs.filter("_learn")))
     size, ends = docs.agg(
         F.sum(F.octet_length("text")), F.sum(F.col("_learn").cast("long"))).first()
     ends = ends or 0
@@ -278,14 +302,14 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     ranges = max(4, int(blocks * RANGES_PER_BLOCK))
     dealt = docs.withColumn("_block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     dealt = dealt.withColumn("_ranges", F.lit(ranges))
-    words = dealt.groupBy("_block").applyInArrow(_block_words, "block int, range int, words binary, counts binary")
+    words = dealt.groupBy("_block").applyInArrow(_block_words, "block int, range int, words binary, counts binary, grams binary, uses binary")
     counted = c.materialise(
-        words.groupBy("range").applyInArrow(_range_counts, "block int, range int, counts binary, tokens long, kinds long"),
+        words.groupBy("range").applyInArrow(lambda key, tables: _range_answers(key, tables, shared.value),
+                                            "block int, range int, counts binary, gains binary, tokens long, kinds long"),
         "suffix-words",
     )
     tokens, kinds = counted.agg(F.sum("tokens"), F.sum("kinds")).first()
     n, v = (tokens or 0) + ends, (kinds or 0) + (1 if ends else 0)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
     kind = docs.schema["doc_id"].dataType
 
     def run(key, left, right):
@@ -297,11 +321,14 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
         known, _ = distinct_words(texts, np.zeros(len(texts), bool))
         where = known % np.uint64(ranges)
         counts = np.zeros(len(known), np.int64)
-        for r, b in zip(right.column("range").to_pylist(), right.column("counts").to_pylist()):
+        gram, _, place = block_grams(texts, np.zeros(len(texts), bool))
+        mine = _by_range(gram_range(gram, ranges), ranges)
+        gains, done = np.zeros(len(gram), np.float32), 0
+        for r, b, g in zip(*(right.column(x).to_pylist() for x in ("range", "counts", "gains"))):
             counts[where == np.uint64(r)] = np.frombuffer(b, np.int64)
+            gains[mine[r]] = unpack(g, np.float32)
         value = np.log10((counts + 1) / (n + v + 1))
         end = np.log10((ends + 1) / (n + v + 1))
-        tables = shared.value.tables
         n_tokens, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         base, model = np.zeros(len(texts)), np.zeros(len(texts))
         for part in c.slices(texts):
@@ -311,9 +338,14 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
             n_tokens[mine] = np.bincount(owner, minlength=part.n) + 1
             n_known[mine] = np.bincount(owner, counts[at] > 0, part.n).astype(int) + (ends > 0)
             base[mine] = np.bincount(owner, value[at], part.n) + end
+            here = np.ones(len(symbols), bool)
+            here[first] = False
+            here = np.flatnonzero(here)
+            gain = gains[place[done : done + len(here)]].astype(np.float64)
+            done += len(here)
             # a word's own count, with as much of the tree as there are kinds of words
             seen = np.insert(counts[at], np.searchsorted(owner, np.arange(part.n), "right"), ends)
-            word = np.log10((seen + (v + 1) * 10 ** token_scores(tables, symbols, first)) / (n + v + 1))
+            word = np.log10((seen + (v + 1) * 10 ** token_scores(gain, here, symbols, first)) / (n + v + 1))
             whose = np.repeat(np.arange(part.n), n_tokens[mine])
             model[mine] = np.bincount(whose, word, part.n)
         return pa.table({

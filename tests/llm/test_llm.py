@@ -235,6 +235,73 @@ def test_suffix_tree_base(spark, odd, empty):
     assert suffix_tree.score(empty, F.lit(True)).count() == 0
 
 
+def brute_tree(learn, asked):
+    """log10 probabilities of the symbols of ``asked`` by the definition of the tree, its contexts in dicts."""
+    depth, base = suffix_tree.DEPTH, suffix_tree.BASE
+    tree = {}
+    for x in learn:
+        padded = b"\n" * depth + x
+        for i in range(depth + 1, len(padded)):
+            for d in range(depth + 1):
+                tree.setdefault(padded[i - d : i], Counter())[padded[i]] += 1
+    size = {k: sum(v.values()) for k, v in tree.items()}
+    states = set()
+    for k, v in tree.items():
+        bits = sum(n * math.log2(n / size[k] / (tree[k[1:]][b] / size[k[1:]])) for b, n in v.items()) if k else 0
+        if len(k) < base or (size[k] >= suffix_tree.MIN_COUNT and bits > suffix_tree.DIVERGENCE * len(v) * math.log2(size[k]) / 2):
+            states |= {k[i:] for i in range(len(k) + 1)}
+
+    def p(k, b):
+        if not k:
+            return (tree[k][b] or 1 / (256 - len(tree[k]))) / (size[k] + 1)
+        less = p(k[1:], b)
+        return (tree[k][b] + suffix_tree.SMOOTHING * less) / (size[k] + suffix_tree.SMOOTHING) if k in states else less
+
+    for x in asked:
+        padded = b"\n" * depth + x
+        yield [math.log10(p(padded[i - depth : i], padded[i])) for i in range(depth + 1, len(padded))]
+
+
+def tree_symbols(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text))
+    return b"\n" + b"".join(w + b" " for w in words) + b"\n"
+
+
+def tree_words(x):
+    """The words of a normal form with their spaces, and the end."""
+    return [w + b" " for w in x[1:-1].split(b" ")[:-1]] + [b"\n"]
+
+
+def test_suffix_tree_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()
+    texts = [(r.text or "")[:1500] for r in rows] + ["", "Zq\u00e9 never seen"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    symbols = [tree_symbols(t.encode()) for t in texts]
+    want = [*brute_tree([x for i, x in enumerate(symbols) if i % 3], symbols)]
+    words = [tree_words(x) for x in symbols]
+    count = Counter(w for i, x in enumerate(words) if i % 3 for w in x)
+    n, v = sum(count.values()), len(count)
+    for r in suffix_tree.score(docs, F.col("doc_id") % 3 != 0, block_bytes=4000).collect():
+        at, total = 0, 0.0
+        for w in words[r.doc_id]:
+            tree = 10 ** sum(want[r.doc_id][at : at + len(w)])
+            total += math.log10((count[w] + (v + 0) * tree) / (n + v))
+            at += len(w)
+        assert math.isclose(r.score, total, rel_tol=1e-4), texts[r.doc_id]
+
+
+def test_suffix_tree_keeps_rare_contexts_of_large_corpora(spark):
+    """Six occurrences decide, however much else there is."""
+    some = ["xzxqkvy"] * 6
+    asked = []
+    for filler in (1, 40):
+        rows = [(i, t) for i, t in enumerate(some)] + [(100 + i, LONG) for i in range(filler)] + [(-1, "wwxqkvy")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        asked.append(next(r.score for r in suffix_tree.score(docs, F.col("doc_id") >= 0).collect() if r.doc_id == -1))
+    # apart from rarer first bytes, the word is as predictable
+    assert asked[1] > asked[0] - 10
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "</s>[INST] a <\\s>"), (1, 1, "user", "b"), (1, 2, "assistant", "[\\/INST]"), (1, 2, "assistant", None),
             (1, None, None, "first"), (None, 0, "user", "x"), (2, 70, "a", "late"), (2, 1, "a", "early")]
