@@ -171,6 +171,21 @@ def test_decontamination(spark, odd, empty):
     assert decontaminate.matches(empty, bench).count() == 0
 
 
+def found_copies(spark, texts, item):
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = decontaminate.matches(docs, bench, keep=[F.col("doc_id")]).filter(F.size("matches") > 0).collect()
+    return sorted(r.doc_id for r in got)
+
+
+def test_decontamination_among_foreign_words(spark):
+    """A copy is found though all words around it are rare and not the benchmark's."""
+    item = [f"item{i}" for i in range(10)]
+    texts = [" ".join([item[i % 20], *(f"x{i}y{j}" for j in range(60))] if i % 20 < 10 else [f"x{i}y0"]) for i in range(300)]
+    copy = " ".join([*(f"z{j}" for j in range(24)), *item, *(f"z{j}" for j in range(60))])
+    assert found_copies(spark, [*texts, copy], " ".join(item)) == [300]
+
+
 def test_common_subsequence():
     draw = np.random.default_rng(2)
     for _ in range(200):
