@@ -186,6 +186,13 @@ def test_decontamination_among_foreign_words(spark):
     assert found_copies(spark, [*texts, copy], " ".join(item)) == [300]
 
 
+def test_decontamination_of_common_words(spark):
+    """So is an item of words that all texts hold, in another order."""
+    item = [f"item{i}" for i in range(10)]
+    texts = [" ".join(item[::-1]) for i in range(300)]
+    assert found_copies(spark, [*texts, "so " + " ".join(item)], " ".join(item)) == [300]
+
+
 def test_common_subsequence():
     draw = np.random.default_rng(2)
     for _ in range(200):
