@@ -2,7 +2,8 @@
 
 Exact patterns find the base spans.  The field runs over the tokens that hold a
 digit or an @: neighbours in the text share a chain potential, and repeated or
-similar tokens of a document, however distant, share a skip potential.  Base
+similar tokens of a document, however distant and many, share a skip potential
+with one variable (a hub), which is observed if one of them is.  Base
 spans are observed; loopy message passing carries their labels to tokens that
 no pattern matches (a number again without its prefix, a user name without its
 host).  Potentials are log ratios of counts over the whole corpus, labelled by
@@ -25,7 +26,9 @@ KINDS = ("email", "ip", "card", "phone")
 OTHER = 0  # label 0; label i + 1 is KINDS[i]
 LABELS = len(KINDS) + 1
 SHAPES = 2048
-ROUNDS = 8
+#: messages go on until none changes more than this, or swing so long
+SETTLED = 1e-3
+MOST_ROUNDS = 500
 DAMPING = 0.3
 #: log weight against a kind for a token that no pattern matched
 DOUBT = 4.0
@@ -114,22 +117,25 @@ class Tokens:
     label: list[int]
     form: list[int]
     chain: list[tuple[int, int]]
-    skip: list[tuple[int, int]]
+    skip: list[tuple[int, int]]  # each token and the last one alike, to count from
+    hub: list[tuple[int, int]]  # (hub, token): one hub for what is repeated
+    hubs: int = 0
 
 
 def tokens(part: c.Slice, texts: dict[int, str], base: dict[int, list]) -> Tokens:
     """``texts``: decoded texts that hold a digit or an @, by number."""
-    out = Tokens([], [], [], [], [], [], [])
+    out = Tokens([], [], [], [], [], [], [], [])
     starts, ends, owner = part.words()
     mark = np.concatenate([[0], np.cumsum(c.DIGIT[part.data] | (part.data == 0x40))])
     words = np.flatnonzero(mark[ends] > mark[starts])
     points = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])
     text_of, word_number = -1, -2
     last: dict[str, int] = {}
+    hub_of: dict[str, int] = {}
     for w in words.tolist():
         i = int(owner[w])
         if i != text_of:
-            text_of, last, word_number = i, {}, -2
+            text_of, last, hub_of, word_number = i, {}, {}, -2
         zero = points[part.start[i] + 1]
         a, b = int(points[starts[w]] - zero), int(points[ends[w]] - zero)
         token = texts[i][a:b]
@@ -147,6 +153,11 @@ def tokens(part: c.Slice, texts: dict[int, str], base: dict[int, list]) -> Token
         for key in links(token):
             if key in last and last[key] != me:
                 out.skip.append((last[key], me))
+                if key not in hub_of:
+                    hub_of[key] = out.hubs
+                    out.hub.append((out.hubs, last[key]))
+                    out.hubs += 1
+                out.hub.append((hub_of[key], me))
             last[key] = me
         for values, v in zip((out.text, out.start, out.end, out.label, out.form), (i, a, b, kind, shape(token))):
             values.append(v)
@@ -224,13 +235,24 @@ def posteriors(field: Field, found: Tokens) -> np.ndarray:
     seen = label > 0
     node[seen] = -50.0
     node[np.flatnonzero(seen), label[seen]] = 0.0
-    edges = np.array(found.chain + found.skip, int).reshape(-1, 2)
+    hub, member = np.array(found.hub, int).reshape(-1, 2).T
+    votes = np.zeros((found.hubs, LABELS))
+    np.add.at(votes, (hub, label[member]), label[member] > 0)
+    # an unobserved hub is doubted as its tokens are
+    hubs = np.full((found.hubs, LABELS), -DOUBT)
+    hubs[:, 0] = 0.0
+    told = votes.any(axis=1)
+    hubs[told] = -1e9  # beyond any number of tokens
+    hubs[told, votes[told].argmax(axis=1)] = 0.0
+    tokens_, node = len(node), np.concatenate([node, hubs])
+    edges = np.concatenate([np.array(found.chain, int).reshape(-1, 2), np.stack([tokens_ + hub, member], axis=1)])
     if not len(edges):
         return _normal(node)
-    pair = np.concatenate([np.repeat(field.chain[None], len(found.chain), 0), np.repeat(field.skip[None], len(found.skip), 0)])
+    pair = np.concatenate([np.repeat(field.chain[None], len(found.chain), 0), np.repeat(field.skip[None], len(found.hub), 0)])
     u, v = edges.T
     to_v, to_u = np.zeros((len(u), LABELS)), np.zeros((len(u), LABELS))
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS):
+        before = to_v, to_u
         belief = node.copy()
         np.add.at(belief, v, to_v)
         np.add.at(belief, u, to_u)
@@ -238,10 +260,12 @@ def posteriors(field: Field, found: Tokens) -> np.ndarray:
         new_u = _log_sum(((belief[v] - to_v)[:, None, :] + pair).transpose(0, 2, 1))
         to_v = DAMPING * to_v + (1 - DAMPING) * (new_v - new_v.max(axis=1, keepdims=True))
         to_u = DAMPING * to_u + (1 - DAMPING) * (new_u - new_u.max(axis=1, keepdims=True))
+        if max(np.abs(to_v - before[0]).max(), np.abs(to_u - before[1]).max()) < SETTLED:
+            break
     belief = node.copy()
     np.add.at(belief, v, to_v)
     np.add.at(belief, u, to_u)
-    return _normal(belief)
+    return _normal(belief[:tokens_])
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:

@@ -142,6 +142,22 @@ def test_pii_field_carries_labels():
     assert pii.spans_of(field, next(c.slices(raw)), raw)[1] == {0: []}
 
 
+@pytest.mark.parametrize("repeats", [2, 5, 50])
+def test_pii_field_reaches_every_repeat(repeats):
+    skip = np.full((5, 5), -pii.DISSENT)
+    np.fill_diagonal(skip, pii.DOUBT - 0.5)
+    skip[0, 0] = 0
+    field = pii.Field(np.zeros((pii.SHAPES, 5)), np.zeros((5, 5)), skip)
+    for first, again in (("mail jane77.doe@example.org", "jane77.doe"), ("call +1 (988) 555-2485", "555-2485")):
+        for strange in (False, True):
+            field.unary[:] = 0
+            if strange:  # a form never seen with a kind
+                field.unary[pii.shape(again), 1:] = -9
+            raw = [" or ".join([first, *[again] * repeats]).encode()]
+            spans = pii.spans_of(field, next(c.slices(raw)), raw)[1][0]
+            assert len(spans) == repeats + 1 and len({s[0] for s in spans}) == 1
+
+
 def test_pii_base_equals_patterns():
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
