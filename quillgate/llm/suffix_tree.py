@@ -233,8 +233,8 @@ def _block_words(key, tables):
     rows = [r for r in range(ranges) if len(pick[r]) or len(mine[r])]
     return pa.table({
         "block": pa.array([block] * len(rows), pa.int32()), "range": pa.array(rows, pa.int32()),
-        "words": pa.array([words[pick[r]].tobytes() for r in rows], pa.binary()),
-        "counts": pa.array([counts[pick[r]].tobytes() for r in rows], pa.binary()),
+        "words": pa.array([pack(words[pick[r]], True) for r in rows], pa.binary()),
+        "counts": pa.array([pack(counts[pick[r]]) for r in rows], pa.binary()),
         "grams": pa.array([pack(gram[mine[r]], True) for r in rows], pa.binary()),
         "uses": pa.array([pack(uses[mine[r]]) for r in rows], pa.binary()),
     })
@@ -261,8 +261,8 @@ def _range_answers(key, tables, known):
     """For one range: corpus counts of every block's words and log10
     probabilities of its grams, in the order in which the block has sent them."""
     blocks = tables.column("block").to_pylist()
-    words = [np.frombuffer(b, np.uint64) for b in tables.column("words").to_pylist()]
-    counts = [np.frombuffer(b, np.int64) for b in tables.column("counts").to_pylist()]
+    words = [unpack(b, np.uint64, True) for b in tables.column("words").to_pylist()]
+    counts = [unpack(b, np.int64) for b in tables.column("counts").to_pylist()]
     all_words, at = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(at, np.concatenate(counts), len(all_words)).astype(np.int64)
     sizes = np.cumsum([len(w) for w in words])[:-1]
@@ -278,7 +278,7 @@ def _range_answers(key, tables, known):
     gain = np.log10(np.maximum(p, 1e-30)).astype(np.float32)
     return pa.table({
         "block": pa.array(blocks, pa.int32()), "range": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
-        "counts": pa.array([total[x].tobytes() for x in np.split(at, sizes)], pa.binary()),
+        "counts": pa.array([pack(total[x]) for x in np.split(at, sizes)], pa.binary()),
         "gains": pa.array([pack(gain[x]) for x in np.split(place, cuts)], pa.binary()),
         "tokens": pa.array(tokens, pa.int64()), "kinds": pa.array(kinds, pa.int64()),
     })
@@ -325,7 +325,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
         mine = _by_range(gram_range(gram, ranges), ranges)
         gains, done = np.zeros(len(gram), np.float32), 0
         for r, b, g in zip(*(right.column(x).to_pylist() for x in ("range", "counts", "gains"))):
-            counts[where == np.uint64(r)] = np.frombuffer(b, np.int64)
+            counts[where == np.uint64(r)] = unpack(b, np.int64)
             gains[mine[r]] = unpack(g, np.float32)
         value = np.log10((counts + 1) / (n + v + 1))
         end = np.log10((ends + 1) / (n + v + 1))
