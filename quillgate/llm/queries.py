@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import ann, chat, common as c, decontaminate, language_id, mixing, near_dedup, pii, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, decontaminate, infill, language_id, mixing, near_dedup, pii, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +133,35 @@ def op1_weighted_minhash(spark, sf):
 def op4_latent_decontamination(spark, sf):
     found = decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=[F.col("doc_id")])
     return found.select("doc_id", F.inline("matches"))
+
+
+@query
+def op12_skip_list(spark, sf):
+    got = infill.rearrange(table(spark, sf, "documents"), keep=[F.col("doc_id")])
+
+    def sha(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                      sha(infill.restored()).alias("restored_sha256"))
+
+
+ORACLES["op12_skip_list"] = """
+with cut as (
+    select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+        sha256('1:' || doc_id) as h from documents),
+drawn as (
+    select *, len(u) as n, ('0x' || h[1:8])::ubigint % (len(u) + 1) as a, ('0x' || h[9:16])::ubigint % (len(u) + 1) as b,
+        ('0x' || h[17:24])::ubigint % 100 as c, ('0x' || h[25:32])::ubigint % 100 as d from cut),
+formed as (
+    select *, case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or c >= 90 then 'plain'
+                   when d < 20 then 'spm' else 'psm' end as form,
+        array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+        array_to_string(u[greatest(a, b) + 1:], '') as s from drawn)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+    case when form <> 'plain' then length(m) end as middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                     else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(t) as restored_sha256
+from formed
+"""
