@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import ann, chat, common as c, decontaminate, infill, language_id, mixing, near_dedup, pii, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, decontaminate, infill, language_id, mixing, near_dedup, packing, pii, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,3 +166,9 @@ select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_c
     sha256(t) as restored_sha256
 from formed
 """
+
+
+@query
+def op11_column_generation(spark, sf):
+    packed = packing.pack(table(spark, sf, "documents"), keep=[F.col("doc_id")], vocabulary=public_tokenizers.path("word_bpe_49k.json"))
+    return packed.pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
