@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillgate.llm import ann, chat, common as c, decontaminate, infill, language_id, mixing, near_dedup, packing, pii, quality, suffix_tree, toxicity
+from quillgate.llm import ann, chat, common as c, decontaminate, hard_negatives, infill, language_id, mixing, near_dedup, packing, pii, quality, suffix_tree, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,3 +172,31 @@ from formed
 def op11_column_generation(spark, sf):
     packed = packing.pack(table(spark, sf, "documents"), keep=[F.col("doc_id")], vocabulary=public_tokenizers.path("word_bpe_49k.json"))
     return packed.pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_cover_tree(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_cover_tree"] = """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, list_dot_product(a.v, b.v)::bigint as score
+    from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+near as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select n.anchor_id, positive_id,
+    (row_number() over (partition by n.anchor_id, positive_id order by score desc, vec_id))::int as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from near n join scored s on n.anchor_id = s.anchor_id and not same
+    and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
