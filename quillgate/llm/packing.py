@@ -26,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -45,7 +46,11 @@ GAP, MOST_STEPS = 0.01, 12_000
 COLUMNS_A_RUN = 96
 _TINY = 1e-9
 #: bytes of words and ids that a task remembers
-MEMORY_BYTES = 3 << 26
+MEMORY_BYTES = 5 << 25
+#: bytes of text that are looked up at once
+SLICE_BYTES = 1 << 22
+#: rows of cut pieces that are broadcast to the token ids; more are joined by shuffle
+MOST_SENT = 100_000
 #: bytes of pieces that are handed on at once
 RESULT_BYTES = 1 << 23
 
@@ -65,7 +70,7 @@ class _Lists:
     def __init__(self):
         self.number: dict = {}
         self.ids = np.zeros(1 << 12, np.uint32)
-        self.start, self.length = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self.start, self.length, self.asked = (np.zeros(1 << 10, np.int64) for _ in range(3))
         self.used = self.bytes = 0
 
     def add(self, keys: list, flat: np.ndarray, ends: np.ndarray) -> None:
@@ -73,7 +78,7 @@ class _Lists:
         first, length = len(self.number), np.diff(ends, prepend=0)
         last, end = first + len(keys), self.used + len(flat)
         while last > len(self.start):
-            self.start, self.length = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length))
+            self.start, self.length, self.asked = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length, self.asked))
         while end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : end] = flat
@@ -84,7 +89,9 @@ class _Lists:
         self.bytes += 150 * len(keys) + sum(map(len, keys)) + 4 * len(flat)
 
     def find(self, keys: Iterable, n: int) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, keys), np.int64, n)
+        at = np.fromiter(map(self.number.__getitem__, keys), np.int64, n)
+        np.add.at(self.asked, at, 1)
+        return at
 
     def join(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists of these numbers one after the other, and where each ends."""
@@ -93,6 +100,15 @@ class _Lists:
         total = int(ends[-1]) if len(ends) else 0
         return self.ids[np.repeat(self.start[at] - (ends - length), length) + np.arange(total)], ends
 
+    def common(self) -> _Lists:
+        """The quarter that was asked for most often."""
+        n = len(self.number)
+        chosen = np.zeros(n, bool)
+        chosen[np.argsort(-self.asked[:n], kind="stable")[: n // 4]] = True
+        out = _Lists()
+        out.add([k for k, x in zip(self.number, chosen) if x], *self.join(np.flatnonzero(chosen)))
+        return out
+
 
 class Ids:
     """Ids of whole texts, one ASCII-white-space chunk at a time.
@@ -100,7 +116,8 @@ class Ids:
     The vocabulary drops white space before it looks for words, so a text's
     ids are those of its chunks in order.  A chunk of plain Latin letters is in
     turn the ids of its words; any other is given to the tokenizer as it is.
-    Chunks and words are remembered up to a bound of bytes.
+    Chunks and words are remembered up to a bound of bytes; beyond it only the
+    more common ones stay.
     """
 
     def __init__(self, vocabulary: str):
@@ -111,9 +128,6 @@ class Ids:
         known = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(known.values()) + 1, bool)
         self.ends[[i for token, i in known.items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.chunks, self.words = _Lists(), _Lists()
 
     def _encode(self, words: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -140,39 +154,42 @@ class Ids:
         flat, ends = self.words.join(self.words.find(chain.from_iterable(parts), counts[-1]))
         self.chunks.add(chunks, flat, np.concatenate([[0], ends])[counts])
 
-    def _some(self, texts: list[bytes]) -> list[np.ndarray]:
-        chunks = [t.split() for t in texts]
+    def _some(self, texts: pa.Array) -> list[np.ndarray]:
         if self.chunks.bytes + self.words.bytes > MEMORY_BYTES:
-            self._forget()
-        if new := set(chain.from_iterable(chunks)) - self.chunks.number.keys():
-            self._learn(list(new))
-        counts = [len(some) for some in chunks]
-        flat, ends = self.chunks.join(self.chunks.find(chain.from_iterable(chunks), sum(counts)))
-        stops = np.concatenate([[0], ends])[np.cumsum(counts)]
-        return np.split(flat, stops[:-1])
+            self.chunks, self.words = self.chunks.common(), self.words.common()
+        lists = pc.ascii_split_whitespace(texts)
+        found = lists.flatten().dictionary_encode()
+        distinct = found.dictionary.view(pa.binary()).to_pylist()
+        if new := [x for x in distinct if x not in self.chunks.number]:
+            self._learn(new)
+        at = self.chunks.find(distinct, len(distinct))
+        flat, ends = self.chunks.join(at[found.indices.to_numpy()])
+        stops = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
+        return [flat[a:b] for a, b in zip(stops, stops[1:])]
 
     def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text, many texts at a time."""
         lo = size = 0
         for i, text in enumerate(texts):
-            if len(text) > c.SLICE_BYTES:
-                if lo < i:
-                    yield from self._some(texts[lo:i])
-                yield np.concatenate([self._some([part])[0] for part in _parts(text)])
-                lo, size = i + 1, 0
-                continue
             size += len(text)
-            if size >= c.SLICE_BYTES:
-                yield from self._some(texts[lo : i + 1])
+            if size >= SLICE_BYTES or i + 1 == len(texts):
+                if len(text) <= SLICE_BYTES:
+                    yield from self._some(_strings(texts[lo : i + 1]))
+                else:
+                    yield from self._some(_strings(texts[lo:i]))
+                    yield np.concatenate([self._some(_strings([part]))[0] for part in _parts(text)])
                 lo, size = i + 1, 0
-        if lo < len(texts):
-            yield from self._some(texts[lo:])
+
+
+def _strings(texts: list[bytes]) -> pa.Array:
+    return pa.array(texts, pa.binary()).view(pa.string())
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
     """A long text in parts that end at white space."""
     lo = 0
     while lo < len(text):
-        found = _BLANK.search(text, lo + c.SLICE_BYTES)
+        found = _BLANK.search(text, lo + SLICE_BYTES)
         hi = found.start() if found else len(text)
         yield text[lo:hi]
         lo = hi
@@ -510,7 +527,10 @@ def pack(docs: DataFrame, text: str = "text", keep: list[Column] | None = None,
     placed = c.materialise(placed, "packing-places")
     whole, cut = placed.filter(F.col("ids_crc32").isNotNull()), placed.filter(F.col("ids_crc32").isNull())
     part = F.substring(F.col("ids"), (4 * F.col("before") + 1).cast("int"), (4 * F.col("length")).cast("int"))
-    cut = cut.drop("ids_crc32").join(tokens.select("part", "pos", "ids"), ["part", "pos"]).withColumn("ids_crc32", F.crc32(part))
+    cut = cut.drop("ids_crc32")
+    if 2 * (int(p.cuts[-1]) // size + len(p.cuts)) <= MOST_SENT:  # the rows of cut pieces: two at every cut
+        cut = F.broadcast(cut)
+    cut = cut.join(tokens.select("part", "pos", "ids"), ["part", "pos"]).withColumn("ids_crc32", F.crc32(part))
     names = [F.col(f"kept.`{f.name}`") for f in placed.schema["kept"].dataType.fields if f.name != "_0"]
     columns = [*names, "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset", "part", "pos", "before"]
     return Packed(whole.select(*columns).unionByName(cut.select(*columns)), tokens, size)
