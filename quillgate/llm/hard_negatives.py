@@ -27,13 +27,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from quillgate.llm import common as c
 
 #: vectors of a cell, about; its tree is one row of the index
-CELL_ROWS = 8192
+CELL_ROWS = 16384
 #: cells at most (larger cells are cut into parts with the same bounds)
 MOST_CELLS = 4096
 #: vectors that the centres are picked from, and that give queries a first bound, about
 SAMPLE_ROWS = 8192
 #: children of a node, vectors of a leaf
-FANOUT, LEAF_ROWS = 16, 256
+FANOUT, LEAF_ROWS = 16, 512
+#: queries that share a descent
+TOGETHER = 256
 #: queries that meet one copy of a tree
 BLOCK_QUERIES = 65536
 #: groups dealt over at most so many tasks
@@ -112,7 +114,7 @@ def plant(x: np.ndarray, labels: np.ndarray, ids: list[list[int]], top: float, e
             done += len(mine)
         else:
             at = int(np.flatnonzero(mine == centre[node])[0])
-            chosen, nearest, gap = net(high[mine], fanout, at)
+            chosen, nearest, gap = net(high[mine], min(fanout, 1 + -(-len(mine) // leaf_rows)), at)
             first[node], last[node], leaf[node] = len(rows), len(rows) + len(chosen), False
             for i, row in enumerate(chosen):
                 inside = nearest == i
@@ -166,43 +168,63 @@ class Best:
             self.need = max(self.need, -self.found[-1][0])
 
 
-def descend(tree: Tree, q: np.ndarray, label: int, windows: list[Best], same_label: bool) -> None:
-    """Fill the windows with the rows of the query's label, or of others."""
-    if not len(tree.x):
+def descend(tree: Tree, q: np.ndarray, labels: np.ndarray, windows: list[list[Best]], same_label: bool) -> None:
+    """Fill the windows of each query (a row of ``q``) with rows of its label,
+    or of others.
+
+    The queries share one queue, so that a node is read once: best first by the
+    highest bound of those queries that it is still open for.
+    """
+    if not len(tree.x) or not len(q):
+        return
+    if not tree.exact:  # one leaf, in whole numbers
+        for one, label, mine in zip(q, labels, windows):
+            rows = np.flatnonzero((tree.labels == label) == same_label)
+            scores, same = products(tree.x[rows], one, False), (tree.x[rows] == one).all(axis=1)
+            for window in mine:
+                window.take(scores, rows, tree.ids, same)
         return
-    square = float(q @ q)
-    wanted = bit(np.array([label]))[0]
-    high = np.array([w.high for w in windows], float)
-    need = np.array([w.need for w in windows], float)
-
-    def open_nodes(nodes: np.ndarray) -> list[tuple[float, int]]:
-        if not tree.exact:
-            return [(0.0, int(v)) for v in nodes]
-        least, most = ball_bounds(tree.x[tree.centre[nodes]] @ q, tree.radius[nodes], square, tree.top)
-        keep = ((most[:, None] >= need) & (least[:, None] <= high)).any(axis=1)
+    square = np.einsum("ij,ij->i", q, q).astype(float)
+    q = q.astype(tree.x.dtype)
+    width = max(map(len, windows))
+    need = np.array([[w.need for w in mine] + [np.inf] * (width - len(mine)) for mine in windows], float)
+    high = np.array([[w.high for w in mine] + [-np.inf] * (width - len(mine)) for mine in windows], float)
+    wanted = bit(labels)
+    queue: list = []
+
+    def open_nodes(nodes: np.ndarray, active: np.ndarray) -> None:
+        inner = (q[active] @ tree.x[tree.centre[nodes]].T).astype(float)
+        least, most = ball_bounds(inner, tree.radius[nodes], square[active, None], tree.top)
+        keep = ((most[:, :, None] >= need[active, None]) & (least[:, :, None] <= high[active, None])).any(axis=2)
         if same_label:
-            keep &= tree.bits[nodes] & wanted != 0
-        return [(-m, int(v)) for m, v, k in zip(most, nodes, keep) if k]
+            keep &= wanted[active, None] & tree.bits[nodes] != 0
+        for i, node in enumerate(nodes):
+            mine = np.flatnonzero(keep[:, i])
+            if len(mine):
+                heapq.heappush(queue, (-most[mine, i].max(), int(node), active[mine], most[mine, i]))
 
-    queue = open_nodes(np.array([0]))
+    open_nodes(np.array([0]), np.arange(len(q)))
     while queue:
-        most, node = heapq.heappop(queue)
-        if tree.exact and not (-most >= need).any():
-            break  # no later node reaches more
+        _, node, active, most = heapq.heappop(queue)
+        active = active[most >= need[active].min(axis=1)]  # others have found better since
+        if not len(active):
+            continue
         lo, hi = tree.first[node], tree.last[node]
         if not tree.leaf[node]:
-            for item in open_nodes(np.arange(lo, hi)):
-                heapq.heappush(queue, item)
-            continue
-        rows = np.flatnonzero((tree.labels[lo:hi] == label) == same_label) + lo
-        if not len(rows):
+            open_nodes(np.arange(lo, hi), active)
             continue
-        x = tree.x[rows]
-        scores = products(x, q, tree.exact)
-        same = (x == q).all(axis=1) if same_label else None
-        for i, window in enumerate(windows):
-            window.take(scores, rows, tree.ids, same)
-            need[i] = float(window.need)
+        scores = q[active] @ tree.x[lo:hi].T
+        fits = (tree.labels[lo:hi] == labels[active, None]) == same_label
+        fits &= (scores >= need[active].min(axis=1, keepdims=True)) & (scores <= high[active].max(axis=1, keepdims=True))
+        by_query, rows = np.nonzero(fits)
+        edges = np.flatnonzero(np.diff(by_query, prepend=-1, append=-1))
+        for begin, end in zip(edges, edges[1:]):
+            i, mine = active[by_query[begin]], rows[begin:end]
+            found = scores[by_query[begin], mine]
+            same = (tree.x[mine + lo] == q[i]).all(axis=1) if same_label else None
+            for w, window in enumerate(windows[i]):
+                window.take(found, mine + lo, tree.ids, same)
+                need[i, w] = window.need
 
 
 # -- mining ------------------------------------------------------------------
@@ -336,16 +358,28 @@ def mine(vectors: DataFrame, is_anchor: Column, vec_id: str = "vec_id", vector:
         def run(batches):
             tree = None
             for batch in batches:
-                out = []
-                for i, raw in enumerate(batch.column("tree")):
-                    if raw.is_valid:
-                        tree = pickle.loads(raw.as_py())
-                        tree.x = tree.x.astype(float)
-                        continue
-                    key, label_, q, low_, high_, need = (batch.column(name)[i].as_py() for name in asked_for.names)
-                    windows = [Best(k, max(a, b), h) for a, b, h in zip(low_, need, high_)]
-                    descend(tree, np.array(q), label_, windows, same_label)
-                    out += [(key, label_, w, v, max(-_LONG, min(_LONG, -s)), same) for w, window in enumerate(windows) for s, v, same in window.found]
+                rows = [batch.column(name).to_pylist() for name in ("tree", *asked_for.names)]
+                out, waiting = [], []
+
+                def answer():
+                    windows = [[Best(k, max(a, b), h) for a, b, h in zip(*x[3:])] for x in waiting]
+                    descend(tree, np.array([x[2] for x in waiting]), np.array([x[1] for x in waiting], np.int64), windows, same_label)
+                    for x, mine in zip(waiting, windows):
+                        out.extend((x[0], x[1], w, v, max(-_LONG, min(_LONG, -s)), same)
+                                   for w, window in enumerate(mine) for s, v, same in window.found)
+                    waiting.clear()
+
+                for raw, key, label_, q, low_, high_, need in zip(*rows):
+                    if raw is not None or len(waiting) == TOGETHER:
+                        if waiting:
+                            answer()
+                    if raw is not None:
+                        tree = pickle.loads(raw)
+                        tree.x = tree.x.astype(np.float32 if tree.top < 1 << 24 else float)  # either holds all sums exactly
+                    else:
+                        waiting.append((key, label_, q, low_, need, high_))
+                if waiting:
+                    answer()
                 columns = list(zip(*out)) if out else [[]] * 6
                 yield dict(zip(("key", "label", "window", "vec_id", "score", "same"), columns))
 

@@ -79,26 +79,39 @@ def test_bounds_hold():
         assert least[0] <= (x[near] @ q).min() and (x[near] @ q).max() <= most[0]
 
 
-def test_descent_skips_nodes_and_loses_nothing(monkeypatch):
+@pytest.mark.parametrize("together", [1, 20])
+def test_descent_skips_nodes_and_loses_nothing(together):
     x = np.floor(256 * clustered(4000, 8, 3, groups=40))
     labels = np.random.default_rng(3).integers(0, 5, 4000)
     tree = hn.plant(x, labels, [[i] for i in range(4000)], float((x**2).sum(1).max()), leaf_rows=32)
-    seen, real = [], hn.products
-    monkeypatch.setattr(hn, "products", lambda a, q, e: seen.append(len(a)) or real(a, q, e))
-    for a in range(0, 4000, 200):
-        s = x @ x[a]
-        seen.clear()
-        best = hn.Best(6)
-        hn.descend(tree, x[a], int(labels[a]), [best], True)
-        own = np.flatnonzero(labels == labels[a])
-        assert [(-n, i) for n, i, _ in best.found] == sorted(((int(s[i]), int(i)) for i in own), key=lambda t: (-t[0], t[1]))[:6]
-        assert sum(seen) < 400
-        windows = [hn.Best(3, *hn.score_window(-n, 50, 95, 100)) for n, _, _ in best.found[1:]]
-        hn.descend(tree, x[a], int(labels[a]), windows, False)
-        for (n, _, _), w in zip(best.found[1:], windows):
-            fits = [i for i in np.flatnonzero(labels != labels[a]) if 50 * -n <= 100 * s[i] <= 95 * -n]
-            assert [(-m, i) for m, i, _ in w.found] == sorted(((int(s[i]), int(i)) for i in fits), key=lambda t: (-t[0], t[1]))[:3]
-    assert sum(seen) < 2500
+    place = {tuple(row): i for i, row in enumerate(x)}
+    order = np.array([place[tuple(row)] for row in tree.x])
+    read = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, slice):
+                read.append(at.stop - at.start)
+            return np.asarray(self)[at]
+
+    tree.x = tree.x.view(Counted)
+    asked = list(range(0, 4000, 200))
+    for lo in range(0, len(asked), together):
+        some = np.array(asked[lo : lo + together])
+        best = [[hn.Best(6)] for _ in some]
+        hn.descend(tree, x[some], labels[some], best, True)
+        windows = [[hn.Best(3, *hn.score_window(-n, 50, 95, 100)) for n, _, _ in b.found[1:]] for (b,) in best]
+        hn.descend(tree, x[some], labels[some], windows, False)
+        for a, (b,), mine in zip(some, best, windows):
+            s = x @ x[a]
+            first = lambda rows, k: sorted(((int(s[i]), int(i)) for i in rows), key=lambda t: (-t[0], t[1]))[:k]
+            assert [(-n, i) for n, i, _ in b.found] == first(np.flatnonzero(labels == labels[a]), 6)
+            assert [i for _, i, same in b.found if same] == [i for _, i, _ in b.found if i == a]
+            for (n, _, _), w in zip(b.found[1:], mine):
+                assert [(-m, i) for m, i, _ in w.found] == first([i for i in np.flatnonzero(labels != labels[a]) if 50 * -n <= 100 * s[i] <= 95 * -n], 3)
+    assert sorted(order) == list(range(4000))
+    if together == 1:
+        assert sum(read) < 2 * len(asked) * 400  # of 4,000 rows
 
 
 @pytest.mark.parametrize("cell_rows", [8192, 40])
