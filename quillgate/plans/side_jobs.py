@@ -128,11 +128,12 @@ def repair_structured(
     """Extract again where the structured output is missing, invalid or
     incomplete; returns the audit row (dry run: the counts)."""
     configure(spark)
-    source = state.current_output(spark, store)
+    plan = stages.stage_plan(spark, store)
     records = stages.stage_records(spark, store, schemas.STRUCTURED, indexed=True)
     marked = records.withColumn("issue", repair.typed_structured_issue())
     if dry_run:
         return repair.issue_counts(marked)
+    draft = state.draft(spark, store, run)
     marked = materialise(marked, "structured-issues")
     asked = marked.filter(F.col("issue").isNotNull()).withColumn(
         "prompt",
@@ -151,21 +152,15 @@ def repair_structured(
         .select(*marked.columns),
         "structured-fixed",
     )
-    output = f"{store}/data-{run.run_id}"
     good = marked.filter(F.col("issue").isNull())
-    both = good.unionByName(fixed)
-    rec.append_table(both, f"{output}/records", stages.with_index(schemas.STRUCTURED))
-    rec.read_table(spark, f"{source}/plan", schemas.PLAN).write.parquet(f"{output}/plan")
-    stages.write_status(both, output, run)
+    stages.rewrite(draft, good.unionByName(fixed), schemas.STRUCTURED, plan)
     audit = repair.audit_row(
         good.select("issue", "structured_status").unionByName(fixed.select("issue", "structured_status")),
         "issue", F.col("structured_status") == extraction.FAILED, run.run_id, run.stage, run.now(),
     )
-    rec.append_table(audit, f"{store}/repair_audit", schemas.REPAIR_AUDIT)
-    state.publish(spark, store, run, output)
-    return rec.read_table(spark, f"{store}/repair_audit", schemas.REPAIR_AUDIT).filter(
-        F.col("run_id") == run.run_id
-    )
+    rec.append_table(audit, f"{draft.batch}/repair_audit", schemas.REPAIR_AUDIT)
+    draft.commit()
+    return rec.read_table(spark, f"{draft.batch}/repair_audit", schemas.REPAIR_AUDIT)
 
 
 def refine_low_scores(
@@ -190,6 +185,7 @@ def refine_low_scores(
     candidates = refine.pair_candidates(evals, records, min_score)
     if dry_run:
         return refine.candidate_counts(candidates)
+    new_structured, new_evals = state.draft(spark, structured, run), state.draft(spark, evaluations, run)
     asked = refine.refine_requests(candidates).withColumn(
         "prompt", prompts.request_text(prompts.extraction_messages(F.col("prompt")))
     )
@@ -217,18 +213,15 @@ def refine_low_scores(
     changes = materialise(changes, "refined-scored")
     delta = materialise(refine.score_delta(evals, changes), "refined-delta")
 
-    for store, table, columns, schema in (
-        (structured, records, ["structured_output"], schemas.STRUCTURED),
-        (evaluations, evals, ["metric_results", "overall_score", "overall_pass", "evaluated_at"],
-         schemas.EVALUATIONS),
+    for draft, table, columns, schema, plan in (
+        (new_structured, records, ["structured_output"], schemas.STRUCTURED, stages.stage_plan(spark, structured)),
+        (new_evals, evals, ["metric_results", "overall_score", "overall_pass", "evaluated_at"],
+         schemas.EVALUATIONS, stages.stage_plan(spark, evaluations)),
     ):
-        source, output = state.current_output(spark, store), f"{store}/data-{run.run_id}"
-        rec.append_table(
-            refine.upsert(table, changes, columns), f"{output}/records", stages.with_index(schema)
-        )
-        stages.write_status(table, output, run)
-        rec.read_table(spark, f"{source}/plan", schemas.PLAN).write.parquet(f"{output}/plan")
-        state.publish(spark, store, run, output)
+        stages.rewrite(draft, refine.upsert(table, changes, columns), schema, plan)
+    # the first counts only with the second, so both change at once
+    new_structured.commit(needs=new_evals)
+    new_evals.commit()
     return delta
 
 

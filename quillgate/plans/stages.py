@@ -1,8 +1,10 @@
 """Generate, extract, evaluate and filter as resumable jobs.
 
-A stage keeps its tables under ``<store>``: ``runs``, ``attempts`` (model
-calls) and, in the folder of the run, ``plan``, ``records`` and ``status``.
-Work still to do is found by key, so a stopped job goes on where it stopped.
+A stage keeps under ``<store>`` its ``manifests``, the ``attempts`` (model
+calls) and the folders of its tries with ``plan``, ``records`` and ``status``.
+A job checks its upstream, works and publishes last, in one commit, so that
+readers see all or nothing of it.  Work still to do is found by key; the model
+calls of a job that was stopped are kept as attempts.
 """
 
 from __future__ import annotations
@@ -26,8 +28,7 @@ def with_index(schema: T.StructType) -> T.StructType:
 def stage_records(
     spark: SparkSession, store: str, schema: T.StructType, indexed: bool = False
 ) -> DataFrame:
-    path = f"{state.current_output(spark, store)}/records"
-    return rec.read_table(spark, path, with_index(schema) if indexed else schema)
+    return state.table(spark, store, "records", with_index(schema) if indexed else schema)
 
 
 def stage_plan(spark: SparkSession, store: str) -> DataFrame:
@@ -36,8 +37,7 @@ def stage_plan(spark: SparkSession, store: str) -> DataFrame:
 
 def stage_status(spark: SparkSession, store: str) -> DataFrame:
     """Newest status of every planned record."""
-    out = state.current_output(spark, store)
-    log = rec.read_table(spark, f"{out}/status", schemas.PLAN_STATUS)
+    log = state.table(spark, store, "status", schemas.PLAN_STATUS)
     done = planning.latest_state(log).drop("index")
     return stage_plan(spark, store).join(done, "record_id", "left").fillna({"status": "pending"})
 
@@ -46,46 +46,58 @@ def stage_progress(spark: SparkSession, store: str) -> DataFrame:
     return planning.progress(stage_status(spark, store))
 
 
-def _todo(work: DataFrame, done: DataFrame, max_records: int | None) -> DataFrame:
-    """Rows of ``work`` (plan or indexed records) that are not done."""
-    todo = planning.pending(work, done)
+def _begin(draft: state.Draft, plan: DataFrame) -> DataFrame:
+    """The plan of a fresh try, written; that of the resumed output."""
+    if not draft.shown:
+        plan.write.parquet(f"{draft.output}/plan")
+    return rec.read_table(draft.spark, f"{draft.output}/plan", schemas.PLAN)
+
+
+def _todo(work: DataFrame, plan: DataFrame, draft: state.Draft, schema: T.StructType, max_records: int | None) -> DataFrame:
+    """Rows of ``work`` (plan or indexed records) that are planned and not done."""
+    if draft.shown and work is not plan:
+        # upstream may have grown since
+        work = work.join(plan.select("record_id"), "record_id", "left_semi")
+    todo = planning.pending(work, draft.have("records", schema))
     return planning.next_batch(todo, max_records) if max_records is not None else todo
 
 
 def _commit(
-    results: DataFrame, out: str, schema: T.StructType, run: Run, error: str, prefix_only: bool
-) -> DataFrame:
-    """Append good records and the status of all.  The results are written
-    once first, so nothing is computed again for the second table."""
-    results = materialise(results, run.stage)
+    results: DataFrame, draft: state.Draft, schema: T.StructType, error: str, prefix_only: bool
+) -> None:
+    """Good records and the status of all, then the manifest that shows them.
+    The results are written once first, so nothing is computed again for the
+    second table."""
+    results = materialise(results, draft.run.stage)
     good = planning.committed_prefix(results, error) if prefix_only else results
     good = good.filter(F.col(error).isNull())
-    rec.append_table(good, f"{out}/records", with_index(schema))
+    rec.append_table(good, f"{draft.batch}/records", with_index(schema))
     failed = results.filter(F.col(error).isNotNull())
-    log = rec.read_table(results.sparkSession, f"{out}/status", schemas.PLAN_STATUS)
-    turn = (log.agg(F.max("seq")).first()[0] or 0) + 1
     marks = good.select("record_id", "index", F.lit("completed").alias("status")).unionByName(
         failed.select("record_id", "index", F.lit("failed").alias("status"), F.col(error).alias("error")),
         allowMissingColumns=True,
     )
     rec.append_table(
-        marks.withColumns({"seq": F.lit(turn), "updated_at": run.now()}),
-        f"{out}/status",
+        marks.withColumns({"seq": F.lit(draft.seq), "updated_at": draft.run.now()}),
+        f"{draft.batch}/status",
         schemas.PLAN_STATUS,
     )
-    return results
+    draft.commit()
 
 
-def write_status(records: DataFrame, out: str, run: Run) -> None:
-    """Status of a rewritten stage table, from its own rows."""
+def rewrite(draft: state.Draft, records: DataFrame, schema: T.StructType, plan: DataFrame) -> None:
+    """Tables of a try that replaces all records of a stage; status from their
+    own rows.  Not yet visible."""
+    plan.write.parquet(f"{draft.output}/plan")
+    rec.append_table(records, f"{draft.batch}/records", with_index(schema))
     status = F.lit("completed")
     if "structured_status" in records.columns:
         status = F.coalesce("structured_status", status)
     rec.append_table(
         records.select("record_id", "index", status.alias("status")).withColumns(
-            {"seq": F.lit(1), "updated_at": run.now()}
+            {"seq": F.lit(draft.seq), "updated_at": draft.run.now()}
         ),
-        f"{out}/status",
+        f"{draft.batch}/status",
         schemas.PLAN_STATUS,
     )
 
@@ -124,17 +136,15 @@ def generate(
 ) -> DataFrame:
     """Plan, sample, prompt, complete; returns the utterance table."""
     configure(spark)
-    out = state.open_run(spark, store, run, resume)
-    if not resume:
-        counts = planning.resolve_distribution(n_examples, distribution)
-        planning.build_plan(spark, counts).write.parquet(f"{out}/plan")
-    have = rec.read_table(spark, f"{out}/records", schemas.UTTERANCES)
-    todo = add_generation_prompt(_todo(stage_plan(spark, store), have, max_records), profiles, seed)
+    draft = state.draft(spark, store, run, resume)
+    fresh = None if resume else planning.build_plan(spark, planning.resolve_distribution(n_examples, distribution))
+    plan = _begin(draft, fresh)
+    todo = add_generation_prompt(_todo(plan, plan, draft, schemas.UTTERANCES, max_records), profiles, seed)
     answered = attach_completions(
         todo, "prompt", backends, f"{store}/attempts",
         backend_id=run.backend_id, run_id=run.run_id, response="utterance", parallelism=parallelism,
     )
-    _commit(answered, out, schemas.UTTERANCES, run, "error", prefix_only)
+    _commit(answered, draft, schemas.UTTERANCES, "error", prefix_only)
     return stage_records(spark, store, schemas.UTTERANCES)
 
 
@@ -154,20 +164,16 @@ def extract(
     """Structured output for every utterance; returns the structured table."""
     configure(spark)
     utterances = stage_records(spark, upstream, schemas.UTTERANCES, indexed=True)
-    out = state.open_run(spark, store, run, resume)
-    if not resume:
-        planning.next_stage_plan(stage_plan(spark, upstream), utterances, allow_partial).write.parquet(
-            f"{out}/plan"
-        )
-    have = rec.read_table(spark, f"{out}/records", schemas.STRUCTURED)
-    work = _todo(utterances, have, max_records).withColumn(
+    draft = state.draft(spark, store, run, resume)
+    plan = _begin(draft, None if resume else planning.next_stage_plan(stage_plan(spark, upstream), utterances, allow_partial))
+    work = _todo(utterances, plan, draft, schemas.STRUCTURED, max_records).withColumn(
         "prompt",
         prompts.request_text(prompts.extraction_messages(prompts.extraction_user(F.col("utterance")))),
     )
     turn = None
     if resume:
         # a cached answer that did not pass the check is not used again
-        log = rec.read_table(spark, f"{out}/status", schemas.PLAN_STATUS)
+        log = draft.have("status", schemas.PLAN_STATUS)
         failed = log.filter("status = 'failed'").groupBy("record_id").agg(
             F.count(F.lit(1)).alias("_failed")
         )
@@ -178,7 +184,7 @@ def extract(
         backend_id=run.backend_id, run_id=run.run_id, parallelism=parallelism, turn=turn,
     )
     structured = extraction.attach_structured(answered, "response", "error")
-    _commit(structured, out, schemas.STRUCTURED, run, "structured_error", prefix_only)
+    _commit(structured, draft, schemas.STRUCTURED, "structured_error", prefix_only)
     return stage_records(spark, store, schemas.STRUCTURED)
 
 
@@ -230,15 +236,11 @@ def evaluate(
     """Schema and judge scores for every structured record."""
     configure(spark)
     structured = stage_records(spark, upstream, schemas.STRUCTURED, indexed=True)
-    out = state.open_run(spark, store, run, resume)
-    if not resume:
-        planning.next_stage_plan(stage_plan(spark, upstream), structured, allow_partial).write.parquet(
-            f"{out}/plan"
-        )
-    have = rec.read_table(spark, f"{out}/records", schemas.EVALUATIONS)
-    work = _todo(structured, have, max_records)
+    draft = state.draft(spark, store, run, resume)
+    plan = _begin(draft, None if resume else planning.next_stage_plan(stage_plan(spark, upstream), structured, allow_partial))
+    work = _todo(structured, plan, draft, schemas.EVALUATIONS, max_records)
     scored = judge(work, f"{store}/attempts", run, backends, parallelism)
-    _commit(scored, out, schemas.EVALUATIONS, run, "answer_error", False)
+    _commit(scored, draft, schemas.EVALUATIONS, "answer_error", False)
     return stage_records(spark, store, schemas.EVALUATIONS)
 
 

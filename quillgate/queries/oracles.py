@@ -323,6 +323,13 @@ q as (select *, 'user:' || {NL} || prompt as request from pr)
 select record_id, complexity, tone, n as num_kpis,
   'answer ' || md5(request) || ' of ' || length(request) as utterance from q"""
 
+ORACLES["stage_resume"] = f"""with p as (
+  select doc_id as i, (select count(*) from documents) as n from documents)
+select {rid('i')} as record_id, i as index,
+  case when i < n // 3 + least(n % 3, 1) then 'simple'
+    when i < 2 * (n // 3) + least(n % 3, 2) then 'medium' else 'complex' end as complexity,
+  'completed' as status, least(i // (n // 3), 2) + 1 as commit, 1 as n_rows, 0 as refused_commits from p"""
+
 ORACLES["extraction_request"] = f"""with {D}
 select record_id, 'system' as role, md5({lit(prompts.EXTRACT_SYSTEM)}) as content_md5 from d
 union all

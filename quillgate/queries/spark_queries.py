@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 from collections.abc import Callable
 
@@ -451,12 +452,48 @@ def generate_stage(spark, sf):
     )
 
 
+@query
+def stage_resume(spark, sf):
+    """The generate stage in three jobs, with a refused start, a job that is
+    lost before its commit and a second writer in between: each record with the
+    commit that shows it."""
+    total = b.table(spark, sf, "documents").count()
+    store, after = scratch_path(spark, "resume"), scratch_path(spark, "resume-extract")
+    profiles, backend = b.profiles(spark, sf), hashing_backend()
+
+    def job(run_id, **more):
+        run = Run(run_id, "generate", "part", "model-a", 0.85)
+        return stages.generate(spark, profiles, store, run, [backend], seed=SEED, **more)
+
+    job("run-1", n_examples=total, max_records=total // 3)
+    with contextlib.suppress(ValueError):  # upstream is incomplete, so nothing may come of it
+        stages.extract(spark, store, after, Run("run-1", "extract", store, "model-a"), [structuring_backend("!")])
+    lost = state.draft(spark, store, Run("run-2", "generate", "part", "model-a", 0.85), resume=True)
+    rec.append_table(
+        stages.stage_records(spark, store, schemas.UTTERANCES, indexed=True), f"{lost.batch}/records",
+        stages.with_index(schemas.UTTERANCES),
+    )
+    job("run-3", resume=True, max_records=total // 3)
+    with contextlib.suppress(state.Conflict):  # that number is taken by now
+        lost.commit()
+    job("run-4", resume=True)
+    shown = stages.stage_status(spark, store)
+    have = stages.stage_records(spark, store, schemas.UTTERANCES).groupBy("record_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("complexity").alias("complexity")
+    )
+    return shown.drop("complexity").join(have, "record_id").select(
+        "record_id", "index", "complexity", "status", F.col("seq").alias("commit"), "n_rows",
+        F.lit(len(state.manifests(spark, after).take(1))).cast("bigint").alias("refused_commits"),
+    )
+
+
 def stage_input(spark, records, schema, name):
     """A finished stage over the documents, for the stage after it."""
     store = scratch_path(spark, name)
-    output = state.open_run(spark, store, Run("run-0", name, "documents", "model-a"))
+    output = f"{store}/data"
     rec.append_table(records, f"{output}/records", stages.with_index(schema))
     records.select("index", "record_id", "complexity").write.parquet(f"{output}/plan")
+    state.publish(spark, store, Run("run-0", name, "documents", "model-a"), output)
     return store
 
 

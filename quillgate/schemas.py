@@ -104,6 +104,14 @@ RUNS = T.StructType([
     T.StructField("temperature", T.DoubleType()),
     T.StructField("thresholds", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("started_at", T.TimestampNTZType()),
+    # the folder of the tables that this commit adds
+    T.StructField("batch", T.StringType()),
+    # the commit counts once that commit of another store is there too
+    T.StructField("needs", T.StructType([
+        T.StructField("store", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("batch", T.StringType()),
+    ])),
 ])
 
 REPAIR_AUDIT = T.StructType([

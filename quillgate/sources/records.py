@@ -142,6 +142,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return conform(spark.range(0).drop("id"), schema)
 
 
+def read_tables(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """The rows of several tables that are there."""
+    if not paths:
+        return conform(spark.range(0).drop("id"), schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order; missing ones become null."""
     return df.select(*[
