@@ -5,6 +5,11 @@ The model call is a backend the user supplies: a function over batches of
 network client ships.  Every call is one row of the attempt store; its rows
 without an error are the cache, so nothing is ever called twice and a lost
 executor or a stopped run repeats only what was not committed.
+
+The store is partitioned by the first digits of the request id.  Requests are
+worked off in waves of bounded size, each a range of these digits: a wave reads
+only its partitions and commits its answers itself, so that a job that is
+stopped keeps the waves and rounds before.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quillgate import schemas
 from quillgate.functions import text
@@ -27,8 +32,17 @@ MAX_TRIES = 5
 
 BatchFn = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
+#: digits of the request id that name a partition of the store: 256 of them
+BUCKET_DIGITS = 2
+#: requests of a wave, about
+WAVE_ROWS = 1_000_000
+#: requests that a task asks for; more tasks than the bound share the rest
+TASK_ROWS = 64
+
 _ANSWER = "request_id string, endpoint int, response string, error string"
 NO_ANSWER = "no answer from the backend"
+#: of requests that this job has not come to, or not to an end with
+UNFINISHED = "not finished"
 
 
 @dataclass(frozen=True)
@@ -134,6 +148,78 @@ def retry_frontier(attempts: DataFrame, n_endpoints: int, max_tries: int = MAX_T
     )
 
 
+def bucket(request: Column) -> Column:
+    return F.substring(request, 1, BUCKET_DIGITS)
+
+
+def bucket_names() -> list[str]:
+    return [f"{i:0{BUCKET_DIGITS}x}" for i in range(16**BUCKET_DIGITS)]
+
+
+def attempts_table(spark: SparkSession, store: str, buckets: list[str] | None = None) -> DataFrame:
+    """The attempt store, or only the partitions of these buckets."""
+    schema = T.StructType([*schemas.ATTEMPTS.fields, T.StructField("bucket", T.StringType())])
+    calls = rec.read_table(spark, store, schema)
+    if buckets is not None:
+        calls = calls.filter(F.col("bucket").isin(buckets))
+    return calls.drop("bucket")
+
+
+def append_attempts(calls: DataFrame, store: str) -> None:
+    """Add calls, the rows of a partition in one file where they are few."""
+    rows = rec.conform(calls, schemas.ATTEMPTS).withColumn("bucket", bucket(F.col("request_id")))
+    rows.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(store)
+
+
+def wave_buckets(n: int, wave_rows: int) -> list[list[str]]:
+    """Ranges of buckets that hold about ``wave_rows`` of ``n`` requests each;
+    ids are hashes, so they spread evenly."""
+    names = bucket_names()
+    waves = max(1, min(len(names), -(-n // wave_rows)))
+    return [names[i * len(names) // waves : (i + 1) * len(names) // waves] for i in range(waves)]
+
+
+def _ask(todo: DataFrame, n: int, call: BatchFn, parallelism: int | None) -> DataFrame:
+    """Answers of the open requests, spread over tasks by their number."""
+    most = parallelism or todo.sparkSession.sparkContext.defaultParallelism
+    todo = todo.repartition(max(1, min(most, -(-n // TASK_ROWS))), "request_id")
+    silent = F.col("response").isNull() & F.col("error").isNull()
+    return todo.mapInPandas(call, _ANSWER).withColumn("error", F.when(silent, F.lit(NO_ANSWER)).otherwise(F.col("error")))
+
+
+def _answer_wave(
+    asked: DataFrame, backends: list[Backend], store: str, buckets: list[str], run_id: str,
+    max_tries: int, parallelism: int | None, max_rounds: int | None,
+) -> None:
+    """Call for the requests of a wave that have no answer yet, in rounds, each
+    of which is added to the store."""
+    spark, n = asked.sparkSession, len(backends)
+    calls = attempts_table(spark, store, buckets)
+    good = calls.filter(F.col("error").isNull() & F.col("response").isNotNull()).select("request_id")
+    wanted = materialise(asked.join(good, "request_id", "left_anti"), "wanted")
+    left = wanted.count()
+    start = F.pmod(F.xxhash64("request_id"), F.lit(n)).cast("int")
+    todo = wanted.select("request_id", "prompt", start.alias("endpoint"))
+    call = _dispatch([b.batches for b in backends])
+    # attempts go on counting where a stopped run of the same id has ended
+    before = calls.filter(F.col("run_id") == run_id).agg(F.max("attempt")).first()[0] or 0 if left else 0
+    for tried in range(max_rounds or n * max_tries):
+        if not left:
+            break
+        # every open request is tried once per round, so the round numbers the attempt
+        append_attempts(
+            _ask(todo, left, call, parallelism).withColumns(
+                {"run_id": F.lit(run_id), "attempt": F.lit(before + tried + 1)}
+            ),
+            store,
+        )
+        log = attempts_table(spark, store, buckets).filter(F.col("run_id") == run_id)
+        again = retry_frontier(log, n, max_tries).filter(F.col("action").isin("retry_same", "rotate"))
+        again = materialise(again.select("request_id", F.col("next_endpoint").alias("endpoint")), "again")
+        left = again.count()
+        todo = wanted.join(again, "request_id").select("request_id", "prompt", "endpoint")
+
+
 def attach_completions(
     df: DataFrame,
     prompt: str,
@@ -148,52 +234,35 @@ def attach_completions(
     parallelism: int | None = None,
     max_rounds: int | None = None,
     turn: Column | None = None,
+    wave_rows: int = WAVE_ROWS,
+    max_waves: int | None = None,
 ) -> DataFrame:
     """Add the (stripped) response to each prompt, and the error where it failed.
 
-    Distinct prompts without a cached response are written once, called in
-    rounds until none is left to retry, and the store is joined back.
-    ``parallelism`` bounds how many calls run at the same time.
+    Distinct prompts without a cached response are called in rounds until none
+    is left to retry, wave by wave, and the store is joined back.
+    ``parallelism`` bounds how many calls run at the same time.  What
+    ``max_waves`` or ``max_rounds`` leave open has the error ``not finished`` and
+    is asked for by the next job.
     """
     spark = df.sparkSession
-    keyed = df.withColumn("_request", request_id(F.col(prompt), backend_id, turn))
-    calls = rec.read_table(spark, store, schemas.ATTEMPTS)
-
-    cached = calls.filter(F.col("error").isNull() & F.col("response").isNotNull()).select(F.col("request_id").alias("_request"))
-    wanted = materialise(
+    keyed = materialise(df.withColumn("_request", request_id(F.col(prompt), backend_id, turn)), "keyed")
+    asked = (
         keyed.filter(F.col(prompt).isNotNull())
-        .select("_request", F.col(prompt).alias("prompt"))
-        .dropDuplicates(["_request"])
-        .join(cached, "_request", "left_anti")
-        .withColumnRenamed("_request", "request_id"),
-        "wanted",
+        .select(F.col("_request").alias("request_id"), F.col(prompt).alias("prompt"))
+        .dropDuplicates(["request_id"])
     )
-    n = len(backends)
-    start = F.pmod(F.xxhash64("request_id"), F.lit(n)).cast("int")
-    todo = wanted.select("request_id", "prompt", start.alias("endpoint"))
-    call = _dispatch([b.batches for b in backends])
-    # attempts go on counting where a stopped run of the same id has ended
-    before = calls.filter(F.col("run_id") == run_id).agg(F.max("attempt")).first()[0] or 0
-    for tried in range(max_rounds or n * max_tries):
-        if todo.isEmpty():
-            break
-        if parallelism:
-            todo = todo.repartition(parallelism, "request_id")
-        # every open request is tried once per round, so the round numbers the attempt
-        silent = F.col("response").isNull() & F.col("error").isNull()
-        answered = todo.mapInPandas(call, _ANSWER).withColumn("error", F.when(silent, F.lit(NO_ANSWER)).otherwise(F.col("error")))
-        rec.append_table(
-            answered.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(before + tried + 1)}),
-            store,
-            schemas.ATTEMPTS,
-        )
-        log = rec.read_table(spark, store, schemas.ATTEMPTS).filter(F.col("run_id") == run_id)
-        again = retry_frontier(log, n, max_tries).filter(F.col("action").isin("retry_same", "rotate"))
-        todo = wanted.join(again, "request_id").select(
-            "request_id", "prompt", F.col("next_endpoint").alias("endpoint")
-        )
-
-    calls = rec.read_table(spark, store, schemas.ATTEMPTS)
+    used = sorted(r[0] for r in keyed.select(bucket(F.col("_request"))).distinct().collect() if r[0])  # at most one row a bucket
+    waves = wave_buckets(asked.select("request_id").count(), wave_rows)
+    if len(waves) > 1:
+        # in the order of the ids, so that a wave finds its rows by file statistics
+        asked = materialise(asked.repartitionByRange(len(waves), "request_id").sortWithinPartitions("request_id"), "asked")
+    for names in waves[:max_waves]:
+        inside = F.col("request_id").between(names[0], names[-1] + "g")  # beyond every digit
+        mine = asked.filter(inside) if len(waves) > 1 else asked
+        _answer_wave(mine, backends, store, names if len(waves) > 1 else used, run_id, max_tries, parallelism, max_rounds)
+
+    calls = attempts_table(spark, store, used)
     good = F.col("error").isNull() & F.col("response").isNotNull()
     # a success of any run wins; else the newest error of this run
     rank = F.when(good, F.lit(1 << 62)).when(F.col("run_id") == run_id, F.col("attempt"))
@@ -207,10 +276,17 @@ def attach_completions(
         key="_request",
         order="_rank",
     ).drop("_rank")
+    if max_rounds:
+        mine = attempts_table(spark, store, used).filter(F.col("run_id") == run_id)
+        again = retry_frontier(mine, len(backends), max_tries).filter(F.col("action").isin("retry_same", "rotate"))
+        again = again.select(F.col("request_id").alias("_request"), F.lit(True).alias("_again"))
+        outcome = outcome.join(again, "_request", "left").withColumn(
+            error, F.when(F.col(error).isNotNull() & F.col("_again"), F.lit(UNFINISHED)).otherwise(F.col(error))
+        ).drop("_again")
     # the flag lets the prompt text drop out before the shuffle when unused
-    asked = keyed.withColumn("_asked", F.col(prompt).isNotNull())
-    joined = spread_join(asked, outcome, "_request", "left", spread_by=["_asked"])
+    flagged = keyed.withColumn("_asked", F.col(prompt).isNotNull())
+    joined = spread_join(flagged, outcome, "_request", "left", spread_by=["_asked"])
     unanswered = F.col("_asked") & F.col(response).isNull() & F.col(error).isNull()
     return joined.withColumn(
-        error, F.when(unanswered, F.lit(NO_ANSWER)).otherwise(F.col(error))
+        error, F.when(unanswered, F.lit(UNFINISHED if max_waves else NO_ANSWER)).otherwise(F.col(error))
     ).drop("_request", "_asked")

@@ -371,6 +371,12 @@ select record_id,
   case when cached is null and contains(prompt, '!') then 'ValueError: refused' end as error
 from p left join c using (prompt)"""
 
+ORACLES["completion_resume"] = f"""with {D},
+p as (select record_id, {lit(prompts.EXTRACT_USER.rstrip())} || {NL} || text as prompt from d)
+select record_id, 'answer ' || md5(prompt) || ' of ' || length(prompt) as response,
+  case when sha256('model-a@0.0' || chr(31) || prompt) < '8' then 'first' else 'second' end as answered_by,
+  1 as calls from p"""
+
 CLASS = """case when error is null then null
   when lower(error) like '%timeout%' or lower(error) like '%timed out%' then 'timeout'
   when lower(error) like '%401%' or lower(error) like '%unauthorized%' then 'auth'

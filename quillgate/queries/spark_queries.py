@@ -13,7 +13,7 @@ from quillgate.functions import text, validation as val
 from quillgate.operators import (
     completion, evaluation, extraction, gate, offsets, planning, prompts, refine, repair, sampling,
 )
-from quillgate.operators.joins import last_per_key
+from quillgate.operators.joins import last_per_key, spread_join
 from quillgate.plans import stages
 from quillgate.queries import bindings as b
 from quillgate.session import configure, materialise, scratch_path
@@ -414,9 +414,8 @@ def completion_attach(spark, sf):
     cached = known.groupBy(
         completion.request_id(F.col("prompt"), backend_id).alias("request_id")
     ).agg(F.min("faithful_answer").alias("response"))
-    rec.append_table(
-        cached.withColumns({"run_id": F.lit("earlier"), "attempt": F.lit(1), "endpoint": F.lit(0)}),
-        store, schemas.ATTEMPTS,
+    completion.append_attempts(
+        cached.withColumns({"run_id": F.lit("earlier"), "attempt": F.lit(1), "endpoint": F.lit(0)}), store
     )
     backend = hashing_backend("!")
     out = completion.attach_completions(
@@ -425,6 +424,27 @@ def completion_attach(spark, sf):
     return out.select("record_id", "response", "error")
 
 
+@query
+def completion_resume(spark, sf):
+    """Four waves of prompts: a job ends after two, the next one answers only
+    what is open.  ``answered_by`` tells the job."""
+    store, backend_id = scratch_path(spark, "waves"), "model-a@0.0"
+    asked = b.documents(spark, sf).select(
+        "record_id", prompts.extraction_user(F.col("utterance")).alias("prompt")
+    )
+    n = asked.select("prompt").distinct().count()
+    kw = dict(backend_id=backend_id, wave_rows=-(-n // 4))
+    for run_id, more in (("first", {"max_waves": 2}), ("second", {})):
+        out = completion.attach_completions(asked, "prompt", [hashing_backend()], store, run_id=run_id, **kw, **more)
+    calls = completion.attempts_table(spark, store).groupBy("request_id").agg(
+        F.max("run_id").alias("answered_by"), F.count(F.lit(1)).alias("calls")
+    )
+    keyed = out.withColumn("request_id", completion.request_id(F.col("prompt"), backend_id))
+    return spread_join(keyed, calls, "request_id", "inner", spread_by=["record_id"]).select(
+        "record_id", "response", "answered_by", "calls"
+    )
+
+
 @query
 def error_classes(spark, sf):
     return completion.classify_errors(b.attempts(spark, sf))

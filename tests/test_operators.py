@@ -356,13 +356,90 @@ def test_rounds_follow_the_retry_rules(spark, tmp_path):
             assert r["response"] == r["p"] and r["error"] is None
         else:
             assert r["response"] is None and r["error"]
-    log = rec.read_table(spark, store, schemas.ATTEMPTS)
+    log = completion.attempts_table(spark, store)
     left = completion.retry_frontier(log, 2).groupBy("action").count()
     assert dict(rows(left, "action", "count")) == {"done": 20, "exhausted": 20}
     tries = log.groupBy("request_id", "endpoint").count().filter("endpoint = 0")
     assert {r["count"] for r in tries.collect()} == {5}
 
 
+def counting(folder, word=None, stop=None):
+    """Answers prompts and leaves a file for each call; a prompt that begins
+    with ``stop`` ends the task."""
+    import uuid
+    from pathlib import Path
+
+    def batches(frames):
+        for frame in frames:
+            for prompt in frame["prompt"]:
+                if stop and prompt.startswith(stop):
+                    raise RuntimeError("the executor is gone")
+                (Path(folder) / uuid.uuid4().hex).write_text(prompt)
+            yield frame[["request_id"]].assign(response=frame["prompt"] + (word or ""), error=None)
+
+    return completion.Backend("counting", batches)
+
+
+def test_waves_cover_all_buckets():
+    for n, rows_, count in ((0, 10, 1), (9, 10, 1), (25, 10, 3), (10**9, 10, 256)):
+        waves = completion.wave_buckets(n, rows_)
+        assert len(waves) == count and [b for w in waves for b in w] == completion.bucket_names()
+
+
+def test_a_lost_job_keeps_its_waves(spark, tmp_path):
+    calls, store = tmp_path / "calls", f"{tmp_path}/store"
+    calls.mkdir()
+    prompts = [f"p{i}" for i in range(200)]
+    df = spark.createDataFrame([(p,) for p in prompts + prompts[:30] + [None]], "p string")
+    ids = {r["p"]: r["id"] for r in df.select("p", completion.request_id(F.col("p"), "m").alias("id")).collect() if r["p"]}
+    # the request with the largest id is of the last wave
+    last = max(ids, key=ids.get)
+    kw = dict(backend_id="m", run_id="1", wave_rows=60)
+    with pytest.raises(Exception, match="the executor is gone"):
+        completion.attach_completions(df, "p", [counting(calls, stop=last)], store, **kw)
+    kept = {r["request_id"] for r in completion.attempts_table(spark, store).collect()}
+    whole = {i for i in ids.values() if i[:2] in set(sum(completion.wave_buckets(200, 60)[:3], []))}
+    assert kept == whole and len(kept) > 100
+    for f in calls.iterdir():
+        f.unlink()
+    got = completion.attach_completions(df, "p", [counting(calls)], store, **kw).collect()
+    assert len(got) == 231 and all(r["response"] == r["p"] and r["error"] is None for r in got)
+    asked = [f.read_text() for f in calls.iterdir()]
+    assert sorted(asked) == sorted(p for p, i in ids.items() if i not in kept)
+
+
+def test_a_wave_reads_only_its_partitions(spark, tmp_path):
+    calls, store = tmp_path / "calls", f"{tmp_path}/store"
+    calls.mkdir()
+    df = spark.createDataFrame([(f"p{i}",) for i in range(300)], "p string")
+    completion.attach_completions(df, "p", [counting(calls)], store, backend_id="m", run_id="1")
+    part = completion.attempts_table(spark, store, ["00", "0a", "ff"])
+    assert {r["request_id"][:2] for r in part.collect()} <= {"00", "0a", "ff"}
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert len(part.inputFiles()) == 300 or part.rdd.getNumPartitions() <= 3
+
+
+def test_open_requests_are_not_failures(spark, tmp_path):
+    calls, store = tmp_path / "calls", f"{tmp_path}/store"
+    calls.mkdir()
+    df = spark.createDataFrame([(f"p{i}",) for i in range(80)], "p string")
+    kw = dict(backend_id="m", wave_rows=20)
+    part = completion.attach_completions(df, "p", [counting(calls)], store, run_id="1", max_waves=2, **kw).collect()
+    errors = {r["error"] for r in part}
+    assert errors == {None, completion.UNFINISHED} and 20 < sum(r["error"] is None for r in part) < 60
+    rest = completion.attach_completions(df, "p", [counting(calls)], store, run_id="2", **kw).collect()
+    assert all(r["response"] == r["p"] for r in rest) and len(list(calls.iterdir())) == 80
+
+    def slow(prompt):
+        raise TimeoutError("no reply")
+
+    late = completion.attach_completions(
+        df.limit(3), "p", [completion.backend_from_function("slow", slow)], f"{store}-2", backend_id="m", run_id="1", max_rounds=2
+    ).collect()
+    assert [r["error"] for r in late] == [completion.UNFINISHED] * 3
+
+
 # -- repair ------------------------------------------------------------------
 
 
