@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from quillgate.functions import text, validation as val
 from quillgate.operators import evaluation, extraction
 
+MALFORMED = "malformed_json"
 MIN_WORDS = 10
 UTTERANCE_REASON = "utterance_regeneration"
 STRUCTURED_REASON = "structured_regeneration"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillgate import schemas
-from quillgate.functions import text, validation as val
+from quillgate.functions import objects, text, validation as val
 from quillgate.operators import extraction, offsets, prompts, refine, repair, sampling
 from quillgate.operators.completion import Backend, attach_completions
 from quillgate.plans import stages
@@ -19,6 +19,9 @@ from quillgate.sources import records as rec, state
 from quillgate.sources.state import Run
 
 
+NO_UTTERANCE = "record has no utterance"
+
+
 def typed_utterances(parsed: DataFrame) -> DataFrame:
     """The known fields of parsed lines; the raw line stays in ``value``."""
     v = F.col("_v")
@@ -93,9 +96,8 @@ def repair_dataset(
         "repair_history",
         repair.add_history(F.col("repair_history"), run.now(), repair.UTTERANCE_REASON),
     )
-    line = F.to_json(
-        F.struct(*schemas.UTTERANCES.fieldNames()), {"ignoreNullFields": "false"}
-    )
+    # a line keeps what it holds besides the declared fields
+    line = objects.merge_object(F.col("value"), {name: F.col(name) for name in schemas.UTTERANCES.fieldNames()})
     new_lines = renewed.select("index", F.when(ok, line).otherwise(F.col("value")).alias("value"))
     good_lines = typed.filter(F.col("issue").isNull()).select("index", "value")
     repaired = materialise(good_lines.unionByName(new_lines), "repaired-lines")
@@ -146,7 +148,7 @@ def repair_structured(
         run_id=run.run_id, parallelism=parallelism,
     )
     new = val.structured_output(extraction.parse_completion(F.col("response")))
-    no_text = F.when(F.col("utterance").isNull(), F.lit("record has no utterance"))
+    no_text = F.when(F.col("utterance").isNull(), F.lit(NO_UTTERANCE))
     fixed = materialise(
         repair.apply_structured(answered, new, F.coalesce(no_text, F.col("error")), run.now())
         .select(*marked.columns),
@@ -163,6 +165,84 @@ def repair_structured(
     return rec.read_table(spark, f"{draft.batch}/repair_audit", schemas.REPAIR_AUDIT)
 
 
+def repair_structured_lines(
+    spark: SparkSession,
+    lines_path: str,
+    plan: DataFrame,
+    output: str,
+    run: Run,
+    backends: list[Backend],
+    *,
+    dry_run: bool = False,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """Extract again where a line of a structured JSON-lines file has no,
+    invalid or incomplete output; returns the audit row (dry run: the counts).
+
+    Writes ``lines``, ``plan`` (status and offset of each record), ``failures`` and
+    ``repair_audit`` under the new folder ``output``.  Only the members that a
+    repair sets change; all others stay, in their order.  Output that was JSON
+    text in a string becomes an object.  A failed repair sets status and error;
+    a line that is not an object is kept as it is and counts as failed.
+    """
+    configure(spark)
+    v = F.col("_v")
+    classified = repair.classify_structured(rec.read_jsonl_tolerant(spark, lines_path))
+    marked = classified.select(
+        "index", "value", val.text_field(v, "record_id").alias("record_id"),
+        val.has_field(v, "utterance").alias("_has_text"),
+        F.coalesce(val.text_field(v, "utterance"), F.lit("")).alias("utterance"),
+        F.when(val.text_field(v, "structured_output").isNotNull(), F.to_json(extraction.output_value(v))).alias("_output"),
+        F.to_json(F.try_variant_get(v, "$.repair_history", "array<variant>")).alias("_history"),
+        F.when(F.col("_malformed"), F.lit(repair.MALFORMED)).otherwise(F.col("issue")).alias("issue"),
+    )
+    if dry_run:
+        return repair.issue_counts(marked)
+    opened = objects.merge_object(F.col("value"), {"structured_output": F.parse_json(F.col("_output"))})
+    marked = marked.withColumn("value", F.when(F.col("_output").isNotNull(), opened).otherwise(F.col("value")))
+    marked = materialise(marked.drop("_output"), "structured-lines")
+    broken = F.col("issue") == repair.MALFORMED
+    request = prompts.request_text(prompts.extraction_messages(prompts.extraction_user(F.col("utterance"))))
+    asked = marked.filter(F.col("issue").isNotNull() & ~broken).withColumn("prompt", F.when(F.col("_has_text"), request))
+    answered = attach_completions(
+        asked, "prompt", backends, f"{output}/attempts", backend_id=run.own_backend_id,
+        run_id=run.run_id, parallelism=parallelism,
+    )
+    answered = answered.withColumn("_new", val.structured_output(extraction.parse_completion(F.col("response"))))
+    why = F.when(~F.col("_has_text"), F.lit(NO_UTTERANCE)).otherwise(
+        F.coalesce("error", F.when(F.col("_new").isNull(), F.lit(extraction.INVALID)))
+    )
+    entry = F.struct(
+        F.date_format(run.now(), "yyyy-MM-dd'T'HH:mm:ss").alias("repaired_at"), F.lit(repair.STRUCTURED_REASON).alias("reason")
+    )
+    earlier = F.coalesce(F.from_json("_history", "array<variant>"), F.array().cast("array<variant>"))
+    fixed = objects.merge_object(F.col("value"), {
+        "structured_output": F.col("_new"), "structured_status": F.lit(extraction.COMPLETED),
+        "repair_history": F.concat(earlier, F.array(F.to_variant_object(entry))),
+    }, drop=["structured_error"])
+    marred = objects.merge_object(F.col("value"), {"structured_status": F.lit(extraction.FAILED), "structured_error": F.col("_why")})
+    answered = answered.withColumn("_why", why).select(
+        "index", "record_id", "issue", F.col("_why").alias("structured_error"),
+        F.when(F.col("_why").isNull(), fixed).otherwise(marred).alias("value"),
+    )
+    rest = marked.filter(F.col("issue").isNull() | broken).select(
+        "index", "record_id", "issue", F.when(broken, F.lit(repair.MALFORMED)).alias("structured_error"), "value"
+    )
+    done = materialise(rest.unionByName(answered), "structured-lines-done")
+    done.orderBy("index").select("value").write.text(f"{output}/lines")
+    failed = F.col("structured_error").isNotNull()
+    states = done.join(offsets.record_offsets(done), "index").withColumn(
+        "structured_status", F.when(failed, F.lit(extraction.FAILED)).otherwise(F.lit(extraction.COMPLETED))
+    )
+    for name, kind in (("status", "string"), ("output_offset", "bigint")):
+        plan = plan if name in plan.columns else plan.withColumn(name, F.lit(None).cast(kind))
+    repair.sync_plan(plan, states, "index").write.parquet(f"{output}/plan")
+    done.filter(failed).select("index", "record_id", "issue", F.col("structured_error").alias("error")).write.parquet(f"{output}/failures")
+    audit = repair.audit_row(done, "issue", failed, run.run_id, run.stage, run.now())
+    rec.append_table(audit, f"{output}/repair_audit", schemas.REPAIR_AUDIT)
+    return rec.read_table(spark, f"{output}/repair_audit", schemas.REPAIR_AUDIT)
+
+
 def refine_low_scores(
     spark: SparkSession,
     evaluations: str,

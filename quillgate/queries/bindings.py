@@ -79,6 +79,13 @@ STRUCTURED_LINE_SQL = f"""(case
     || (case when doc_id % 11 = 0 then '' when doc_id % 11 = 1 then ',"structured_status":"failed"'
       else ',"structured_status":"completed"' end) || '}}' end)"""
 
+#: one line with members that nobody declares, some of them broken
+OPEN_LINE_SQL = f"""(case
+  when doc_id % 7 = 0 then '{{"extra":' || doc_id
+  when doc_id % 5 = 0 then '{{"complexity":null,"zeta":{{"n":' || doc_id || ',"list":[null,true]}},"gone":1,"utterance":' || {quoted('text')} || '}}'
+  when doc_id % 3 = 0 then '{{"utterance":[],"gone":[{{}}],"alpha":"' || doc_id || '"}}'
+  else '{{"record_id":' || {quoted('record_id')} || ',"utterance":' || {quoted('text')} || ',"tail":[' || doc_id || ',-0.5]}}' end)"""
+
 #: structured output text that may be missing, empty or incomplete
 MAYBE_OUTPUT_SQL = f"""(case
   when doc_id % 13 = 0 then 'null'

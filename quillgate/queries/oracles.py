@@ -457,8 +457,29 @@ ORACLES["structured_issues"] = f"with {D}, {SLINES} select record_id, {S_ISSUE}
 ORACLES["structured_issue_counts"] = f"""with {D}, {SLINES}, i as (select {S_ISSUE} as issue from sv)
 select issue, count(*) as records from i where issue is not null group by issue"""
 
+ORACLES["structured_repair_jsonl"] = f"""with {D}, {SLINES},
+w as (select *, {S_ISSUE} as issue, json_extract_string(j, '$.utterance') as text, json_keys(j) as k from sv),
+r as (select *, {EXTRACT_REQUEST} as request from w),
+x as (select *, case when issue is null then null when issue = 'missing_utterance' then 'record has no utterance'
+  when contains(request, '!') then 'ValueError: refused' end as why, issue is not null as bad from r),
+m as (select *, k || case when bad and why is null and not list_contains(k, 'structured_output') then ['structured_output'] else [] end
+  || case when bad and not list_contains(k, 'structured_status') then ['structured_status'] else [] end
+  || case when not bad then [] when why is null then ['repair_history'] else ['structured_error'] end as all_k from x)
+select record_id, case when why is null then 'completed' else 'failed' end as structured_status, why as structured_error,
+  case when bad and why is null then length(request)::varchar
+    when json_type(v, '$.schedule') = 'VARCHAR' then json_extract_string(v, '$.schedule') end as schedule,
+  case when bad and why is null then 1 else 0 end as n_repairs, array_to_string(all_k, ',') as members,
+  case when why is null then 'completed' else 'failed' end as plan_status from m"""
+
 # -- repair ------------------------------------------------------------------
 
+ORACLES["repair_open_fields"] = f"""with {D}, n as (select *, '"utterance":"new ' || md5(text) || '"' as u from d)
+select record_id, case
+  when doc_id % 7 = 0 then '{{' || u || ',"complexity":"simple"}}'
+  when doc_id % 5 = 0 then '{{"complexity":"simple","zeta":{{"list":[null,true],"n":' || doc_id || '}},' || u || '}}'
+  when doc_id % 3 = 0 then '{{' || u || ',"alpha":"' || doc_id || '","complexity":"simple"}}'
+  else '{{"record_id":"' || record_id || '",' || u || ',"tail":[' || doc_id || ',-0.5],"complexity":"simple"}}' end as line from n"""
+
 LINES = f"""ln as (select doc_id, "index", text, {b.LINE_SQL} as line from d),
 lv as (select *, json_valid(line) as fine from ln),
 lp as (select *, case when fine then json_extract_string(line, '$.record_id') end as record_id,

@@ -9,12 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from quillgate import schemas
-from quillgate.functions import text, validation as val
+from quillgate.functions import objects, text, validation as val
 from quillgate.operators import (
     completion, evaluation, extraction, gate, offsets, planning, prompts, refine, repair, sampling,
 )
 from quillgate.operators.joins import last_per_key, spread_join
-from quillgate.plans import stages
+from quillgate.plans import side_jobs, stages
 from quillgate.queries import bindings as b
 from quillgate.session import configure, materialise, scratch_path
 from quillgate.sources import records as rec, state
@@ -701,6 +701,39 @@ def repair_merge(spark, sf):
     )
 
 
+@query
+def repair_open_fields(spark, sf):
+    """New utterance and complexity merged into lines with undeclared members,
+    some of them broken."""
+    lines = b.documents(spark, sf).select("record_id", "utterance", F.expr(b.OPEN_LINE_SQL).alias("value"))
+    new = {"utterance": F.concat(F.lit("new "), F.md5(F.col("utterance").cast("binary"))), "complexity": F.lit("simple")}
+    return lines.select("record_id", objects.merge_object(F.col("value"), new, drop=["gone"]).alias("line"))
+
+
+@query
+def structured_repair_jsonl(spark, sf):
+    """The repair job over a structured JSON-lines file; texts with a ``!`` are
+    refused.  What the new lines say, and their members in order."""
+    path, output = scratch_path(spark, "structured-lines"), scratch_path(spark, "structured-repaired")
+    lines = b.documents(spark, sf).select("index", "record_id", "complexity", F.expr(b.STRUCTURED_LINE_SQL).alias("value"))
+    lines.repartitionByRange(8, "index").sortWithinPartitions("index").select("value").write.text(path)
+    side_jobs.repair_structured_lines(
+        spark, path, lines.select("index", "record_id", "complexity"), output,
+        Run("run-1", "repair", "documents", "model-a"), [structuring_backend("!")],
+    )
+    plan = spark.read.parquet(f"{output}/plan").select("index", F.col("status").alias("plan_status"))
+    found = rec.read_jsonl_tolerant(spark, f"{output}/lines").join(plan, "index")
+    v = F.col("_v")
+    history = F.try_variant_get(v, "$.repair_history", "array<variant>")
+    return found.select(
+        val.text_field(v, "record_id").alias("record_id"), val.text_field(v, "structured_status").alias("structured_status"),
+        val.text_field(v, "structured_error").alias("structured_error"),
+        F.try_variant_get(v, "$.structured_output.schedule", "string").alias("schedule"),
+        F.coalesce(F.array_size(history), F.lit(0)).cast("bigint").alias("n_repairs"),
+        F.array_join(F.transform(objects.members(F.col("value")), lambda m: m["key"]), ",").alias("members"), "plan_status",
+    )
+
+
 @query
 def repair_audit(spark, sf):
     at = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")

@@ -234,6 +234,7 @@ def test_repair_dataset(spark, profiles, tmp_path):
     assert [r["record_id"] for r in fixed] == ["rule-000002", "rule-000003", "rule-000004"]
     assert [r["complexity"] for r in fixed] == ["simple", "simple", "medium"]
     assert fixed[1]["tone"] == "formal"
+    assert fixed[1]["extra"] == [1, None] and list(fixed[1])[:5] == list(good)
     assert all(r["num_kpis"] == len(r["kpis_used"]) >= 1 and r["processed"] is None for r in fixed)
     at, want = 0, []
     for line in new:
@@ -244,6 +245,39 @@ def test_repair_dataset(spark, profiles, tmp_path):
     assert rows(spark.read.parquet(f"{out}/failures"), "record_id", "error") == [("rule-000005", "ValueError: refused")]
 
 
+def test_repair_structured_lines(spark, tmp_path):
+    whole = {"normal_statements": ["a"], "schedule": "now", "more": [1]}
+    lines = [
+        {"x": 1, "record_id": "a", "utterance": "u", "structured_output": whole, "structured_status": "completed"},
+        {"record_id": "b", "structured_output": json.dumps(whole), "utterance": "u", "structured_status": "completed", "y": None},
+        {"structured_error": "old", "record_id": "c", "utterance": "v", "structured_status": "failed", "z": {"k": "5"},
+         "repair_history": [{"reason": "first", "by": 3}]},
+        {"record_id": "d", "structured_output": whole}, {"record_id": "e", "utterance": "stop", "structured_output": "{"},
+    ]
+    (tmp_path / "in.jsonl").write_text("\n".join([*map(json.dumps, lines), "{broken", "[1]"]) + "\n")
+    plan = spark.createDataFrame([(i, c, "simple") for i, c in enumerate("abcdef")], "index long, record_id string, complexity string")
+    args = (spark, f"{tmp_path}/in.jsonl", plan)
+    backend = refusing(structure, "stop")
+    counts = dict(rows(side_jobs.repair_structured_lines(*args, f"{tmp_path}/dry", run("fix"), backend, dry_run=True), "issue", "records"))
+    assert counts == {"missing_structured_output": 1, "missing_utterance": 1, "structured_output_not_json": 1, "malformed_json": 2}
+    audit = side_jobs.repair_structured_lines(*args, f"{tmp_path}/out", run("fix"), backend).first()
+    assert (audit["records_analyzed"], audit["records_repaired"], audit["records_failed"]) == (7, 1, 4)
+    text = [r["value"] for r in rec.numbered_lines(spark, f"{tmp_path}/out/lines").orderBy("index").collect()]
+    assert text[0] == json.dumps(lines[0]) and text[5:] == ["{broken", "[1]"]
+    new = [json.loads(t) for t in text[:5]]
+    assert new[1] == {**lines[1], "structured_output": whole} and list(new[1]) == list(lines[1])
+    assert list(new[2]) == ["record_id", "utterance", "structured_status", "z", "repair_history", "structured_output"]
+    assert new[2]["z"] == {"k": "5"} and new[2]["structured_status"] == "completed"
+    assert new[2]["repair_history"][0] == {"by": 3, "reason": "first"}
+    assert new[2]["repair_history"][1] == {"repaired_at": "1970-01-01T00:00:00", "reason": "structured_regeneration"}
+    assert new[3] == {**lines[3], "structured_status": "failed", "structured_error": "record has no utterance"}
+    assert new[4] == {**lines[4], "structured_status": "failed", "structured_error": "ValueError: refused"}
+    at = [sum(len(t.encode()) + 1 for t in text[:i]) for i in range(5)]
+    got = spark.read.parquet(f"{tmp_path}/out/plan").orderBy("index").collect()
+    assert [(r["status"], r["output_offset"]) for r in got] == [*zip(["completed"] * 3 + ["failed"] * 2, at), (None, None)]
+    assert rows(spark.read.parquet(f"{tmp_path}/out/failures"), "index", "error")[0] == (3, "record has no utterance")
+
+
 def test_recalculate_offsets(spark, tmp_path):
     path = tmp_path / "a.jsonl"
     path.write_text('{"a":1}\n{"a":"' + chr(0xE9) + '"}\n{}\n')
