@@ -104,6 +104,39 @@ def test_a_second_stream_leaves_the_first_one_alone(spark, tmp_path):
     assert got.select("stream").distinct().count() == 2 and got.filter("stream = 'None'").isEmpty()
 
 
+def test_a_batch_reads_and_writes_its_own_buckets(spark, tmp_path):
+    """Files read by a batch: those of its buckets, whatever the sink holds."""
+    sink = f"{tmp_path}/sink"
+    for n in range(4):
+        rows = spark.createDataFrame([(f"r{i}", i) for i in range(200 * n, 200 * n + 200)], FLAT)
+        incremental.append_new(rows, n, sink, FLAT, "record_id", "s", 16)
+    whole = len(incremental.sink_table(spark, sink, FLAT).inputFiles())
+    assert whole == 4 * 16  # one file for each bucket and batch
+    small = spark.createDataFrame([("r5", 5), ("r6", 6), ("new", 7)], FLAT)
+    seen = incremental.seen_keys(small, sink, FLAT, "record_id")
+    plan = seen._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(bucket" in plan.toString() or "PartitionFilters: [bucket" in plan.toString()
+    assert {r["record_id"] for r in seen.collect()} >= {"r5", "r6"}
+    assert seen.count() < 3 * 800 / 16 * 2 and seen.rdd.getNumPartitions() <= 3 * 4
+    # a stream may go on with more buckets; older ones are still looked into
+    incremental.append_new(small, 0, sink, FLAT, "record_id", "t", 64)
+    assert incremental.numbers_of_buckets(spark, sink) == [16, 64]
+    for b, stream in ((4, "s"), (1, "t")):
+        incremental.append_new(small, b, sink, FLAT, "record_id", stream, 32)
+    got = [r["record_id"] for r in incremental.sink_table(spark, sink, FLAT).collect()]
+    assert len(got) == len(set(got)) == 801
+
+
+def test_empty_batches_and_first_batches(spark, tmp_path):
+    sink = f"{tmp_path}/sink"
+    none = spark.createDataFrame([], FLAT)
+    incremental.append_new(none, 0, sink, FLAT, "record_id", "s")
+    assert incremental.sink_table(spark, sink, FLAT).count() == 0
+    incremental.append_new(spark.createDataFrame([("a", 1)], FLAT), 1, sink, FLAT, "record_id", "s")
+    incremental.append_new(none, 2, sink, FLAT, "record_id", "s")
+    assert incremental.sink_table(spark, sink, FLAT).count() == 1
+
+
 def test_records_without_a_key_are_all_kept(spark, tmp_path):
     sink = f"{tmp_path}/sink"
     rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 3)], FLAT)
