@@ -265,7 +265,7 @@ def refine_low_scores(
     candidates = refine.pair_candidates(evals, records, min_score)
     if dry_run:
         return refine.candidate_counts(candidates)
-    new_structured, new_evals = state.draft(spark, structured, run), state.draft(spark, evaluations, run)
+    new_structured, new_evals = state.revise(spark, structured, run), state.revise(spark, evaluations, run)
     asked = refine.refine_requests(candidates).withColumn(
         "prompt", prompts.request_text(prompts.extraction_messages(F.col("prompt")))
     )
@@ -293,12 +293,10 @@ def refine_low_scores(
     changes = materialise(changes, "refined-scored")
     delta = materialise(refine.score_delta(evals, changes), "refined-delta")
 
-    for draft, table, columns, schema, plan in (
-        (new_structured, records, ["structured_output"], schemas.STRUCTURED, stages.stage_plan(spark, structured)),
-        (new_evals, evals, ["metric_results", "overall_score", "overall_pass", "evaluated_at"],
-         schemas.EVALUATIONS, stages.stage_plan(spark, evaluations)),
-    ):
-        stages.rewrite(draft, refine.upsert(table, changes, columns), schema, plan)
+    stages.replace_columns(new_structured, changes, ["structured_output"], schemas.STRUCTURED)
+    stages.replace_columns(
+        new_evals, changes, ["metric_results", "overall_score", "overall_pass", "evaluated_at"], schemas.EVALUATIONS
+    )
     # the first counts only with the second, so both change at once
     new_structured.commit(needs=new_evals)
     new_evals.commit()

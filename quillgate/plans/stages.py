@@ -9,10 +9,12 @@ calls of a job that was stopped are kept as attempts.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quillgate import schemas
-from quillgate.operators import evaluation, extraction, gate, planning, prompts, sampling
+from quillgate.operators import evaluation, extraction, gate, planning, prompts, refine, sampling
 from quillgate.operators.completion import Backend, attach_completions
 from quillgate.session import configure, materialise
 from quillgate.sources import records as rec, state
@@ -102,6 +104,31 @@ def rewrite(draft: state.Draft, records: DataFrame, schema: T.StructType, plan:
     )
 
 
+def replace_columns(draft: state.Draft, changes: DataFrame, columns: list[str], schema: T.StructType) -> None:
+    """Of a revising try: ``columns`` of the records that ``changes`` names (one
+    row per ``record_id``), copy on write.  Not yet visible.
+
+    Only the keys of the records are joined to find the files that hold one of
+    them.  These files are written anew; all others are carried over by name,
+    neither read in full nor shuffled.
+    """
+    spark, full = draft.spark, with_index(schema)
+    keys = draft.have("records", full).select("record_id", F.col("_metadata.file_path").alias("file"))
+    hit = changes.select("record_id", F.lit(True).alias("_hit"))
+    files = keys.join(hit, "record_id", "left").groupBy("file").agg(F.count("_hit").alias("n")).collect()  # one row for each file
+    touched = [unquote(r["file"]) for r in files if r["n"]]
+    old = rec.read_tables(spark, touched, full)
+    rec.append_table(refine.upsert(old, changes, columns), f"{draft.batch}/records", full)
+    done = changes.join(old.select("record_id", "index"), "record_id").select("record_id", "index", F.lit("completed").alias("status"))
+    rec.append_table(
+        done.withColumns({"seq": F.lit(draft.seq), "updated_at": draft.run.now()}), f"{draft.batch}/status", schemas.PLAN_STATUS
+    )
+    draft.carry({
+        "records": [unquote(r["file"]) for r in files if not r["n"]],
+        "status": state.paths(spark, list(draft.shown), "status"),
+    })
+
+
 def add_generation_prompt(
     todo: DataFrame, profiles: DataFrame, seed: int | str, tone: Column | None = None
 ) -> DataFrame:

@@ -579,6 +579,15 @@ ORACLES["refine_upsert"] = f"""{BASE}, {REFINED} select ev.record_id, ev.schema_
   coalesce(rt.f, ev.faithfulness_score) as faithfulness_score, coalesce(rt.s, ev.schedule_score) as schedule_score,
   coalesce(rt.o, ev.overall_score) as overall_score, coalesce(rt.p, ev.overall_pass) as overall_pass
 from ev left join rt using (record_id)"""
+ORACLES["refine_by_file"] = f"""{BASE}, {REFINED},
+q as (select {rid('doc_id')} as record_id, doc_id < greatest(1, (select count(*) from documents) // 4) as early from documents)
+select ev.record_id, ev.schema_score,
+  case when early then coalesce(rt.f, ev.faithfulness_score) else ev.faithfulness_score end as faithfulness_score,
+  case when early then coalesce(rt.s, ev.schedule_score) else ev.schedule_score end as schedule_score,
+  case when early then coalesce(rt.o, ev.overall_score) else ev.overall_score end as overall_score,
+  case when early then coalesce(rt.p, ev.overall_pass) else ev.overall_pass end as overall_pass,
+  case when not early then true end as carried
+from ev join q using (record_id) left join rt using (record_id)"""
 ORACLES["score_delta"] = f"""{BASE}, {REFINED} select record_id, rt.o as new_score, ev.overall_score as old_score,
   round(rt.o - ev.overall_score, 2) as delta from rt join ev using (record_id)"""
 

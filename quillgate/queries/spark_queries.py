@@ -919,6 +919,34 @@ def refine_upsert(spark, sf):
     return flat_scores(refine.upsert(evals, refined(spark, sf), columns))
 
 
+@query
+def refine_by_file(spark, sf):
+    """New scores for records of the first quarter, copy on write over a store
+    of four commits.  ``carried`` tells for the other quarters that their files
+    are the old ones."""
+    total = b.table(spark, sf, "documents").count()
+    store, quarter = scratch_path(spark, "refine"), max(1, total // 4)
+    columns = ["metric_results", "overall_score", "overall_pass"]
+    evals = materialise(b.evaluations(spark, sf).select("index", "record_id", *columns), "refine-evals")
+    run = Run("run-1", "evaluate", "documents", "model-a")
+    for n in range(4):
+        draft = state.draft(spark, store, run, resume=n > 0)
+        if not n:
+            evals.select("index", "record_id").withColumn("complexity", F.lit("simple")).write.parquet(f"{draft.output}/plan")
+        mine = evals.filter(F.least(F.expr(f"index div {quarter}"), F.lit(3)) == n)
+        rec.append_table(mine, f"{draft.batch}/records", stages.with_index(schemas.EVALUATIONS))
+        rec.append_table(mine.selectExpr("record_id", "index", "'completed' as status", f"{draft.seq}L as seq"), f"{draft.batch}/status", schemas.PLAN_STATUS)
+        draft.commit()
+    first = evals.filter(F.col("index") < quarter).select("record_id")
+    changes = materialise(refined(spark, sf).join(first, "record_id", "left_semi").select("record_id", *columns), "refine-changes")
+    draft = state.revise(spark, store, Run("run-2", "refine", "documents", "model-a"))
+    stages.replace_columns(draft, changes, columns, schemas.EVALUATIONS)
+    draft.commit()
+    new_file = F.col("_metadata.file_path").contains(draft.batch.rpartition("/")[2])
+    out = stages.stage_records(spark, store, schemas.EVALUATIONS, indexed=True).withColumn("_new", new_file)
+    return flat_scores(out, F.when(F.col("index") >= quarter, ~F.col("_new")).alias("carried"))
+
+
 @query
 def score_delta(spark, sf):
     return refine.score_delta(b.evaluations(spark, sf), refined(spark, sf))

@@ -106,6 +106,8 @@ RUNS = T.StructType([
     T.StructField("started_at", T.TimestampNTZType()),
     # the folder of the tables that this commit adds
     T.StructField("batch", T.StringType()),
+    # earlier commits of the output no longer count; what stays of them is listed in ``carried``
+    T.StructField("replaces", T.BooleanType()),
     # the commit counts once that commit of another store is there too
     T.StructField("needs", T.StructType([
         T.StructField("store", T.StringType()),
@@ -114,6 +116,12 @@ RUNS = T.StructType([
     ])),
 ])
 
+#: files of earlier commits that a replacing one carries over
+CARRIED = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("path", T.StringType()),
+])
+
 REPAIR_AUDIT = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("stage", T.StringType()),

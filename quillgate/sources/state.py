@@ -58,7 +58,7 @@ class Run:
 
 def run_row(
     spark: SparkSession, run: Run, output: str, seq: int, batch: str | None = None,
-    needs: tuple[str, int, str] | None = None,
+    needs: tuple[str, int, str] | None = None, replaces: bool = False,
 ) -> DataFrame:
     limits = [F.lit(part) for item in run.thresholds.items() for part in item]
     other = F.struct(*[F.lit(v).alias(k) for k, v in zip(("store", "seq", "batch"), needs)]) if needs else F.lit(None)
@@ -73,6 +73,7 @@ def run_row(
         F.create_map(*limits).alias("thresholds"),
         run.now().alias("started_at"),
         F.lit(batch).alias("batch"),
+        F.lit(replaces).alias("replaces"),
         other.alias("needs"),
     )
     return rec.conform(row, schemas.RUNS)
@@ -103,7 +104,19 @@ def commits(spark: SparkSession, store: str) -> list[Row]:
         return needs is None or any((r["seq"], r["batch"]) == (needs["seq"], needs["batch"]) for r in rows(needs["store"]))
 
     shown = [r for r in rows(store) if counts(r)]
-    return [r for r in shown if r["output"] == shown[-1]["output"]]
+    shown = [r for r in shown if r["output"] == shown[-1]["output"]]
+    first = max((i for i, r in enumerate(shown) if r["replaces"]), default=0)
+    return shown[first:]
+
+
+def paths(spark: SparkSession, shown: list[Row], name: str) -> list[str]:
+    """Folders and files of a table in these commits, of which only the first
+    may carry files over."""
+    out = [f"{r['batch']}/{name}" for r in shown]
+    if shown and shown[0]["replaces"]:
+        carried = rec.read_table(spark, f"{shown[0]['batch']}/carried", schemas.CARRIED)
+        out += [r["path"] for r in carried.filter(F.col("name") == name).collect()]  # one row for each file
+    return out
 
 
 def current_output(spark: SparkSession, store: str) -> str:
@@ -119,7 +132,7 @@ def table(spark: SparkSession, store: str, name: str, schema: T.StructType) -> D
     shown = commits(spark, store)
     if not shown:
         raise FileNotFoundError(f"no run recorded under {store}; start a fresh one")
-    return rec.read_tables(spark, [f"{r['batch']}/{name}" for r in shown], schema)
+    return rec.read_tables(spark, paths(spark, shown, name), schema)
 
 
 @dataclass(frozen=True)
@@ -134,16 +147,22 @@ class Draft:
     output: str
     batch: str
     shown: tuple = ()
+    replaces: bool = False
 
     def have(self, name: str, schema: T.StructType) -> DataFrame:
         """Rows that earlier commits of this output have written."""
-        return rec.read_tables(self.spark, [f"{r['batch']}/{name}" for r in self.shown], schema)
+        return rec.read_tables(self.spark, paths(self.spark, list(self.shown), name), schema)
+
+    def carry(self, files: dict[str, list[str]]) -> None:
+        """Of a replacing try: the files of earlier commits that stay."""
+        rows = [(name, path) for name, every in files.items() for path in every]
+        self.spark.createDataFrame(rows, schemas.CARRIED).coalesce(1).write.parquet(f"{self.batch}/carried")
 
     def commit(self, needs: Draft | None = None) -> None:
         """Make the tables of this try visible; ``needs``: only together with
         those of a try in another store, which is committed after this one."""
         other = (needs.store, needs.seq, needs.batch) if needs else None
-        _add(self.spark, self.store, self.seq, run_row(self.spark, self.run, self.output, self.seq, self.batch, other))
+        _add(self.spark, self.store, self.seq, run_row(self.spark, self.run, self.output, self.seq, self.batch, other, self.replaces))
 
 
 def _next(spark: SparkSession, store: str) -> int:
@@ -170,6 +189,16 @@ def draft(spark: SparkSession, store: str, run: Run, resume: bool = False) -> Dr
     return Draft(spark, store, run, seq, last["output"], f"{last['output']}/batch-{new}", tuple(shown))
 
 
+def revise(spark: SparkSession, store: str, run: Run) -> Draft:
+    """A fresh try that changes some rows of what a store shows: its commit
+    takes the place of the earlier ones and carries their other files over."""
+    seq, shown = _next(spark, store), commits(spark, store)
+    if not shown:
+        raise FileNotFoundError(f"no run recorded under {store}; start a fresh one")
+    output = shown[-1]["output"]
+    return Draft(spark, store, run, seq, output, f"{output}/batch-{uuid.uuid4().hex}", tuple(shown), True)
+
+
 def publish(spark: SparkSession, store: str, run: Run, output: str) -> None:
     """Show the tables of ``output``, which somebody has written, from now on."""
     Draft(spark, store, run, _next(spark, store), output, output).commit()

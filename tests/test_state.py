@@ -19,7 +19,7 @@ def rows(spark, ids):
 def write(spark, draft, ids, plan=None):
     if plan is not None:
         rows(spark, plan).select("index", "record_id", "complexity").write.parquet(f"{draft.output}/plan")
-    rec.append_table(rows(spark, ids), f"{draft.batch}/records", stages.with_index(schemas.UTTERANCES))
+    rec.append_table(rows(spark, ids).coalesce(1), f"{draft.batch}/records", stages.with_index(schemas.UTTERANCES))
 
 
 def shown(spark, store):
@@ -113,3 +113,43 @@ def test_null_and_empty_tables(spark, tmp_path):
     assert state.draft(spark, store, run(2, thresholds={"schema": 1.0}), resume=True).seq == 2
     with pytest.raises(ValueError, match="thresholds"):
         state.draft(spark, store, run(2), resume=True)
+
+
+def test_only_files_with_changed_keys_are_written(spark, tmp_path):
+    """Copy on write: other files stay the very same, twice in a row."""
+    store = f"{tmp_path}/a store"  # names are quoted in file metadata
+    for n, ids in enumerate(([0, 1, 2], [3, 4, 5], [6, 7])):
+        d = state.draft(spark, store, run(1), resume=n > 0)
+        write(spark, d, ids, plan=range(8) if n == 0 else None)
+        rec.append_table(rows(spark, ids).selectExpr("record_id", "index", "'completed' as status", f"{d.seq}L as seq"), f"{d.batch}/status", schemas.PLAN_STATUS)
+        d.commit()
+
+    def table():
+        return stages.stage_records(spark, store, schemas.UTTERANCES, indexed=True)
+
+    def files():
+        return {r["index"]: r["f"] for r in table().selectExpr("index", "_metadata.file_path as f").collect()}
+
+    def change(ids, word):
+        new = rows(spark, ids).selectExpr("record_id", f"concat('{word} ', index) as utterance")
+        d = state.revise(spark, store, run(2))
+        stages.replace_columns(d, new, ["utterance"], schemas.UTTERANCES)
+        return d
+
+    before = files()
+    lost = change([4], "lost")
+    assert files() == before
+    change([4], "new").commit()
+    after = files()
+    assert {i for i in range(8) if before[i] != after[i]} == {3, 4, 5}
+    with pytest.raises(state.Conflict):
+        lost.commit()
+    change([5, 7], "newer").commit()
+    change([99], "none").commit()
+    last = files()
+    assert {i for i in range(8) if after[i] != last[i]} == {3, 4, 5, 6, 7}
+    got = {r["index"]: r["utterance"] for r in table().collect()}
+    assert got == {**{i: f"text {i}" for i in range(8)}, 4: "new 4", 5: "newer 5", 7: "newer 7"}
+    assert {(r["index"], r["status"]) for r in stages.stage_status(spark, store).collect()} == {(i, "completed") for i in range(8)}
+    rest = state.draft(spark, store, run(2), resume=True)
+    assert rest.have("records", with_index()).count() == 8
