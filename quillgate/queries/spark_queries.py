@@ -987,7 +987,7 @@ def jsonl_append(spark, sf):
     path = scratch_path(spark, "appended")
     docs = b.documents(spark, sf).select("record_id", "source", "lang")
     rec.append_jsonl(docs.filter("lang = 'en'"), path)
-    rec.append_jsonl(docs.filter("lang <> 'en'"), path)
+    rec.append_jsonl(docs.filter("not (lang <=> 'en')"), path)
     return rec.read_jsonl(spark, path, docs.schema)
 
 
