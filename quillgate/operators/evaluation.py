@@ -222,6 +222,40 @@ def quality_gate(evaluations: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def metric_gate(evaluations: DataFrame, thresholds: dict[str, float], group: str = "lang") -> DataFrame:
+    """Pass share by metric, over all records and by ``group``, against a
+    threshold for each metric; the gate is open only if every row holds.
+
+    ``metric, level`` (all or group), ``group, records, pass_share, threshold,
+    holds, gate_open``.  Metrics are those that the evaluations carry, and
+    ``overall``; one without a threshold, or without an entry in a record, is
+    not judged there.  A metric that has a threshold but no entry at all does not hold.  A
+    null group is a group of its own.  One grouping-sets aggregation, combined
+    before its shuffle, whatever the number of metrics.
+    """
+    names = evaluations.schema["metric_results"].dataType.names
+    passed = {n: F.col(f"metric_results.`{n}`.passed") for n in names} | {"overall": F.col("overall_pass")}
+    cells = F.array(*[
+        F.struct(F.lit(n).alias("metric"), (passed[n] if n in passed else F.lit(None).cast("boolean")).alias("passed"))
+        for n in thresholds
+    ])
+    rows = evaluations.select(F.col(group).alias("_group"), F.inline(cells))
+    shares = rows.groupingSets([["metric"], ["metric", "_group"]], "metric", "_group").agg(
+        F.grouping("_group").alias("_all"),
+        F.count("passed").alias("records"),
+        F.round(F.try_divide(F.count_if("passed"), F.count("passed")), 4).alias("pass_share"),
+    ).filter((F.col("_all") == 1) | (F.col("records") > 0))
+    limit = F.create_map(*[part for n, t in thresholds.items() for part in (F.lit(n), F.lit(float(t)))])[F.col("metric")]
+    judged = shares.withColumn("threshold", limit).withColumn(
+        "holds", F.coalesce(F.col("pass_share") >= F.col("threshold"), F.lit(False))
+    )
+    open_ = judged.agg(F.coalesce(F.every("holds"), F.lit(False))).scalar()
+    return judged.select(
+        "metric", F.when(F.col("_all") == 1, "all").otherwise("group").alias("level"), F.col("_group").alias(group),
+        "records", "pass_share", "threshold", "holds", open_.alias("gate_open"),
+    )
+
+
 def gold_overlap(
     found: DataFrame, gold: DataFrame, items: Callable[[Column], Column], value: str = "value"
 ) -> DataFrame:

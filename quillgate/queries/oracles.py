@@ -137,6 +137,16 @@ ORACLES["quality_gate"] = f"""{BASE}, q as (
     round(count(*) filter (where overall_pass) / cast(count(*) as double), 4) as pass_share from ev)
 select records, pass_share, pass_share >= 0.7e0 as gate_open from q"""
 
+ORACLES["metric_gate"] = f"""{BASE}, r as (
+  select 'schema' as metric, lang, not no_output as passed, 0.9e0 as threshold from ev
+  union all select 'faithfulness', lang, ok_f, 0.3e0 from ev where not no_output
+  union all select 'schedule', lang, ok_s, 0.5e0 from ev where not no_output
+  union all select 'overall', lang, overall_pass, 0.2e0 from ev),
+g as (select metric, case when grouping(lang) = 1 then 'all' else 'group' end as level, lang, any_value(threshold) as threshold,
+  count(*) as records, round(count(*) filter (where passed) / cast(count(*) as double), 4) as pass_share
+  from r group by grouping sets ((metric), (metric, lang)))
+select *, pass_share >= threshold as holds, bool_and(pass_share >= threshold) over () as gate_open from g"""
+
 ORACLES["gold_overlap"] = rf"""with g as (
   select {rid('item_id')} as record_id, list_distinct(regexp_extract_all(lower(text), '[^\s]+')) as gold
   from benchmark),

@@ -110,6 +110,14 @@ def quality_gate(spark, sf):
     return evaluation.quality_gate(b.evaluations(spark, sf), 0.7)
 
 
+@query
+def metric_gate(spark, sf):
+    """A threshold for each metric, held overall and in every language."""
+    return evaluation.metric_gate(
+        b.evaluations(spark, sf), {"schema": 0.9, "faithfulness": 0.3, "schedule": 0.5, "overall": 0.2}
+    )
+
+
 @query
 def gold_overlap(spark, sf):
     gold = b.table(spark, sf, "benchmark").select(

@@ -363,6 +363,33 @@ def test_rounds_follow_the_retry_rules(spark, tmp_path):
     assert {r["count"] for r in tries.collect()} == {5}
 
 
+def test_gate_by_metric_and_group(spark):
+    """Any metrics, null groups, missing entries; one bad group closes it."""
+    entry = "struct<score:double,passed:boolean,reason:string>"
+    schema = f"lang string, metric_results struct<schema:{entry},brief:{entry}>, overall_pass boolean"
+
+    def e(p):
+        return None if p is None else (1.0, p, "")
+
+    data = [("en", (e(True), e(True)), True), ("en", (e(True), e(False)), False), ("de", (e(False), None), False), (None, (e(True), e(True)), True)]
+    df = spark.createDataFrame(data, schema)
+
+    def gate(thresholds, frame=df):
+        return {(r["metric"], r["level"], r["lang"]): (r["records"], r["pass_share"], r["holds"], r["gate_open"])
+                for r in evaluation.metric_gate(frame, thresholds).collect()}
+
+    got = gate({"schema": 0.7, "brief": 0.5})
+    assert got == {
+        ("schema", "all", None): (4, 0.75, True, False), ("schema", "group", "en"): (2, 1.0, True, False),
+        ("schema", "group", "de"): (1, 0.0, False, False), ("schema", "group", None): (1, 1.0, True, False),
+        ("brief", "all", None): (3, 0.6667, True, False), ("brief", "group", "en"): (2, 0.5, True, False),
+        ("brief", "group", None): (1, 1.0, True, False),
+    }
+    assert {v[3] for v in gate({"brief": 0.5, "overall": 0.0}).values()} == {True}
+    assert gate({"unknown": 0.0}) == {("unknown", "all", None): (0, None, False, False)}
+    assert gate({"schema": 0.1}, df.limit(0)) == {}
+
+
 def counting(folder, word=None, stop=None):
     """Answers prompts and leaves a file for each call; a prompt that begins
     with ``stop`` ends the task."""
