@@ -12,7 +12,7 @@ from quillgate.operators import prompts
 
 METRICS = ["schema", "faithfulness", "schedule"]
 THRESHOLD = 0.8
-MISSING_REASON = "structured_output missing; cannot evaluate"
+MISSING_REASON = "no structured output, so there is nothing to score"
 
 
 @dataclass(frozen=True)

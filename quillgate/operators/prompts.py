@@ -58,7 +58,7 @@ OUTPUT_SCHEMA = (
 )
 
 FEEDBACK_OPENING = "Structure this instruction again and settle the feedback."
-NO_FEEDBACK = "No specific feedback."
+NO_FEEDBACK = "The judges left no remark."
 
 JUDGE_FAITHFULNESS = (
     "Do the statements cover every targeting rule, action, condition and limit of the "

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from quillgate.functions import text, validation as val
 from quillgate.operators import evaluation, extraction
 
+# fixed values: the issue names here and in the two rules below, and the reasons
 MALFORMED = "malformed_json"
 MIN_WORDS = 10
 UTTERANCE_REASON = "utterance_regeneration"
@@ -35,7 +36,7 @@ def classify_records(parsed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     })
     n = F.col("_words")
     issue = (
-        F.when(F.col("_malformed"), F.lit("malformed_json"))
+        F.when(F.col("_malformed"), F.lit(MALFORMED))
         .when(~F.col("_has_utterance"), F.lit("missing_utterance_field"))
         .when(n == 0, F.lit("empty_utterance"))
         .when(n < min_words, F.concat(F.lit("too_short_"), n.cast("string"), F.lit("_words")))
