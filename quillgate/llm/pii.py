@@ -1,7 +1,7 @@
 """Personal data by a skip-chain conditional random field.
 
 Exact patterns find the base spans.  The field runs over the tokens that hold a
-digit or an @: neighbours in the text share a chain potential, and repeated or
+digit or an @ or are a user name of the text: neighbours in the text share a chain potential, and repeated or
 similar tokens of a document, however distant and many, share a skip potential
 with one variable (a hub), which is observed if one of them is.  Base
 spans are observed; loopy message passing carries their labels to tokens that
@@ -44,6 +44,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIM = "\"'()[]{}<>.,;:!?*#%&$|=-"
+_LETTER, _JOINT = re.compile(r"[a-z]"), re.compile(r"[a-z0-9][._+-][a-z0-9]|[0-9]")
 _RUN = re.compile(r"[0-9]+|[^\W\d_]+")
 
 SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -94,15 +95,24 @@ def shape(token: str) -> int:
     return zlib.crc32(form.encode()) % SHAPES
 
 
-def links(token: str) -> list[str]:
-    """What makes two tokens of a document alike."""
+def user_name(token: str) -> str | None:
+    """The part before the @, if it can stand for a person without its host:
+    a plain number or a plain word is too much like others."""
+    name, at, _ = token.lower().partition("@")
+    return name if at and len(name) >= 4 and _LETTER.search(name) and _JOINT.search(name) else None
+
+
+def links(token: str, whole: bool = True) -> list[str]:
+    """What makes two tokens of a document alike.  A piece of a longer base
+    span (not ``whole``) is alike by its digits alone, if they are many: a
+    prefix or a group of four says nothing about an equal number elsewhere."""
     low = token.lower()
-    out = [low]
+    out = [low] if whole else []
     digits = "".join(x for x in low if "0" <= x <= "9")
     if len(digits) >= 7:
         out.append("#" + digits)
-    name = low.partition("@")[0]
-    if name != low and len(name) >= 4:
+    name = user_name(token) if whole else None
+    if name:
         out.append(name)
     return out
 
@@ -122,6 +132,21 @@ class Tokens:
     hubs: int = 0
 
 
+def named(part: c.Slice, texts: dict[int, str], base: dict[int, list], starts, ends, owner, points) -> np.ndarray:
+    """Words without a digit or an @ that are a user name of the same text."""
+    out: list[int] = []
+    for i, spans in base.items():
+        names = {user_name(texts[i][a:b]) for k, a, b in spans if k == 0} - {None}
+        names = {x for x in names if not any(d.isdigit() for d in x)}
+        if names:
+            zero = points[part.start[i] + 1]
+            for w in range(*np.searchsorted(owner, [i, i + 1]).tolist()):
+                token = texts[i][int(points[starts[w]] - zero) : int(points[ends[w]] - zero)]
+                if token.strip(_TRIM).lower() in names:
+                    out.append(w)
+    return np.array(out, np.int64)
+
+
 def tokens(part: c.Slice, texts: dict[int, str], base: dict[int, list]) -> Tokens:
     """``texts``: decoded texts that hold a digit or an @, by number."""
     out = Tokens([], [], [], [], [], [], [], [])
@@ -129,6 +154,7 @@ def tokens(part: c.Slice, texts: dict[int, str], base: dict[int, list]) -> Token
     mark = np.concatenate([[0], np.cumsum(c.DIGIT[part.data] | (part.data == 0x40))])
     words = np.flatnonzero(mark[ends] > mark[starts])
     points = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])
+    words = np.union1d(words, named(part, texts, base, starts, ends, owner, points))
     text_of, word_number = -1, -2
     last: dict[str, int] = {}
     hub_of: dict[str, int] = {}
@@ -145,12 +171,13 @@ def tokens(part: c.Slice, texts: dict[int, str], base: dict[int, list]) -> Token
             continue
         a += lead
         b = a + len(token)
-        kind = next((k + 1 for k, s, e in base[i] if s < b and a < e), OTHER)
+        span = next((x for x in base[i] if x[1] < b and a < x[2]), None)
+        kind = span[0] + 1 if span else OTHER
         me = len(out.text)
         if word_number == w - 1:
             out.chain.append((me - 1, me))
         word_number = w
-        for key in links(token):
+        for key in links(token, not span or a <= span[1] and span[2] <= b):
             if key in last and last[key] != me:
                 out.skip.append((last[key], me))
                 if key not in hub_of:
