@@ -3,7 +3,9 @@
 Documents and benchmark items are cut into overlapping passages of 32 words.
 A randomised SVD of their TF-IDF rows gives a latent space; passages near an
 item's passage by cosine are candidates, and the longest common subsequence of
-words, together with a look for the item's answer, decides.
+words, together with a look for the item's answer, decides.  A passage very near
+an item that also holds its answer needs few words in the item's order: that is
+how reworded copies are found.
 
 Only words that occur in the benchmark and are not common in the corpus can
 tell; all others count in a passage's norm alone.
@@ -17,7 +19,7 @@ item's words at, and where there are enough, the subsequence decides as well.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -29,15 +31,17 @@ from quillgate.llm import common as c
 HALF = 16  # passages are two halves long and begin at every half
 BUCKETS = 1 << 18
 RANK, OVERSAMPLE = 96, 8
-#: documents that the latent space is fitted on, about, besides all items
-FIT_ROWS = 8000
+#: rows of the basis that travel as one row of a sum
+PACK = 256
 #: items that one pass over the documents looks for
 BLOCK_ITEMS = 2000
 COMMON = 2.5  # least inverse document frequency of a word that can tell
 COSINE = 0.5
 TELLING = 0.4  # least share of a passage's norm in words that can tell, for the cosine search
 COPIED, PARAPHRASED = 0.7, 0.5  # share of the item's words in the common subsequence; the latter with the answer
+REWORDED, NEAR = 0.3, 0.6  # or this share and the answer in a passage of at least this cosine
 ANSWER = 0.8
+RAREST = 3  # of an item's rarest words, at least, around a place that is looked at
 SHORT = 5  # items of fewer words must occur whole
 
 MATCH = "array<struct<item_id:{},cosine:double,lcs:double,answer:boolean>>"
@@ -62,12 +66,19 @@ class Model:
     passages: np.ndarray  # (passages, rank), unit length
     owner: np.ndarray  # item number of each passage
     count: np.ndarray  # document frequency by bucket
+    cosine: float = COSINE  # least cosine of a candidate
 
     @cached_property
     def index(self) -> "Index":
         return Index.of(self.items, self.count)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; quicker than hashing them."""
+    x = np.sort(x)
+    return x[np.flatnonzero(np.diff(x, prepend=-1))]
+
+
 @dataclass
 class Index:
     """Where an item can be: each match holds one of its rarest words."""
@@ -75,9 +86,12 @@ class Index:
     word: np.ndarray  # number of a benchmark word by bucket; 0: none
     first: np.ndarray  # first posting of each word, and the end
     item: np.ndarray  # item of each posting
-    times: np.ndarray  # (items, words), how often an item has a word, at most 255
+    rarest: np.ndarray  # whether a match must have one of these
+    key: np.ndarray  # item and word of every word of an item, sorted
+    times: np.ndarray  # how often the item has it
     size: np.ndarray  # words of each item
     need: np.ndarray  # words of each item that a match has at least
+    least: np.ndarray  # of its rarest words, that is
 
     @classmethod
     def of(cls, items: list[Item], count: np.ndarray) -> "Index":
@@ -85,19 +99,22 @@ class Index:
         used = np.unique(np.concatenate([np.zeros(0, np.int64), *words]))
         word = np.zeros(BUCKETS, np.int32)
         word[used] = 1 + np.arange(len(used))
-        times = np.zeros((len(items), len(used) + 1), np.uint8)
         size = np.array([len(w) for w in words], np.int64)
         need = np.where(size < SHORT, size, np.ceil(size * PARAPHRASED - 1e-9).astype(np.int64))
-        postings = [np.zeros((0, 2), np.int64)]
+        # a match lacks at most size - need words, so of this many more it has as many
+        least = np.minimum(RAREST, need)
+        postings, keys, times = [np.zeros((0, 3), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n, b in enumerate(words):
             k, c_ = np.unique(word[b], return_counts=True)
-            times[n, k] = np.minimum(c_, 255)
-            rarest = b[np.argsort(count[b], kind="stable")][: size[n] - need[n] + 1]
-            mine = np.unique(word[rarest])
-            postings.append(np.stack([mine, np.full(len(mine), n)], axis=1))
+            keys.append(n * (len(used) + 1) + k.astype(np.int64))
+            times.append(c_)
+            rare = word[b[np.argsort(count[b], kind="stable")]]
+            mine = np.unique(rare[: size[n] - need[n] + least[n]])
+            postings.append(np.stack([mine, np.full(len(mine), n), np.isin(mine, rare[: size[n] - need[n] + 1])], axis=1))
         post = np.concatenate(postings)
         post = post[np.argsort(post[:, 0], kind="stable")]
-        return cls(word, np.searchsorted(post[:, 0], np.arange(len(used) + 2)), post[:, 1], times, size, need)
+        return cls(word, np.searchsorted(post[:, 0], np.arange(len(used) + 2)), post[:, 1],
+                   post[:, 2] > 0, np.concatenate(keys), np.concatenate(times), size, need, least)
 
     def places(self, b: np.ndarray, cut: "Halves", begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(halves, items) at which the words around, as ``region`` takes them,
@@ -106,8 +123,17 @@ class Index:
         hits = np.flatnonzero(self.first[word + 1] > self.first[word])
         some = self.first[word[hits] + 1] - self.first[word[hits]]
         at = np.repeat(self.first[word[hits]] - np.cumsum(some) + some, some) + np.arange(some.sum())
-        pairs = np.unique(np.repeat(cut.of_word[hits], some) * len(self.size) + self.item[at])
-        found = [np.zeros(0, np.int64)]
+        posted = self.item[at]
+        must = self.rarest[at]
+        pairs = distinct(np.repeat(cut.of_word[hits], some)[must] * len(self.size) + posted[must])
+        # cheap first: how many of the item's rarest words are around
+        half, item = np.divmod(pairs, max(1, len(self.size)))
+        text = cut.text[half]
+        a, z = region(cut.word[half], self.size[item], begin[text], end[text])
+        hit = np.sort(posted * len(b) + np.repeat(hits, some))
+        near = np.searchsorted(hit, item * len(b) + z) - np.searchsorted(hit, item * len(b) + a)
+        pairs = pairs[near >= self.least[item]]
+        found, width = [np.zeros(0, np.int64)], len(self.first) - 1
         for lo in range(0, len(pairs), 20_000):
             half, item = np.divmod(pairs[lo : lo + 20_000], len(self.size))
             text = cut.text[half]
@@ -115,13 +141,12 @@ class Index:
             pair = np.repeat(np.arange(len(half)), z - a)
             place = np.repeat(a - np.cumsum(z - a) + (z - a), z - a) + np.arange(len(pair))
             w = word[place]
-            held = self.times[item[pair], w] > 0
-            key = np.unique(pair[held] * self.times.shape[1] + w[held])
-            pair, w = np.divmod(key, self.times.shape[1])
-            number = np.bincount(pair, self.times[item[pair], w], len(half))
-            # 255 stands for more
-            open_ = np.bincount(pair, self.times[item[pair], w] == 255, len(half)) > 0
-            found.append(pairs[lo : lo + 20_000][(number >= self.need[item]) | open_])
+            known = w > 0  # the benchmark's
+            pair, w = np.divmod(distinct(pair[known] * width + w[known]), width)
+            key = item[pair] * width + w
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            number = np.bincount(pair, np.where(self.key[at] == key, self.times[at], 0), len(half))
+            found.append(pairs[lo : lo + 20_000][number >= self.need[item]])
         return np.divmod(np.concatenate(found), max(1, len(self.size)))
 
 
@@ -239,7 +264,7 @@ def _frequency(telling: np.ndarray):
                 h, text = word_hashes(part)
                 b = bucket(h)
                 ok = telling[b]
-                total += np.bincount(np.unique(text[ok] * BUCKETS + b[ok]) % BUCKETS, minlength=BUCKETS)
+                total += np.bincount(distinct(text[ok] * BUCKETS + b[ok]) % BUCKETS, minlength=BUCKETS)
                 texts += part.n
         at = np.flatnonzero(total)
         yield {"bucket": np.append(at, -1), "n": np.append(total[at], texts)}
@@ -247,12 +272,46 @@ def _frequency(telling: np.ndarray):
     return run
 
 
-def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text", fit_rows: int = FIT_ROWS) -> Model:
+def _latent(idf: np.ndarray, rare: float, row_of: np.ndarray):
+    """The passages' rows, by slice: (passage, row of the basis, weight) packed."""
+
+    def run(batches):
+        for batch in batches:
+            for part in c.slices(c.as_bytes(batch.column("text"))):
+                _, two, norm, _, _, row, bk, w = _rows(part, idf, rare, TELLING)
+                if len(two):
+                    order = np.argsort(row, kind="stable")
+                    row, at, w = row[order], row_of[bk[order]], (w / norm[row])[order]
+                    yield {"n": [len(two)], "row": [row.astype(np.int32).tobytes()], "at": [at.tobytes()],
+                           "w": [w.astype(np.float32).tobytes()]}
+
+    return run
+
+
+def _blocks(total: np.ndarray):
+    """The rows of a sum that are not 0, PACK to a block, as columns."""
+    some = [at for at in range(0, len(total), PACK) if total[at : at + PACK].any()]
+    return {"at": some, "x": [total[at : at + PACK].astype(np.float32).tobytes() for at in some]}
+
+
+def _add(batches):
+    """Sums of packed blocks, one batch after the other."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, x in zip(batch.column("at").to_pylist(), batch.column("x").to_pylist()):
+            x = np.frombuffer(x, np.float32)
+            sums[at] = sums[at] + x if at in sums else x.astype(np.float64)
+    for at, x in sums.items():
+        yield {"at": [at], "x": [x.tobytes()]}
+
+
+def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text") -> Model:
     """Model for one block of items.
 
-    Document frequencies come from all texts.  The latent space is that of the
-    items and of about ``fit_rows`` documents: at most 16 tasks send the driver
-    a sum of at most BUCKETS rows each."""
+    Document frequencies and the latent space come from the passages of all
+    texts.  These are written once as sparse rows.  Every product with them is
+    summed on executors by blocks of rows, and the driver gets one matrix of a
+    row for each word of these items (at most BUCKETS) and RANK columns."""
     spark = docs.sparkSession
     docs = c.narrow(docs, text=F.coalesce(F.col(text), F.lit("")))
     known = [Item(i, of_text(t or ""), of_text(answer_of(t or ""))) for i, t in items]
@@ -267,8 +326,7 @@ def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text", fi
     count[b[b >= 0]] = n[b >= 0]
     rare = float(np.log1p(total))
     idf = np.where(telling, np.log1p(total / np.maximum(count, 1)), 0.0)
-    if total > 200:  # in a handful of texts every word is common
-        idf[(idf > 0) & (idf < COMMON)] = -1.0  # known, but cannot tell
+    idf[(idf > 0) & (idf < COMMON)] = -1.0  # known, but cannot tell
 
     raw = [t.encode() for _, t in items if of_text(t or "")]
     mine = _rows(c.Slice(raw, 0, len(raw)), idf, rare, 0.0) if raw else None
@@ -280,41 +338,41 @@ def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text", fi
     rank = min(rank, len(used))
     row_of = np.zeros(BUCKETS, np.int32)
     row_of[used] = np.arange(len(used))
-    sample = docs.filter(c.picked(fit_rows / total, "text", seed="latent"))
-    sample = c.materialise(sample, "latent-sample")
-    omega = np.random.default_rng(9).normal(size=(len(used), rank))
+    sparse = c.materialise(c.over_batches(docs, _latent(idf, rare, row_of), "n int, row binary, at binary, w binary"), "latent-rows")
+    omega = np.random.default_rng(9).normal(size=(len(used), rank)).astype(np.float32)
+
+    def product(m: np.ndarray, n: int, row: np.ndarray, at: np.ndarray, w: np.ndarray, gram: bool) -> np.ndarray:
+        z = c.per_text(m[at] * w[:, None], row, n)
+        if gram:
+            return z.T @ z
+        order = np.argsort(at, kind="stable")
+        return c.per_text((z[row] * w[:, None])[order], at[order], len(m))
 
     def power(m: np.ndarray, gram: bool) -> np.ndarray:
-        """A'A m over the sample's and the items' passages; with
-        ``gram``, m'A'A m."""
+        """A'A m over all passages and the items'; with ``gram``, m'A'A m."""
+        m = m.astype(np.float32)
         shared = spark.sparkContext.broadcast(m)
 
-        def rows(part, least=TELLING):
-            _, two, norm, _, _, row, bk, w = _rows(part, idf, rare, least)
-            at, w = row_of[bk], w / norm[row]
-            z = project(shared.value, len(two), row, at, w)
-            if gram:
-                return z.T @ z
-            order = np.argsort(at, kind="stable")
-            return c.per_text((z[row] * w[:, None])[order], at[order], len(used))
-
         def task(batches):
             total = None
             for batch in batches:
-                for part in c.slices(c.as_bytes(batch.column("text"))):
-                    x = rows(part)
-                    total = x if total is None else total + x
-            for at in range(0, 0 if total is None else len(total), 4096):
-                some = total[at : at + 4096]
-                yield {"at": at + np.arange(len(some)), "x": list(some)}
-
-        got = c.over_batches(sample.coalesce(16), task, "at int, x array<double>")
-        frame = got.toPandas()
+                packed = (batch.column(x).to_pylist() for x in ("n", "row", "at", "w"))
+                for n, row, at, w in zip(*packed):
+                    x = product(shared.value, n, np.frombuffer(row, np.int32), np.frombuffer(at, np.int32), np.frombuffer(w, np.float32), gram)
+                    total = x if total is None else np.add(total, x, out=total)
+            if total is not None:
+                yield _blocks(total)
+
+        parts = c.over_batches(sparse, task, "at int, x binary")
+        got = c.over_batches(parts.repartition("at"), _add, "at int, x binary").collect()
+        shared.destroy()
         out = np.zeros((m.shape[1] if gram else len(used), m.shape[1]))
-        if len(frame):
-            np.add.at(out, frame["at"].to_numpy(), np.stack(frame["x"].to_numpy()))
-        # the items weigh as much as the sample does
-        own = rows(c.Slice(raw, 0, len(raw)), 0.0)
+        for at, x in got:
+            out[at : at + PACK] += np.frombuffer(x).reshape(-1, m.shape[1])
+        # the items weigh as much as the documents do
+        _, two, norm, _, _, row, bk, w = mine
+        order = np.argsort(row, kind="stable")
+        own = product(m, len(two), row[order], row_of[bk[order]], (w / norm[row])[order], gram)
         return out + own * max(1.0, np.linalg.norm(out) / max(np.linalg.norm(own), 1e-12))
 
     q, _ = np.linalg.qr(power(omega, False))
@@ -361,8 +419,11 @@ def look(model: Model, part: c.Slice) -> dict[int, list]:
         a, b = region(word, size, first[t], stop[t])
         words = h[a:b].tolist()
         share = lcs(wanted.words, words) / size
-        answer = bool(wanted.answer) and lcs(wanted.answer, words) >= ANSWER * len(wanted.answer)
-        leak = share >= 1 if size < SHORT else share >= COPIED or (share >= PARAPHRASED and answer)
+        # without REWORDED of its words nothing leaks, so the answer is not looked for
+        answer = bool(wanted.answer) and share >= REWORDED and lcs(wanted.answer, words) >= ANSWER * len(wanted.answer)
+        leak = share >= COPIED or answer and (share >= PARAPHRASED or (cosine or 0) >= NEAR)
+        if size < SHORT:
+            leak = share >= 1
         if not held or (leak, share) > (held[4], held[2]):
             if cosine is None:
                 cosine = similar(model, h[word : min(word + 2 * HALF, int(stop[t]))], item) if leak else 0.0
@@ -374,7 +435,7 @@ def look(model: Model, part: c.Slice) -> dict[int, list]:
         z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
         for lo in range(0, len(z), 2048):
             cosine = z[lo : lo + 2048].astype(np.float32) @ model.passages.T
-            at, passage = np.nonzero(cosine >= COSINE)
+            at, passage = np.nonzero(cosine >= model.cosine)
             for i in np.argsort(-cosine[at, passage], kind="stable"):
                 p = two[lo + at[i], 0]
                 decide(int(cut.text[p]), int(model.owner[passage[i]]), int(cut.word[p]), float(cosine[at[i], passage[i]]))
@@ -388,7 +449,7 @@ def look(model: Model, part: c.Slice) -> dict[int, list]:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-            keep: list[Column] | None = None, block_items: int = BLOCK_ITEMS) -> DataFrame:
+            keep: list[Column] | None = None, block_items: int = BLOCK_ITEMS, cosine: float = COSINE) -> DataFrame:
     """The columns of ``keep`` and ``matches`` (item_id, cosine, lcs, answer)
     for every row of ``docs``; no matches: clean.
 
@@ -396,7 +457,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     by nothing.  Repeated rows give repeated results, repeated items one match
     each.  An empty benchmark leaves every document clean.  The benchmark is
     taken in blocks of about ``block_items`` items, each of which is looked for
-    in all documents.
+    in all documents.  ``cosine``: least cosine of a candidate of the latent search.
     """
     kind = dict(benchmark.dtypes)[item_id]
     schema = MATCH.format(kind)
@@ -407,7 +468,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     for n in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == n).collect()
         mine = sorted(((r["id"], r["text"]) for r in mine), key=lambda r: (r[0] is None, r[0], r[1] or ""))
-        model = fit(docs, mine, text)
+        model = replace(fit(docs, mine, text), cosine=cosine)
         rows = _look(rows, model, schema)
     names = [f"_keep.`{f.name}`" for f in rows.schema["_keep"].dataType.fields if f.name != "_0"]
     return rows.select(*names, "matches")
