@@ -31,6 +31,13 @@ def has_field(value: Column, name: str) -> Column:
     return field(value, name).isNotNull()
 
 
+def has_member(value: Column, name: str) -> Column:
+    """Whether an object has this member, and not as null; any name will do."""
+    # a path cannot hold every name
+    member = F.try_element_at(F.try_variant_get(value, "$", "map<string,variant>"), F.lit(name))
+    return member.isNotNull() & ~F.is_variant_null(member)
+
+
 def field_type(value: Column, name: str) -> Column:
     return F.schema_of_variant(field(value, name))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from quillgate.operators.planning import BUCKET
-from quillgate.session import materialise
+from quillgate.sources import positions
 
 
 def record_offsets(lines: DataFrame, line: str = "value", bucket: int = BUCKET) -> DataFrame:
@@ -40,36 +40,13 @@ def file_offsets(spark: SparkSession, path: str) -> DataFrame:
     Lines end at a line feed; a carriage return stays in the line, so the
     positions are exact for both kinds of file.
     """
-    scan = spark.read.option("lineSep", "\n").text(path).select(
-        F.octet_length("value").alias("_len"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    # written once: block bounds may differ between two scans
-    sized = materialise(scan.withColumn("_bytes", F.col("_len").cast("bigint") + 1), "offsets")
-    blocks = sized.groupBy("file", "block").agg(
-        F.sum("_bytes").alias("_total"), F.count(F.lit(1)).alias("_n")
-    )
-    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = blocks.select(
-        "file",
-        "block",
-        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines"),
-    )
-    block = W.partitionBy("file", "block").orderBy("_row")
-    placed = sized.withColumns({
-        "_inside": F.coalesce(
-            F.sum("_bytes").over(block.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ),
-        "_rn": F.row_number().over(block),
-    })
-    return placed.join(starts, ["file", "block"]).select(
-        "file",
-        (F.col("_lines") + F.col("_rn") - 1).alias("index"),
-        (F.col("_start") + F.col("_inside")).alias("offset"),
-    )
+    return positions.line_offsets(spark, path).select("file", F.col("line").alias("index"), "offset")
+
+
+def joint_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """``index, offset`` over all files under ``path`` as if they were one, in
+    name order."""
+    return positions.line_offsets(spark, path).select("index", F.col("position").alias("offset"))
 
 
 def changed_offsets(plan: DataFrame, offsets: DataFrame, field: str = "offset") -> DataFrame:

@@ -64,6 +64,12 @@ LINE_SQL = f"""(case
   else '{{"record_id":' || {quoted('record_id')} || ',"utterance":' || {quoted('text')} || ',"kpis_used":[],"complexity":' || {quoted('complexity')} || '}}'
   end)"""
 
+#: the same with two fields of another type than declared
+TYPED_LINE_SQL = f"""(case
+  when doc_id % 7 = 3 then replace({LINE_SQL}, '"kpis_used":[]', '"kpis_used":7')
+  when doc_id % 7 = 5 then replace({LINE_SQL}, '"kpis_used":[]', '"num_kpis":"many","kpis_used":{{}}')
+  else {LINE_SQL} end)"""
+
 #: one line of a structured file, some of them incomplete
 STRUCTURED_LINE_SQL = f"""(case
   when doc_id % 31 = 0 then '{{"record_id":' || {quoted('record_id')} || ',"structured_output":' || {OUTPUT_SQL} || ',"structured_status":"completed"}}'

@@ -569,6 +569,15 @@ ko as (select "index", coalesce(sum(strlen(line) + 1) over (order by "index"
 select o."index", {rid('o."index"')} as record_id, coalesce(kept, old_offset) as "offset"
 from o left join ko using ("index") where contains(text, chr(10))"""
 
+ORACLES["offset_update_files"] = f"""with {D}, {OFFSETS}
+select "index", {rid('"index"')} as record_id, new_offset as "offset" from o where contains(text, chr(10))"""
+ORACLES["jsonl_located_errors"] = f"""with {D},
+tl as (select doc_id, "index", {b.TYPED_LINE_SQL} as line from d),
+te as (select *, case when not json_valid(line) then 'not a JSON object'
+  when json_type(line, '$.num_kpis') = 'VARCHAR' then 'wrong type: kpis_used, num_kpis'
+  when json_type(line, '$.kpis_used') not in ('ARRAY', 'NULL') then 'wrong type: kpis_used' end as reason from tl)
+select "index", reason, md5(line) as line_md5 from te where reason is not null and line <> ''"""
+
 # -- refinement --------------------------------------------------------------
 
 CANDIDATES = f"""cd as (select *, case when not contains(text, chr(10)) then 'not_found'

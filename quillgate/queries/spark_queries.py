@@ -825,6 +825,12 @@ def utterance_lines(spark, sf):
     return b.documents(spark, sf).select("index", F.expr(b.LINE_SQL).alias("value"))
 
 
+def write_lines(lines, path):
+    """``value`` as eight text files in index order."""
+    ordered = lines.repartitionByRange(8, "index").sortWithinPartitions("index")
+    ordered.select("value").write.text(path)
+
+
 @query
 def record_offsets(spark, sf):
     return offsets.record_offsets(utterance_lines(spark, sf))
@@ -879,6 +885,15 @@ def offset_update(spark, sf):
     return offsets.update_offsets(stale_plan(spark, sf), offsets.record_offsets(kept))
 
 
+@query
+def offset_update_files(spark, sf):
+    """The plan's offsets after an edit of a data set of several files."""
+    path, plan = scratch_path(spark, "edited-lines"), scratch_path(spark, "edited-plan")
+    write_lines(utterance_lines(spark, sf), path)
+    side_jobs.recalculate_offsets(spark, path, stale_plan(spark, sf), plan)
+    return spark.read.parquet(plan)
+
+
 # -- refinement --------------------------------------------------------------
 
 
@@ -1012,6 +1027,15 @@ def jsonl_tolerant(spark, sf):
     )
 
 
+@query
+def jsonl_located_errors(spark, sf):
+    """Line number and reason of every broken or wrongly typed line of several files."""
+    path = scratch_path(spark, "broken-lines")
+    lines = b.documents(spark, sf).select("index", F.expr(b.TYPED_LINE_SQL).alias("value"))
+    write_lines(lines, path)
+    return rec.located_errors(spark, path, schemas.UTTERANCES).select("index", "reason", digest(F.col("value")).alias("line_md5"))
+
+
 @query
 def incremental_stream(spark, sf):
     """Stream the documents through the utterance check into a table."""

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 from quillgate import schemas
 from quillgate.functions import text, validation as val
-from quillgate.session import materialise
-
-#: most file blocks whose start positions are broadcast
-MAX_BROADCAST_BLOCKS = 500_000
+from quillgate.sources import positions
 
 
 # -- profiles ----------------------------------------------------------------
@@ -34,50 +31,51 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def corrupt_lines(spark: SparkSession, path: str) -> DataFrame:
-    """File and text of the lines that are not a JSON object; blank lines are
-    no lines here."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), text.strip(F.col("value")).alias("line")
+def located_errors(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``file, line, index, reason, value`` of every line that ``schema`` does
+    not hold for: no JSON object, or fields of another type (named).
+
+    ``line`` counts from 1 within the file, ``index`` from 0 over all files.
+    Blank lines are counted but are no errors; an absent or null field is none
+    either.
+    """
+    lines = positions.located_lines(spark, path)
+    mark = "_corrupt_record"
+    while mark in schema.fieldNames():
+        mark += "_"
+    whole = T.StructType([*schema.fields, T.StructField(mark, T.StringType())])
+    parsed = lines.withColumns({
+        "_text": text.strip(F.col("value")),
+        "_row": F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": mark}),
+    }).withColumn("_v", val.parse_exact(F.col("_text")))
+    wrong = F.array_compact(F.array(F.lit(None).cast("string"), *[
+        F.when(val.has_member(F.col("_v"), f.name) & F.col("_row").getField(f.name).isNull(), F.lit(f.name))
+        for f in schema.fields
+    ]))
+    reason = F.when(~val.is_object(F.col("_v")), F.lit(MALFORMED)).when(
+        F.col("_row").getField(mark).isNotNull(), F.concat_ws(": ", F.lit(WRONG_TYPE), F.nullif(F.array_join(wrong, ", "), F.lit("")))
     )
-    return lines.filter((F.col("line") != "") & ~val.is_object(val.parse_exact(F.col("line"))))
+    return parsed.withColumn("reason", reason).filter(
+        (F.col("_text") != "") & F.col("reason").isNotNull()
+    ).select("file", (F.col("line") + 1).alias("line"), "index", "reason", "value")
 
 
 def read_jsonl_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Strict reader whose error names file and text of one broken line."""
-    bad = corrupt_lines(spark, path).first()
-    if bad:
-        raise ValueError(f"broken line in {bad['file']}: {bad['line'][:200]}")
+    """Strict reader whose error names file, line, reason and text of the first
+    broken line."""
+    bad = located_errors(spark, path, schema).orderBy("index").limit(1).collect()
+    for b in bad:
+        raise ValueError(f"{b['file']}, line {b['line']}: {b['reason']}: {b['value']}")
     return read_jsonl(spark, path, schema)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their 0-based ``index`` over the files in name order.
-
-    Rows of one file block are read in order by one task, so a line's place
-    is its place in the block plus the lines of the blocks before.  The scan
-    is written once, since block bounds may differ between two scans.
-    """
-    scan = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    lines = materialise(scan, "lines")
-    blocks = lines.groupBy("file", "block").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = W.orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)
-    starts = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    if blocks.count() <= MAX_BROADCAST_BLOCKS:
-        starts = F.broadcast(starts)
-    return lines.join(starts, ["file", "block"]).select(
-        (F.col("_start") + F.col("_row") - F.col("_first")).alias("index"), "value"
-    )
+    """Lines with their 0-based ``index`` over the files in name order."""
+    return positions.located_lines(spark, path).select("index", "value")
 
 
 MALFORMED = "not a JSON object"
+WRONG_TYPE = "wrong type"
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
