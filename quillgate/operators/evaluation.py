@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from quillgate import schemas
 from quillgate.functions import text, validation as val
 from quillgate.operators import prompts
 
@@ -42,6 +43,27 @@ def judged_metrics(thresholds: dict[str, float] | None = None) -> list[Metric]:
     ]
 
 
+def registry(metrics: list[Metric] | None = None, thresholds: dict[str, float] | None = None) -> list[Metric]:
+    """The judged metrics of a run: the shipped ones or ``metrics``, with the
+    run's thresholds in place of their own.  Names are unique, and ``schema``
+    and ``overall`` are taken."""
+    found = [replace(m, threshold=(thresholds or {}).get(m.name, m.threshold)) for m in metrics or judged_metrics()]
+    names = [m.name for m in found]
+    if len(set(names)) < len(names) or {"schema", "overall"} & set(names):
+        raise ValueError(f"metric names must be unique and not schema or overall: {', '.join(names)}")
+    return found
+
+
+def table_schema(metrics: list[Metric] | None = None) -> T.StructType:
+    """Schema of evaluations by the schema check and these judged metrics."""
+    return schemas.evaluations(["schema", *(m.name for m in registry(metrics))])
+
+
+def metric_names(evaluations: DataFrame) -> list[str]:
+    """The metrics that evaluations carry."""
+    return evaluations.schema["metric_results"].dataType.names
+
+
 # -- scores ------------------------------------------------------------------
 
 
@@ -120,7 +142,7 @@ def evaluate(
     if valid is None:
         valid = is_valid_typed(output)
     entries = {"schema": schema_metric(valid)}
-    for m in metrics or judged_metrics(thresholds):
+    for m in registry(metrics, thresholds):
         entries[m.name] = verdict_metric(F.col(responses[m.name]), m.threshold, m.score)
     # metric entries are named first so that they are computed once
     named = df.withColumn("_missing", missing).withColumns(
@@ -165,10 +187,11 @@ def pivot_answers(answers: DataFrame, metrics: list[Metric] | None = None) -> Da
 # -- reports -----------------------------------------------------------------
 
 
-def metric_rows(evaluations: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
+def metric_rows(evaluations: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Long form: one row per record and metric that was measured."""
+    metrics = metrics or metric_names(evaluations)
     cells = F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(f"metric_results.{m}").alias("entry"))
+        F.struct(F.lit(m).alias("metric"), F.col(f"metric_results.`{m}`").alias("entry"))
         for m in metrics
     ])
     return (
@@ -199,10 +222,10 @@ def top_failing(evaluations: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` lowest scores with the reasons of the metrics that failed."""
     lines = [
         F.when(
-            ~F.col(f"metric_results.{m}.passed"),
-            F.concat(F.lit(f"{m}: "), F.col(f"metric_results.{m}.reason")),
+            ~F.col(f"metric_results.`{m}`.passed"),
+            F.concat(F.lit(f"{m}: "), F.col(f"metric_results.`{m}`.reason")),
         )
-        for m in METRICS
+        for m in metric_names(evaluations)
     ]
     return (
         evaluations.filter(~F.col("overall_pass"))
@@ -233,7 +256,7 @@ def metric_gate(evaluations: DataFrame, thresholds: dict[str, float], group: str
     null group is a group of its own.  One grouping-sets aggregation, combined
     before its shuffle, whatever the number of metrics.
     """
-    names = evaluations.schema["metric_results"].dataType.names
+    names = metric_names(evaluations)
     passed = {n: F.col(f"metric_results.`{n}`.passed") for n in names} | {"overall": F.col("overall_pass")}
     cells = F.array(*[
         F.struct(F.lit(n).alias("metric"), (passed[n] if n in passed else F.lit(None).cast("boolean")).alias("passed"))

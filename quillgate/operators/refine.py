@@ -51,7 +51,7 @@ def refine_requests(candidates: DataFrame) -> DataFrame:
     return candidates.filter(F.col("skip_reason").isNull()).withColumn(
         "prompt",
         prompts.feedback_prompt(
-            F.col("utterance"), previous, F.col("metric_results"), evaluation.METRICS
+            F.col("utterance"), previous, F.col("metric_results"), evaluation.metric_names(candidates)
         ),
     )
 

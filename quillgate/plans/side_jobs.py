@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillgate import schemas
 from quillgate.functions import objects, text, validation as val
-from quillgate.operators import extraction, offsets, prompts, refine, repair, sampling
+from quillgate.operators import evaluation, extraction, offsets, prompts, refine, repair, sampling
 from quillgate.operators.completion import Backend, attach_completions
 from quillgate.plans import stages
 from quillgate.session import configure, materialise
@@ -255,12 +255,14 @@ def refine_low_scores(
     keep_best: bool = False,
     dry_run: bool = False,
     parallelism: int | None = None,
+    metrics: list[evaluation.Metric] | None = None,
 ) -> DataFrame:
     """Extract low-scoring records again with feedback, score them again and
     replace both tables; returns old and new score per refined record (dry
     run: the counts)."""
     configure(spark)
-    evals = stages.stage_records(spark, evaluations, schemas.EVALUATIONS, indexed=True)
+    schema = evaluation.table_schema(metrics)
+    evals = stages.stage_records(spark, evaluations, schema, indexed=True)
     records = stages.stage_records(spark, structured, schemas.STRUCTURED, indexed=True)
     candidates = refine.pair_candidates(evals, records, min_score)
     if dry_run:
@@ -284,7 +286,7 @@ def refine_low_scores(
     # an evaluation that occurs twice is refined twice; one result counts
     fresh = fresh.dropDuplicates(["record_id"])
     rated = stages.judge(fresh, f"{evaluations}/attempts", run, judge_backends, parallelism,
-                         run.own_backend_id)
+                         run.own_backend_id, metrics)
     changes = rated.filter(F.col("answer_error").isNull()).join(
         fresh.select("record_id", "structured_output"), "record_id"
     )
@@ -295,7 +297,7 @@ def refine_low_scores(
 
     stages.replace_columns(new_structured, changes, ["structured_output"], schemas.STRUCTURED)
     stages.replace_columns(
-        new_evals, changes, ["metric_results", "overall_score", "overall_pass", "evaluated_at"], schemas.EVALUATIONS
+        new_evals, changes, ["metric_results", "overall_score", "overall_pass", "evaluated_at"], schema
     )
     # the first counts only with the second, so both change at once
     new_structured.commit(needs=new_evals)

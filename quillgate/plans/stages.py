@@ -9,6 +9,8 @@ calls of a job that was stopped are kept as attempts.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -222,10 +224,12 @@ def judge(
     backends: list[Backend],
     parallelism: int | None = None,
     backend_id: str | None = None,
+    metrics: list[evaluation.Metric] | None = None,
 ) -> DataFrame:
     """Evaluation of records with ``utterance, structured_output``: adds the
     scores to the narrow columns (all but those two)."""
-    asked = evaluation.judge_requests(records)
+    metrics = evaluation.registry(metrics, run.thresholds)
+    asked = evaluation.judge_requests(records, metrics)
     answers = attach_completions(
         asked, "prompt", backends, attempts,
         backend_id=backend_id or run.backend_id, run_id=run.run_id, parallelism=parallelism,
@@ -238,12 +242,12 @@ def judge(
     keep = [c for c in ("index", "record_id") if c in records.columns]
     scored = evaluation.evaluate(
         flags.select(*keep, "_no_output", "_valid").join(
-            evaluation.pivot_answers(answers), "record_id", "left"
+            evaluation.pivot_answers(answers, metrics), "record_id", "left"
         ),
-        {m.name: f"answer_{m.name}" for m in evaluation.judged_metrics()},
+        {m.name: f"answer_{m.name}" for m in metrics},
         missing=F.col("_no_output"),
         valid=F.col("_valid"),
-        thresholds=run.thresholds,
+        metrics=metrics,
     )
     return scored.drop("_no_output", "_valid").withColumn("evaluated_at", run.now())
 
@@ -259,24 +263,32 @@ def evaluate(
     allow_partial: bool = False,
     max_records: int | None = None,
     parallelism: int | None = None,
+    metrics: list[evaluation.Metric] | None = None,
 ) -> DataFrame:
-    """Schema and judge scores for every structured record."""
+    """Schema and judge scores for every structured record; ``metrics`` take the
+    place of the shipped judged metrics.  A run that is resumed with others, or
+    with other thresholds, is refused."""
     configure(spark)
+    if metrics:
+        metrics = evaluation.registry(metrics, run.thresholds)
+        run = replace(run, thresholds={m.name: m.threshold for m in metrics})
+    schema = evaluation.table_schema(metrics)
     structured = stage_records(spark, upstream, schemas.STRUCTURED, indexed=True)
     draft = state.draft(spark, store, run, resume)
     plan = _begin(draft, None if resume else planning.next_stage_plan(stage_plan(spark, upstream), structured, allow_partial))
-    work = _todo(structured, plan, draft, schemas.EVALUATIONS, max_records)
-    scored = judge(work, f"{store}/attempts", run, backends, parallelism)
-    _commit(scored, draft, schemas.EVALUATIONS, "answer_error", False)
-    return stage_records(spark, store, schemas.EVALUATIONS)
+    work = _todo(structured, plan, draft, schema, max_records)
+    scored = judge(work, f"{store}/attempts", run, backends, parallelism, metrics=metrics)
+    _commit(scored, draft, schema, "answer_error", False)
+    return stage_records(spark, store, schema)
 
 
 def filter_by_verdict(
-    spark: SparkSession, evaluations: str, structured: str, output: str, fmt: str = "parquet"
+    spark: SparkSession, evaluations: str, structured: str, output: str, fmt: str = "parquet",
+    metrics: list[evaluation.Metric] | None = None,
 ) -> DataFrame:
     """Write passed and failed records; returns the one-row summary."""
     configure(spark)
-    evals = stage_records(spark, evaluations, schemas.EVALUATIONS)
+    evals = stage_records(spark, evaluations, evaluation.table_schema(metrics))
     records = stage_records(spark, structured, schemas.STRUCTURED)
     rec.write_split(gate.gate(evals, records), output, fmt)
     return gate.summary(evals, records)

@@ -184,6 +184,9 @@ def structured(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: a judge's grade, for some records no number
+GRADE_SQL = "case when doc_id % 11 = 0 then 'none' else ' ' || cast(doc_id % 5 as string) end"
+
 ANSWERS = {"faithfulness": "faithful_answer", "schedule": "schedule_answer"}
 
 

@@ -121,6 +121,21 @@ select metric, count(*) as records, count(*) filter (where passed) as passed,
   round(count(*) filter (where passed) / cast(count(*) as double) * 100, 2) as pass_rate
 from r group by metric"""
 
+ORACLES["custom_metric_eval"] = f"""{BASE}, g as (
+  select *, case when doc_id % 11 = 0 then 0.0e0 else (doc_id % 5) * 25.0e0 end as grade from ev),
+h as (select *, not no_output and ok_f and ok_s and grade >= 50 as all_pass,
+  case when no_output then 0.0e0 else round((100.0e0 + (case when ok_f then 100.0e0 else 0.0e0 end)
+    + (case when ok_s then 100.0e0 else 0.0e0 end) + grade) / 4.0e0, 2) end as mean from g),
+r as (
+  select 'schema' as metric, not no_output as passed from h
+  union all select 'faithfulness', ok_f from h where not no_output
+  union all select 'schedule', ok_s from h where not no_output
+  union all select 'grade', grade >= 50 from h where not no_output
+  union all select 'overall', all_pass from h)
+select metric, count(*) as records, count(*) filter (where passed) as passed,
+  round(count(*) filter (where passed) / cast(count(*) as double) * 100, 2) as pass_rate from r group by metric
+union all select 'score', count(*), count(*) filter (where all_pass), round(avg(mean), 6) from h"""
+
 ORACLES["score_histogram"] = (
     f"{BASE} select overall_score, count(*) as records from ev group by overall_score"
 )

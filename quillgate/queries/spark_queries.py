@@ -95,6 +95,29 @@ def pass_rates(spark, sf):
     return evaluation.pass_rates(b.evaluations(spark, sf))
 
 
+#: a metric of a graded answer: 0 to 4, two are enough
+GRADE = evaluation.Metric(
+    "grade", lambda u, s: F.concat(F.lit("Grade from 0 to 4: "), u), 0.5,
+    lambda answer: F.try_divide(text.strip(answer).try_cast("double"), F.lit(4)),
+)
+
+
+@query
+def custom_metric_eval(spark, sf):
+    """Pass rates, and the worst records' scores, with a fourth metric."""
+    answers = b.labelled(spark, sf).drop("index", "record_id").withColumn("grade_answer", F.expr(b.GRADE_SQL))
+    scored = evaluation.evaluate(
+        b.structured(spark, sf).join(answers, "doc_id"), b.ANSWERS | {"grade": "grade_answer"},
+        metrics=[*evaluation.judged_metrics(), GRADE],
+    )
+    scores = scored.groupBy().agg(F.count_if("overall_pass").alias("n"), F.round(F.avg("overall_score"), 6).alias("score"),
+                                  F.count(F.lit(1)).alias("records"))
+    rows = evaluation.pass_rates(scored).select("metric", "records", "passed", "pass_rate")
+    return rows.unionByName(scores.select(
+        F.lit("score").alias("metric"), "records", F.col("n").alias("passed"), F.col("score").alias("pass_rate")
+    ))
+
+
 @query
 def score_histogram(spark, sf):
     return evaluation.score_histogram(b.evaluations(spark, sf))

@@ -56,19 +56,19 @@ METRIC = T.StructType([
     T.StructField("reason", T.StringType()),
 ])
 
-METRIC_RESULTS = T.StructType([
-    T.StructField("schema", METRIC),
-    T.StructField("faithfulness", METRIC),
-    T.StructField("schedule", METRIC),
-])
 
-EVALUATIONS = T.StructType([
-    T.StructField("record_id", T.StringType()),
-    T.StructField("metric_results", METRIC_RESULTS),
-    T.StructField("overall_score", T.DoubleType()),
-    T.StructField("overall_pass", T.BooleanType()),
-    T.StructField("evaluated_at", T.TimestampNTZType()),
-])
+def evaluations(metrics: list[str]) -> T.StructType:
+    """Evaluation table of records that are scored by these metrics."""
+    return T.StructType([
+        T.StructField("record_id", T.StringType()),
+        T.StructField("metric_results", T.StructType([T.StructField(m, METRIC) for m in metrics])),
+        T.StructField("overall_score", T.DoubleType()),
+        T.StructField("overall_pass", T.BooleanType()),
+        T.StructField("evaluated_at", T.TimestampNTZType()),
+    ])
+
+
+EVALUATIONS = evaluations(["schema", "faithfulness", "schedule"])
 
 MESSAGE = T.StructType([
     T.StructField("role", T.StringType()),

@@ -305,3 +305,29 @@ def test_own_metric(spark):
         df.join(evaluation.pivot_answers(answers, [short]), "record_id"), {"brief": "answer_brief"}, metrics=[short]
     )
     assert rows(got, "record_id", "overall_score", "metric_results.brief.passed") == [("a", 100.0, True), ("b", 50.0, False)]
+
+
+def test_own_metrics_through_the_stage(spark, stores, tmp_path):
+    """A fourth metric goes through judge, store, reports, gate and filter."""
+    from quillgate.operators import evaluation, refine
+    base, _, x, _ = stores
+    brief = evaluation.Metric("brief one", lambda u, s: F.concat(F.lit("Brief? "), u), 0.5, lambda r: F.length(r) / 100)
+    mine = [*evaluation.judged_metrics(), brief]
+    e = f"{tmp_path}/evaluate"
+    got = stages.evaluate(spark, x, e, run("evaluate"), JUDGE, max_records=10, metrics=mine)
+    assert evaluation.metric_names(got) == ["schema", "faithfulness", "schedule", "brief one"]
+    with pytest.raises(ValueError):  # other metrics cannot go on with this run
+        stages.evaluate(spark, x, e, run("evaluate", 2), JUDGE, resume=True)
+    got = stages.evaluate(spark, x, e, run("evaluate", 2), JUDGE, resume=True, metrics=mine)
+    assert got.count() == 30 and got.filter("metric_results.`brief one` is null").count() == 0
+    rates = {r.metric: r.records for r in evaluation.pass_rates(got).collect()}
+    assert rates == {"schema": 30, "faithfulness": 30, "schedule": 30, "brief one": 30, "overall": 30}
+    assert all("brief one: " in r.reasons for r in evaluation.top_failing(got.withColumn("overall_pass", F.lit(False)), 3).collect()
+               if "brief one" in r.reasons)
+    gate = evaluation.metric_gate(got.withColumn("lang", F.lit("en")), {"brief one": 0.0}).collect()
+    assert {r.metric for r in gate} == {"brief one"} and all(r.gate_open for r in gate)
+    assert stages.filter_by_verdict(spark, e, x, f"{tmp_path}/split", metrics=mine).first()["total"] == 30
+    prompts_ = refine.refine_requests(refine.pair_candidates(got, stages.stage_records(spark, x, schemas.STRUCTURED), 101.0))
+    assert prompts_.filter(F.col("prompt").contains("Brief One")).count() == prompts_.filter("metric_results.`brief one`.reason <> ''").count()
+    with pytest.raises(ValueError, match="unique"):
+        evaluation.registry([brief, brief])
