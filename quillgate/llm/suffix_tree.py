@@ -40,6 +40,10 @@ DIVERGENCE = 0.25
 SMOOTHING = 2.0
 END = 0x0A
 BLOCK_BYTES = 6 << 20
+#: bytes of text that are worked on at a time
+SLICE_BYTES = 1 << 18
+#: rows of a batch that are
+SLICE_ROWS = 1000
 RANGES_PER_BLOCK = 0.5
 _BYTE = np.uint64(8)
 #: lowest bytes of a gram, by their number
@@ -93,22 +97,53 @@ def grams(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _base_counts(batches):
     """Counts of the lowest BASE bytes of the grams, merged as they come."""
-    keys, counts = [], []
-    for batch in batches:
-        for part in c.slices(c.as_bytes(batch.column("text"))):
-            symbols, first, _, _ = normal_form(part)
-            k, n = np.unique(grams(symbols, first)[1] & _LOW[BASE], return_counts=True)
-            keys, counts = _merge([*keys, k], [*counts, n])
-    keys, counts = _merge(keys, counts)
-    for lo in range(0, len(keys[0]), 200_000):
-        yield {"gram": keys[0][lo : lo + 200_000].view(np.int64), "n": counts[0][lo : lo + 200_000]}
 
-
-def _merge(keys, counts):
-    if not keys:
-        return [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    k, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return [k], [np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)]
+    def parts():
+        for column in (b.column("text").slice(lo, SLICE_ROWS) for b in batches for lo in range(0, b.num_rows, SLICE_ROWS)):
+            for part in c.slices(c.as_bytes(column), SLICE_BYTES):
+                symbols, first, _, _ = normal_form(part)
+                yield np.unique(grams(symbols, first)[1] & _LOW[BASE], return_counts=True)
+
+    keys, counts = sum_up(parts())
+    for lo in range(0, len(keys), 200_000):
+        yield {"gram": keys[lo : lo + 200_000].view(np.int64), "n": counts[lo : lo + 200_000]}
+
+
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Several arrays of keys as one of distinct ones, sorted, and the sums of their counts."""
+    k, n = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)]), np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
+    order = np.argsort(k, kind="stable")  # merges what is in order
+    k, n = k[order], n[order]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    return k[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def sum_up(parts) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts over ``parts`` of
+    (keys, counts).  Parts enter the result as they come, a quarter of it at a
+    time, so that not much more than the result is held."""
+    keys, counts = _merge([])
+    more, waiting = [], 0
+
+    def entered():
+        if not len(keys):
+            return _merge(more)
+        k, n = _merge(more)
+        at = np.searchsorted(keys, k)
+        have = keys.take(at, mode="clip") == k
+        counts[at[have]] += n[have]
+        at, k, n = at[~have], k[~have], n[~have]
+        return np.insert(keys, at, k), np.insert(counts, at, n)
+
+    for part in parts:
+        more.append(part)
+        waiting += len(part[0])
+        if waiting > max(len(keys) // 4, SLICE_BYTES):
+            keys, counts = entered()
+            more, waiting = [], 0
+    return entered()
 
 
 def pack(x: np.ndarray, differences: bool = False) -> bytes:
@@ -168,12 +203,12 @@ def probabilities(gram: np.ndarray, n: np.ndarray, known: tuple[np.ndarray, np.n
     levels = []  # deepest first: counts, context of each gram, and its place among the shorter grams
     while True:
         new = np.diff(gram >> _BYTE) != 0
-        context = np.concatenate([[0], np.cumsum(new)])[: len(gram)]
+        context = np.concatenate([[0], np.cumsum(new, dtype=np.int32)])[: len(gram)].astype(np.int32)
         depth = DEPTH - len(levels)
         if depth < BASE:
             break
         shorter, up = np.unique(gram & _LOW[depth], return_inverse=True)
-        levels.append((n, context, up))
+        levels.append((n, context, up.astype(np.int32)))
         gram, n = shorter, np.bincount(up, n, len(shorter)).astype(np.int64)
     p, n, size = base_states(known, gram)
     states, shares = [], n / np.maximum(size, 1)
@@ -205,17 +240,26 @@ def token_scores(gain: np.ndarray, at: np.ndarray, symbols: np.ndarray, first: n
     return np.add.reduceat(gain, np.flatnonzero(begins))
 
 
-def block_grams(texts: list[bytes], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams, their training counts, and the place among them of each
-    position to predict."""
-    keys, weight = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
-    for part in c.slices(texts):
-        symbols, first, _, _ = normal_form(part)
-        at, gram = grams(symbols, first)
-        keys.append(gram)
-        weight.append(learn[part.lo : part.hi][np.searchsorted(first, at, "right") - 1])
-    k, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return k, np.bincount(place, np.concatenate(weight), len(k)).astype(np.int32), place.astype(np.int32)
+def distinct(texts: list[bytes], learn: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Distinct words, and distinct grams, each with their training counts."""
+    words = []
+
+    def counted(keys, taught):
+        for some, weight in ((keys[taught], 1), (keys[~taught], 0)):
+            if len(some):
+                k, n = np.unique(some, return_counts=True)
+                yield k, n * weight
+
+    def parts():
+        for part in c.slices(texts, SLICE_BYTES):
+            symbols, first, hashes, text = normal_form(part)
+            mine = learn[part.lo : part.hi]
+            words.append(sum_up(counted(hashes, mine[text])))
+            at, gram = grams(symbols, first)
+            yield from counted(gram, mine[np.searchsorted(first, at, "right") - 1])
+
+    gram = sum_up(parts())
+    return sum_up(words), gram
 
 
 def gram_range(gram: np.ndarray, ranges: int) -> np.ndarray:
@@ -226,9 +270,10 @@ def _block_words(key, tables):
     """Distinct words and grams of a block by range, with their training counts."""
     block, ranges = key[0].as_py(), tables.column("_ranges")[0].as_py()
     texts, learn = c.as_bytes(tables.column("text").combine_chunks()), np.array(tables.column("_learn").to_pylist(), bool)
-    words, counts = distinct_words(texts, learn)
+    (words, counts), (gram, uses) = distinct(texts, learn)
+    uses = uses.astype(np.int32)
+    del texts
     pick = _by_range(words % np.uint64(ranges), ranges)
-    gram, uses, _ = block_grams(texts, learn)
     mine = _by_range(gram_range(gram, ranges), ranges)
     rows = [r for r in range(ranges) if len(pick[r]) or len(mine[r])]
     return pa.table({
@@ -246,40 +291,31 @@ def _by_range(where: np.ndarray, ranges: int) -> list[np.ndarray]:
     return np.split(order, np.searchsorted(where[order], np.arange(1, ranges)))
 
 
-def distinct_words(texts: list[bytes], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for part in c.slices(texts):
-        _, _, h, text = normal_form(part)
-        k, at = np.unique(h, return_inverse=True)
-        words.append(k)
-        counts.append(np.bincount(at, learn[part.lo : part.hi][text], len(k)).astype(np.int64))
-    words, counts = _merge(words, counts)
-    return words[0], counts[0]
-
-
 def _range_answers(key, tables, known):
     """For one range: corpus counts of every block's words and log10
-    probabilities of its grams, in the order in which the block has sent them."""
+    probabilities of its grams, in the order in which the block has sent them.
+    What the blocks have sent is unpacked one block at a time."""
     blocks = tables.column("block").to_pylist()
-    words = [unpack(b, np.uint64, True) for b in tables.column("words").to_pylist()]
-    counts = [unpack(b, np.int64) for b in tables.column("counts").to_pylist()]
-    all_words, at = np.unique(np.concatenate(words), return_inverse=True)
-    total = np.bincount(at, np.concatenate(counts), len(all_words)).astype(np.int64)
-    sizes = np.cumsum([len(w) for w in words])[:-1]
+
+    def sent(keys: str, counts: str, kind: type):
+        for k, n in zip(tables.column(keys), tables.column(counts)):
+            yield unpack(k.as_py(), np.uint64, True), unpack(n.as_py(), kind)
+
+    def answers(keys: str, known: np.ndarray, values: np.ndarray):
+        return pa.array([pack(values[np.searchsorted(known, unpack(k.as_py(), np.uint64, True))]) for k in tables.column(keys)], pa.binary())
+
+    words, total = sum_up(sent("words", "counts", np.int64))
     seen = total[total > 0]
     tokens, kinds = [0] * len(blocks), [0] * len(blocks)
     tokens[0], kinds[0] = int(seen.sum()), len(seen)  # once for the range
-    sent = [unpack(b, np.uint64, True) for b in tables.column("grams").to_pylist()]
-    uses = np.concatenate([unpack(b, np.int32) for b in tables.column("uses").to_pylist()])
-    cuts = np.cumsum([len(g) for g in sent])[:-1]
-    gram, place = np.unique(np.concatenate(sent), return_inverse=True)
-    del sent
-    p = probabilities(gram, np.bincount(place, uses, len(gram)).astype(np.int64), known)
-    gain = np.log10(np.maximum(p, 1e-30)).astype(np.float32)
+    counts = answers("words", words, total)
+    del words, total, seen
+    gram, uses = sum_up(sent("grams", "uses", np.int32))
+    gain = np.log10(np.maximum(probabilities(gram, uses, known), 1e-30)).astype(np.float32)
+    del uses
     return pa.table({
         "block": pa.array(blocks, pa.int32()), "range": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
-        "counts": pa.array([pack(total[x]) for x in np.split(at, sizes)], pa.binary()),
-        "gains": pa.array([pack(gain[x]) for x in np.split(place, cuts)], pa.binary()),
+        "counts": counts, "gains": answers("grams", gram, gain),
         "tokens": pa.array(tokens, pa.int64()), "kinds": pa.array(kinds, pa.int64()),
     })
 
@@ -318,31 +354,29 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
                 x: pa.array([], t) for x, t in (("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                                                 ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
         texts = c.as_bytes(left.column("text").combine_chunks())
-        known, _ = distinct_words(texts, np.zeros(len(texts), bool))
+        (known, _), (gram, _) = distinct(texts, np.zeros(len(texts), bool))
         where = known % np.uint64(ranges)
         counts = np.zeros(len(known), np.int64)
-        gram, _, place = block_grams(texts, np.zeros(len(texts), bool))
         mine = _by_range(gram_range(gram, ranges), ranges)
-        gains, done = np.zeros(len(gram), np.float32), 0
-        for r, b, g in zip(*(right.column(x).to_pylist() for x in ("range", "counts", "gains"))):
-            counts[where == np.uint64(r)] = unpack(b, np.int64)
-            gains[mine[r]] = unpack(g, np.float32)
+        gains = np.zeros(len(gram), np.float32)
+        for r, b, g in zip(*(right.column(x) for x in ("range", "counts", "gains"))):
+            counts[where == np.uint64(r.as_py())] = unpack(b.as_py(), np.int64)
+            gains[mine[r.as_py()]] = unpack(g.as_py(), np.float32)
+        del mine
         value = np.log10((counts + 1) / (n + v + 1))
         end = np.log10((ends + 1) / (n + v + 1))
         n_tokens, n_known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         base, model = np.zeros(len(texts)), np.zeros(len(texts))
-        for part in c.slices(texts):
+        for part in c.slices(texts, SLICE_BYTES):
             symbols, first, h, owner = normal_form(part)
             at = np.searchsorted(known, h)
             mine = slice(part.lo, part.hi)
             n_tokens[mine] = np.bincount(owner, minlength=part.n) + 1
             n_known[mine] = np.bincount(owner, counts[at] > 0, part.n).astype(int) + (ends > 0)
             base[mine] = np.bincount(owner, value[at], part.n) + end
-            here = np.ones(len(symbols), bool)
-            here[first] = False
-            here = np.flatnonzero(here)
-            gain = gains[place[done : done + len(here)]].astype(np.float64)
-            done += len(here)
+            here, own = grams(symbols, first)
+            own, place = np.unique(own, return_inverse=True)
+            gain = gains[np.searchsorted(gram, own)].astype(np.float64)[place]
             # a word's own count, with as much of the tree as there are kinds of words
             seen = np.insert(counts[at], np.searchsorted(owner, np.arange(part.n), "right"), ends)
             word = np.log10((seen + (v + 1) * 10 ** token_scores(gain, here, symbols, first)) / (n + v + 1))
