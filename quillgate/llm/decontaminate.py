@@ -55,6 +55,10 @@ class Item:
     words: list[int]
     answer: list[int]
 
+    @cached_property
+    def known(self) -> set[int]:
+        return {*self.words, *self.answer}
+
 
 @dataclass
 class Model:
@@ -187,7 +191,8 @@ def lcs(a: list[int], b: list[int]) -> int:
     row = full
     for w in a:
         hit = row & places.get(w, 0)
-        row = (row + hit | row - hit) & full
+        if hit:
+            row = (row + hit | row - hit) & full
     return len(b) - row.bit_count()
 
 
@@ -218,11 +223,10 @@ def passages(h: Halves) -> np.ndarray:
     return np.stack([at, at + follow[at]], axis=1)
 
 
-def _rows(part: c.Slice, idf: np.ndarray, rare: float, least: float):
-    """Passages of a slice in which words that can tell have at least the share
-    ``least`` of the norm: (halves, passages, norms, word hashes, text, latent
-    entries as (passage, bucket, weight))."""
-    h, text = word_hashes(part)
+def _rows(h: np.ndarray, text: np.ndarray, idf: np.ndarray, rare: float, least: float):
+    """Passages of a slice (word hashes, and the text of each) in which words that
+    can tell have at least the share ``least`` of the norm: (halves, passages,
+    norms, latent entries as (passage, bucket, weight))."""
     cut = halves(text)
     b = bucket(h)
     weight = idf[b]
@@ -248,7 +252,7 @@ def _rows(part: c.Slice, idf: np.ndarray, rare: float, least: float):
         words.append(told[offset + np.arange(size.sum())])
         rows.append(np.repeat(pick, size))
     row, word = np.concatenate(rows), np.concatenate(words)
-    return cut, two, norm, h, text, row, b[word], weight[word]
+    return cut, two, norm, row, b[word], weight[word]
 
 
 def project(basis: np.ndarray, n: int, row: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -278,7 +282,7 @@ def _latent(idf: np.ndarray, rare: float, row_of: np.ndarray):
     def run(batches):
         for batch in batches:
             for part in c.slices(c.as_bytes(batch.column("text"))):
-                _, two, norm, _, _, row, bk, w = _rows(part, idf, rare, TELLING)
+                _, two, norm, row, bk, w = _rows(*word_hashes(part), idf, rare, TELLING)
                 if len(two):
                     order = np.argsort(row, kind="stable")
                     row, at, w = row[order], row_of[bk[order]], (w / norm[row])[order]
@@ -329,7 +333,7 @@ def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text") ->
     idf[(idf > 0) & (idf < COMMON)] = -1.0  # known, but cannot tell
 
     raw = [t.encode() for _, t in items if of_text(t or "")]
-    mine = _rows(c.Slice(raw, 0, len(raw)), idf, rare, 0.0) if raw else None
+    mine = _rows(*word_hashes(c.Slice(raw, 0, len(raw))), idf, rare, 0.0) if raw else None
     rank = RANK + OVERSAMPLE
     used = np.flatnonzero(idf > 0)
     if mine is None or not len(mine[1]):
@@ -370,7 +374,7 @@ def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text") ->
         for at, x in got:
             out[at : at + PACK] += np.frombuffer(x).reshape(-1, m.shape[1])
         # the items weigh as much as the documents do
-        _, two, norm, _, _, row, bk, w = mine
+        _, two, norm, row, bk, w = mine
         order = np.argsort(row, kind="stable")
         own = product(m, len(two), row[order], row_of[bk[order]], (w / norm[row])[order], gram)
         return out + own * max(1.0, np.linalg.norm(out) / max(np.linalg.norm(own), 1e-12))
@@ -380,7 +384,7 @@ def fit(docs: DataFrame, items: list[tuple[object, str]], text: str = "text") ->
     values, turn = np.linalg.eigh(power(q, True))
     best = np.argsort(-values)[: min(RANK, rank)]
     basis = (q @ turn[:, best]).astype(np.float32)
-    _, two, norm, _, _, row, bk, w = mine
+    _, two, norm, row, bk, w = mine
     z = project(basis, len(two), row, row_of[bk], w)
     size = np.linalg.norm(z, axis=1)
     keep = size > 1e-9
@@ -417,10 +421,16 @@ def look(model: Model, part: c.Slice) -> dict[int, list]:
         wanted = model.items[item]
         size = len(wanted.words)
         a, b = region(word, size, first[t], stop[t])
-        words = h[a:b].tolist()
+        # other words change no common subsequence
+        words = [w for w in h[a:b].tolist() if w in wanted.known]
+        # what nothing leaks without; a subsequence is no longer than the words there are
+        least = 1 if size < SHORT else REWORDED if (cosine or 0) >= NEAR else PARAPHRASED
+        if len(words) / size < least:
+            return
         share = lcs(wanted.words, words) / size
-        # without REWORDED of its words nothing leaks, so the answer is not looked for
-        answer = bool(wanted.answer) and share >= REWORDED and lcs(wanted.answer, words) >= ANSWER * len(wanted.answer)
+        if share < least:
+            return
+        answer = bool(wanted.answer) and lcs(wanted.answer, words) >= ANSWER * len(wanted.answer)
         leak = share >= COPIED or answer and (share >= PARAPHRASED or (cosine or 0) >= NEAR)
         if size < SHORT:
             leak = share >= 1
@@ -430,7 +440,7 @@ def look(model: Model, part: c.Slice) -> dict[int, list]:
             best[t, item] = (wanted.id, cosine, share, answer, leak)
 
     if len(model.passages):
-        cut, two, _, _, _, row, bk, w = _rows(part, model.idf, model.rare, TELLING)
+        cut, two, _, row, bk, w = _rows(h, text, model.idf, model.rare, TELLING)
         z = project(model.basis, len(two), row, model.row_of[bk], w)
         z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
         for lo in range(0, len(z), 2048):

@@ -97,3 +97,25 @@ def test_pii_links_whole_spans(text, want):
     raw = [b"", text.encode(), b"nothing here"]
     texts, spans = pii.spans_of(field(), next(c.slices(raw)), raw)
     assert pii.redact(texts[1], spans[1]) == want
+
+
+def test_a_slice_is_hashed_once_and_hopeless_places_are_not_compared(monkeypatch):
+    """Words are hashed once a slice; a place that lacks the words for a leak costs no subsequence."""
+    many = [f"item{i}" for i in range(22)]
+    items = [decontaminate.Item(0, decontaminate.of_text(ITEM), decontaminate.of_text(decontaminate.answer_of(ITEM)))]
+    texts = [ITEM.encode(), " ".join([*many[:14], "x", *many[:1]]).encode(), " ".join(many[::-1]).encode()]
+    part = c.Slice(texts, 0, 3)
+    h, _ = decontaminate.word_hashes(part)
+    count = np.bincount(decontaminate.bucket(h), minlength=decontaminate.BUCKETS).astype(float)
+    used = np.unique(decontaminate.bucket(h))
+    idf, row_of = np.zeros(decontaminate.BUCKETS), np.zeros(decontaminate.BUCKETS, np.int32)
+    idf[used], row_of[used] = 1.0, np.arange(len(used))
+    passages = np.full((1, len(used)), len(used) ** -0.5, np.float32)
+    model = decontaminate.Model(items, idf, 1.0, row_of, np.eye(len(used), dtype=np.float32), passages, np.zeros(1, int), count)
+    hashed, compared = [], []
+    real_hashes, real_lcs = decontaminate.word_hashes, decontaminate.lcs
+    monkeypatch.setattr(decontaminate, "word_hashes", lambda p: hashed.append(p) or real_hashes(p))
+    monkeypatch.setattr(decontaminate, "lcs", lambda a, b: compared.append(len(b)) or real_lcs(a, b))
+    assert {t: [m[0] for m in found] for t, found in decontaminate.look(model, part).items()} == {0: [0]}
+    assert len(hashed) == 1
+    assert min(compared) >= decontaminate.REWORDED * len(items[0].words)
