@@ -91,7 +91,9 @@ def sample_profiles(
     or have none, each get the draws of that id.  Every draw is looked up by
     its position.  A profile table of at most ``broadcast_bytes`` is broadcast
     once for all look-ups, so records are not shuffled; that limit changes how
-    the joins run and nothing else.
+    the joins run and nothing else.  Most records have fewer draws than there
+    are look-ups; a draw that a record has not gets a number below 0, drawn as
+    well, so that these records spread over the tasks like all others.
     """
     size = profiles.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -117,13 +119,14 @@ def sample_profiles(
             F.col("generated_description").alias("description"),
         ).alias("kpi"),
     )
-    if size["bytes"] <= broadcast_bytes:
-        dim = F.broadcast(dim)
-    out = drawn
+    # without the hint a larger table may still be broadcast while the query runs, and a task then holds it for each look-up
+    dim = F.broadcast(dim) if size["bytes"] <= broadcast_bytes else dim.hint("merge")
+    none = -1 - F.pmod(F.xxhash64("record_id", F.spark_partition_id()), F.lit(1 << 40))
+    out = drawn.withColumn("_none", none)
     for j in range(MAX_DRAWS):
-        out = out.withColumn("_at", F.get("_picks", F.lit(j))).join(
+        out = out.withColumn("_at", F.coalesce(F.get("_picks", F.lit(j)), F.col("_none"))).join(
             dim, F.col("_at") == F.col("position"), "left"
         ).withColumnRenamed("kpi", f"_kpi{j}").drop("position", "_at")
     kpis = F.array_compact(F.array(*[F.col(f"_kpi{j}") for j in range(MAX_DRAWS)]))
     out = out.withColumn("kpis_used", kpis).drop(*[f"_kpi{j}" for j in range(MAX_DRAWS)])
-    return out.drop("_n", "_picks").withColumn("num_kpis", F.size("kpis_used"))
+    return out.drop("_n", "_picks", "_none").withColumn("num_kpis", F.size("kpis_used"))

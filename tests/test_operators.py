@@ -561,3 +561,23 @@ def test_gold_overlap(spark):
     gold = spark.createDataFrame([("a", "y z"), ("b", "q")], "record_id string, value string")
     got = rows(evaluation.gold_overlap(found, gold, text.words), "record_id", "n_common", "precision", "recall")
     assert got == [("a", 1, 0.5, 0.5), ("b", 0, None, 0.0)]
+
+
+def test_larger_profile_table_is_joined_and_its_lacking_draws_are_spread(spark):
+    """Beyond the limit no table is broadcast, also not while the query runs, and
+    records without a draw do not meet in one task."""
+    plan = spark.range(4000).select(
+        F.col("id").alias("index"), text.record_id(F.col("id")).alias("record_id"), F.lit("simple").alias("complexity")
+    )
+    got = sampling.sample_profiles(plan, profiles(spark, 500), "s", broadcast_bytes=0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = got.withColumn("part", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in spread.groupBy("part").count().collect())
+        joins = got.select("record_id", "kpis_used")
+        joins.collect()
+        shape = joins._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 4000 and sizes[-1] < 1000, sizes
+    assert shape.count("SortMergeJoin") == sampling.MAX_DRAWS
