@@ -24,7 +24,7 @@ from quillgate import schemas
 from quillgate.functions import text
 from quillgate.operators import planning
 from quillgate.operators.joins import spread_join
-from quillgate.session import materialise
+from quillgate.session import materialise, scratch_path
 from quillgate.sources import records as rec
 
 #: timeouts tolerated on one endpoint before moving on (fixed value)
@@ -38,6 +38,8 @@ BUCKET_DIGITS = 2
 WAVE_ROWS = 1_000_000
 #: requests that a task asks for; more tasks than the bound share the rest
 TASK_ROWS = 64
+#: requests that a task asks for at most, unless ``parallelism`` wants fewer tasks
+MAX_TASK_ROWS = 16_384
 
 _ANSWER = "request_id string, endpoint int, response string, error string"
 NO_ANSWER = "no answer from the backend"
@@ -180,8 +182,9 @@ def wave_buckets(n: int, wave_rows: int) -> list[list[str]]:
 
 
 def _ask(todo: DataFrame, n: int, call: BatchFn, parallelism: int | None) -> DataFrame:
-    """Answers of the open requests, spread over tasks by their number."""
-    most = parallelism or todo.sparkSession.sparkContext.defaultParallelism
+    """Answers of the open requests, spread over tasks by their number.  Without
+    a bound a task asks for at most MAX_TASK_ROWS."""
+    most = parallelism or max(todo.sparkSession.sparkContext.defaultParallelism, -(-n // MAX_TASK_ROWS))
     todo = todo.repartition(max(1, min(most, -(-n // TASK_ROWS))), "request_id")
     silent = F.col("response").isNull() & F.col("error").isNull()
     return todo.mapInPandas(call, _ANSWER).withColumn("error", F.when(silent, F.lit(NO_ANSWER)).otherwise(F.col("error")))
@@ -189,15 +192,22 @@ def _ask(todo: DataFrame, n: int, call: BatchFn, parallelism: int | None) -> Dat
 
 def _answer_wave(
     asked: DataFrame, backends: list[Backend], store: str, buckets: list[str], run_id: str,
-    max_tries: int, parallelism: int | None, max_rounds: int | None,
+    max_tries: int, parallelism: int | None, max_rounds: int | None, written: bool = False,
 ) -> None:
     """Call for the requests of a wave that have no answer yet, in rounds, each
-    of which is added to the store."""
+    of which is added to the store.  Of ``written`` requests the open ones are
+    counted by id first: all or none need no copy of their prompts."""
     spark, n = asked.sparkSession, len(backends)
     calls = attempts_table(spark, store, buckets)
     good = calls.filter(F.col("error").isNull() & F.col("response").isNotNull()).select("request_id")
-    wanted = materialise(asked.join(good, "request_id", "left_anti"), "wanted")
-    left = wanted.count()
+    if written:
+        total = asked.count()
+        left = asked.select("request_id").join(good, "request_id", "left_anti").count()
+    if written and left in (0, total):
+        wanted = asked
+    else:
+        wanted = materialise(asked.join(good, "request_id", "left_anti"), "wanted")
+        left = wanted.count()
     start = F.pmod(F.xxhash64("request_id"), F.lit(n)).cast("int")
     todo = wanted.select("request_id", "prompt", start.alias("endpoint"))
     call = _dispatch([b.batches for b in backends])
@@ -254,13 +264,17 @@ def attach_completions(
     )
     used = sorted(r[0] for r in keyed.select(bucket(F.col("_request"))).distinct().collect() if r[0])  # at most one row a bucket
     waves = wave_buckets(asked.select("request_id").count(), wave_rows)
+    whole = asked
     if len(waves) > 1:
-        # in the order of the ids, so that a wave finds its rows by file statistics
-        asked = materialise(asked.repartitionByRange(len(waves), "request_id").sortWithinPartitions("request_id"), "asked")
-    for names in waves[:max_waves]:
-        inside = F.col("request_id").between(names[0], names[-1] + "g")  # beyond every digit
-        mine = asked.filter(inside) if len(waves) > 1 else asked
-        _answer_wave(mine, backends, store, names if len(waves) > 1 else used, run_id, max_tries, parallelism, max_rounds)
+        # by wave, each task of the shuffle before writes its part of every wave
+        path = scratch_path(spark, "asked")
+        starts = F.array(*[F.lit(names[0]) for names in waves])
+        wave = F.size(F.filter(starts, lambda x: x <= bucket(F.col("request_id")))) - 1
+        asked.withColumn("_wave", wave).write.partitionBy("_wave").parquet(path)
+        whole = spark.read.schema(T.StructType([*asked.schema, T.StructField("_wave", T.IntegerType())])).parquet(path)
+    for i, names in enumerate(waves[:max_waves]):
+        mine = whole.filter(F.col("_wave") == i).drop("_wave") if len(waves) > 1 else asked
+        _answer_wave(mine, backends, store, names if len(waves) > 1 else used, run_id, max_tries, parallelism, max_rounds, len(waves) > 1)
 
     calls = attempts_table(spark, store, used)
     good = F.col("error").isNull() & F.col("response").isNotNull()

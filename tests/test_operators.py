@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,10 @@ from quillgate.operators import (
     completion, evaluation, gate, offsets, planning, prompts, refine, repair, sampling,
 )
 from quillgate.operators.joins import last_per_key, spread_join
+from quillgate.session import scratch_root
 from quillgate.sources import records as rec
 
 
-
 def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
@@ -581,3 +582,33 @@ def test_larger_profile_table_is_joined_and_its_lacking_draws_are_spread(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(sizes) == 4000 and sizes[-1] < 1000, sizes
     assert shape.count("SortMergeJoin") == sampling.MAX_DRAWS
+
+
+def scratch_folders(spark, name):
+    return set(Path(scratch_root(spark).removeprefix("file:"), "quillgate").glob(f"{name}-*"))
+
+
+def test_waves_are_written_by_many_tasks_and_open_ones_not_copied(spark, tmp_path):
+    """No task writes a whole wave, and a wave of which all or nothing is open
+    writes its prompts once; of a wave that is partly open the rest is written."""
+    df = spark.createDataFrame([(i, f"prompt {i}") for i in range(400)], "id int, p string")
+    store, calls = str(tmp_path / "attempts"), tmp_path / "calls"
+    calls.mkdir()
+    kw = dict(backend_id="m", wave_rows=200)
+    before = {n: scratch_folders(spark, n) for n in ("asked", "wanted")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for run_id in ("1", "2"):
+            got = completion.attach_completions(df, "p", [counting(calls)], store, run_id=run_id, **kw).collect()
+            assert len(got) == 400 and all(r.error is None and r.response for r in got)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for folder in scratch_folders(spark, "asked") - before["asked"]:
+        sizes = [spark.read.parquet(str(f)).count() for f in folder.rglob("*.parquet")]
+        assert sum(sizes) == 400 and max(sizes) < 100, sizes
+    assert scratch_folders(spark, "wanted") == before["wanted"]
+    more = df.unionByName(spark.createDataFrame([(i, f"prompt {i}") for i in range(400, 440)], df.schema))
+    got = completion.attach_completions(more, "p", [counting(calls)], store, run_id="3", **kw).collect()
+    assert len(got) == 440 and all(r.response for r in got)
+    new = [spark.read.parquet(str(f)).count() for f in scratch_folders(spark, "wanted") - before["wanted"]]
+    assert sum(new) == 40
