@@ -462,16 +462,15 @@ def completion_resume(spark, sf):
     store, backend_id = scratch_path(spark, "waves"), "model-a@0.0"
     asked = b.documents(spark, sf).select(
         "record_id", prompts.extraction_user(F.col("utterance")).alias("prompt")
-    )
-    n = asked.select("prompt").distinct().count()
+    ).withColumn("request_id", completion.request_id(F.col("prompt"), backend_id))  # so that no prompt is joined later
+    n = asked.select("request_id").distinct().count()
     kw = dict(backend_id=backend_id, wave_rows=-(-n // 4))
     for run_id, more in (("first", {"max_waves": 2}), ("second", {})):
         out = completion.attach_completions(asked, "prompt", [hashing_backend()], store, run_id=run_id, **kw, **more)
     calls = completion.attempts_table(spark, store).groupBy("request_id").agg(
         F.max("run_id").alias("answered_by"), F.count(F.lit(1)).alias("calls")
     )
-    keyed = out.withColumn("request_id", completion.request_id(F.col("prompt"), backend_id))
-    return spread_join(keyed, calls, "request_id", "inner", spread_by=["record_id"]).select(
+    return spread_join(out.drop("prompt"), calls, "request_id", "inner", spread_by=["record_id"]).select(
         "record_id", "response", "answered_by", "calls"
     )
 
