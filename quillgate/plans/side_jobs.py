@@ -200,14 +200,17 @@ def repair_structured_lines(
         return repair.issue_counts(marked)
     opened = objects.merge_object(F.col("value"), {"structured_output": F.parse_json(F.col("_output"))})
     marked = marked.withColumn("value", F.when(F.col("_output").isNotNull(), opened).otherwise(F.col("value")))
-    marked = materialise(marked.drop("_output"), "structured-lines")
     broken = F.col("issue") == repair.MALFORMED
+    asks = F.col("issue").isNotNull() & ~broken
+    # the text goes into prompts alone, and lines meet their answers by position once these are there
+    marked = materialise(marked.drop("_output").withColumn("utterance", F.when(asks, F.col("utterance"))), "structured-lines")
     request = prompts.request_text(prompts.extraction_messages(prompts.extraction_user(F.col("utterance"))))
-    asked = marked.filter(F.col("issue").isNotNull() & ~broken).withColumn("prompt", F.when(F.col("_has_text"), request))
-    answered = attach_completions(
-        asked, "prompt", backends, f"{output}/attempts", backend_id=run.own_backend_id,
-        run_id=run.run_id, parallelism=parallelism,
+    bad = marked.filter(asks)
+    answers = attach_completions(
+        bad.select("index", F.when(F.col("_has_text"), request).alias("prompt")), "prompt", backends, f"{output}/attempts",
+        backend_id=run.own_backend_id, run_id=run.run_id, parallelism=parallelism,
     )
+    answered = bad.drop("utterance").join(answers.drop("prompt"), "index")
     answered = answered.withColumn("_new", val.structured_output(extraction.parse_completion(F.col("response"))))
     why = F.when(~F.col("_has_text"), F.lit(NO_UTTERANCE)).otherwise(
         F.coalesce("error", F.when(F.col("_new").isNull(), F.lit(extraction.INVALID)))
@@ -221,14 +224,14 @@ def repair_structured_lines(
         "repair_history": F.concat(earlier, F.array(F.to_variant_object(entry))),
     }, drop=["structured_error"])
     marred = objects.merge_object(F.col("value"), {"structured_status": F.lit(extraction.FAILED), "structured_error": F.col("_why")})
-    answered = answered.withColumn("_why", why).select(
+    answered = materialise(answered.withColumn("_why", why).select(
         "index", "record_id", "issue", F.col("_why").alias("structured_error"),
         F.when(F.col("_why").isNull(), fixed).otherwise(marred).alias("value"),
-    )
+    ), "structured-lines-new")
     rest = marked.filter(F.col("issue").isNull() | broken).select(
         "index", "record_id", "issue", F.when(broken, F.lit(repair.MALFORMED)).alias("structured_error"), "value"
     )
-    done = materialise(rest.unionByName(answered), "structured-lines-done")
+    done = rest.unionByName(answered)  # both are written by now
     done.orderBy("index").select("value").write.text(f"{output}/lines")
     failed = F.col("structured_error").isNotNull()
     states = done.join(offsets.record_offsets(done), "index").withColumn(

@@ -126,8 +126,12 @@ ERROR_SQL = """(case
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """``doc_id, index, record_id, text, utterance, complexity, lang, source,
     statements, schedule, sj``."""
+    return records_of(table(spark, sf, "documents"))
+
+
+def records_of(docs: DataFrame) -> DataFrame:
     lines = F.split("text", "\n")
-    return table(spark, sf, "documents").select(
+    return docs.select(
         "doc_id",
         F.col("doc_id").alias("index"),
         text.record_id(F.col("doc_id")).alias("record_id"),

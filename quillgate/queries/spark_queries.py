@@ -745,10 +745,11 @@ def structured_repair_jsonl(spark, sf):
     """The repair job over a structured JSON-lines file; texts with a ``!`` are
     refused.  What the new lines say, and their members in order."""
     path, output = scratch_path(spark, "structured-lines"), scratch_path(spark, "structured-repaired")
-    lines = b.documents(spark, sf).select("index", "record_id", "complexity", F.expr(b.STRUCTURED_LINE_SQL).alias("value"))
-    lines.repartitionByRange(8, "index").sortWithinPartitions("index").select("value").write.text(path)
+    # the texts are put in order, not the longer lines made of them
+    docs = b.table(spark, sf, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    b.records_of(docs).select(F.expr(b.STRUCTURED_LINE_SQL).alias("value")).write.text(path)
     side_jobs.repair_structured_lines(
-        spark, path, lines.select("index", "record_id", "complexity"), output,
+        spark, path, b.plan(spark, sf), output,
         Run("run-1", "repair", "documents", "model-a"), [structuring_backend("!")],
     )
     plan = spark.read.parquet(f"{output}/plan").select("index", F.col("status").alias("plan_status"))
