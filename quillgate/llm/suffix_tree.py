@@ -13,18 +13,23 @@ counts as much as there are kinds of words; both are distributions over all
 words, and so is the mixture.
 
 Words (for their exact counts) and grams, contexts with their next symbol, go
-the same way: the texts are dealt into blocks, each block sends its distinct
-words and grams by range, and gets the words' counts and the grams'
-probabilities back.  Grams are dealt by their latest BASE bytes of context, so
-that a range holds all longer states that its grams need; of the rest every
-task knows the counts, whose number the bytes bound.  Nothing of the
+the same way: the texts are cut into blocks where they lie, each block, as one
+compressed row, is shuffled once and sends its distinct words and grams by
+range, and gets the words' counts and the grams' probabilities back, with each
+range's share of the totals.  Grams are dealt by their latest BASE bytes of
+context, so that a range holds all longer states that its grams need; of the
+rest every task knows the counts, whose number the bytes bound.  Nothing of the
 vocabulary's or the tree's size is ever in one place.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillgate.llm import common as c
@@ -39,15 +44,17 @@ DIVERGENCE = 0.25
 #: weight of the parent's distribution in a state's
 SMOOTHING = 2.0
 END = 0x0A
-BLOCK_BYTES = 6 << 20
+#: bytes of text of a block: the larger, the fewer grams are sent by several
+BLOCK_BYTES = 12 << 20
 #: bytes of text that are worked on at a time
 SLICE_BYTES = 1 << 18
 #: rows of a batch that are
 SLICE_ROWS = 1000
-RANGES_PER_BLOCK = 0.5
+RANGES_PER_BLOCK = 1
 _BYTE = np.uint64(8)
 #: lowest bytes of a gram, by their number
 _LOW = [np.uint64((1 << 8 * d) - 1) for d in range(DEPTH + 2)]
+_HALF = np.uint64(32)
 
 
 def normal_form(part: c.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,6 +102,22 @@ def grams(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, wide[place[at]]
 
 
+def sent_form(gram: np.ndarray) -> np.ndarray:
+    """Grams with the bytes by which they are dealt highest, latest first, then
+    the byte to predict, then the others, latest first.  In this order those of
+    a range lie close, so that their differences are small."""
+    gram = gram.byteswap()
+    high = gram >> _HALF
+    high = (high << _BYTE | high >> np.uint64(24)) & _LOW[4]
+    return high << _HALF | gram & _LOW[4]
+
+
+def from_sent_form(sent: np.ndarray) -> np.ndarray:
+    high = sent >> _HALF
+    high = (high >> _BYTE | high << np.uint64(24)) & _LOW[4]
+    return (high << _HALF | sent & _LOW[4]).byteswap()
+
+
 def _base_counts(batches):
     """Counts of the lowest BASE bytes of the grams, merged as they come."""
 
@@ -240,34 +263,83 @@ def token_scores(gain: np.ndarray, at: np.ndarray, symbols: np.ndarray, first: n
     return np.add.reduceat(gain, np.flatnonzero(begins))
 
 
-def distinct(texts: list[bytes], learn: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Distinct words, and distinct grams, each with their training counts."""
-    words = []
-
-    def counted(keys, taught):
-        for some, weight in ((keys[taught], 1), (keys[~taught], 0)):
-            if len(some):
-                k, n = np.unique(some, return_counts=True)
-                yield k, n * weight
-
-    def parts():
-        for part in c.slices(texts, SLICE_BYTES):
-            symbols, first, hashes, text = normal_form(part)
-            mine = learn[part.lo : part.hi]
-            words.append(sum_up(counted(hashes, mine[text])))
-            at, gram = grams(symbols, first)
-            yield from counted(gram, mine[np.searchsorted(first, at, "right") - 1])
-
-    gram = sum_up(parts())
-    return sum_up(words), gram
+def _sort_up(keys: np.ndarray, weight: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and ``weight`` for each time they occur; ``keys`` is sorted in place."""
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    return keys[first], np.diff(first, append=len(keys)) * weight
 
 
-def gram_range(gram: np.ndarray, ranges: int) -> np.ndarray:
-    return c.mix((gram >> _BYTE) & _LOW[BASE]) % np.uint64(ranges)
+def distinct(texts: list[bytes], learn: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Distinct words, and distinct grams in their sent form, each with their training counts."""
+    words, other_words = [], []
+    # a text has two grams more than bytes at most; those to learn from stand in front
+    room = np.empty(sum(map(len, texts)) + 2 * len(texts), np.uint64)
+    front, back = 0, len(room)
+    for part in c.slices(texts, SLICE_BYTES):
+        symbols, first, hashes, text = normal_form(part)
+        mine = learn[part.lo : part.hi]
+        words.append(hashes[mine[text]])
+        other_words.append(hashes[~mine[text]])
+        at, gram = grams(symbols, first)
+        gram, taught = sent_form(gram), mine[np.searchsorted(first, at, "right") - 1]
+        some, rest = gram[taught], gram[~taught]
+        room[front : front + len(some)] = some
+        room[back - len(rest) : back] = rest
+        front, back = front + len(some), back - len(rest)
+    found = [_sort_up(room[:front], 1), _sort_up(room[back:], 0)]
+    del room
+    none = np.zeros(0, np.uint64)
+    return _merge([_sort_up(np.concatenate([none, *words]), 1), _sort_up(np.concatenate([none, *other_words]), 0)]), _merge(found)
+
+
+def gram_range(sent: np.ndarray, ranges: int) -> np.ndarray:
+    return c.mix(sent >> np.uint64(64 - 8 * BASE)) % np.uint64(ranges)
+
+
+def _packed_blocks(batches, block_bytes: int):
+    """The rows of a task, cut into blocks of at least ``block_bytes`` of text
+    (but for a task's last one, which is at least half of that or alone), each as one
+    compressed value."""
+    task, number = TaskContext.get().partitionId() << 32, 0
+
+    def packed(rows):
+        nonlocal number
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_batches(rows).combine_chunks()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
+            out.write_table(table)
+        number += 1
+        return {"block": [task + number], "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())}
+
+    ready, held, size = [], [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False) + 1, dtype=np.int64)
+        lo, before = 0, 0
+        while lo < batch.num_rows:
+            hi = min(batch.num_rows, int(np.searchsorted(ends, before + block_bytes - size)) + 1)
+            held.append(batch.slice(lo, hi - lo))
+            size += ends[hi - 1] - before
+            lo, before = hi, ends[hi - 1]
+            if size >= block_bytes:
+                if ready:
+                    yield packed(ready)
+                ready, held, size = held, [], 0
+    if 2 * size < block_bytes:
+        ready, held = ready + held, []
+    for rows in (ready, held):
+        if rows:
+            yield packed(rows)
+
+
+def _unpacked(rows: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
 
 
 def _block_words(key, tables):
-    """Distinct words and grams of a block by range, with their training counts."""
+    """Distinct words and grams of a block by range, with their training counts: a row for every range."""
     block, ranges = key[0].as_py(), tables.column("_ranges")[0].as_py()
     texts, learn = c.as_bytes(tables.column("text").combine_chunks()), np.array(tables.column("_learn").to_pylist(), bool)
     (words, counts), (gram, uses) = distinct(texts, learn)
@@ -275,16 +347,22 @@ def _block_words(key, tables):
     del texts
     pick = _by_range(words % np.uint64(ranges), ranges)
     mine = _by_range(gram_range(gram, ranges), ranges)
-    rows = [r for r in range(ranges) if len(pick[r]) or len(mine[r])]
     return pa.table({
-        "block": pa.array([block] * len(rows), pa.int32()), "range": pa.array(rows, pa.int32()),
-        "words": pa.array([pack(words[pick[r]], True) for r in rows], pa.binary()),
-        "counts": pa.array([pack(counts[pick[r]]) for r in rows], pa.binary()),
-        "grams": pa.array([pack(gram[mine[r]], True) for r in rows], pa.binary()),
-        "uses": pa.array([pack(uses[mine[r]]) for r in rows], pa.binary()),
+        "block": pa.array([block] * ranges, pa.int64()), "range": pa.array(range(ranges), pa.int32()),
+        "words": pa.array([pack(words[p], True) for p in pick], pa.binary()),
+        "counts": pa.array([pack(counts[p]) for p in pick], pa.binary()),
+        "grams": pa.array([pack(gram[m], True) for m in mine], pa.binary()),
+        "uses": pa.array([pack(uses[m]) for m in mine], pa.binary()),
     })
 
 
+def _asked(key, tables):
+    """What a packed block asks of the ranges, with a sum to know it by."""
+    rows = tables.column("rows")[0]
+    got = _block_words(key, _unpacked(rows))
+    return got.append_column("seal", pa.array([zlib.crc32(rows.as_buffer())] * got.num_rows, pa.int64()))
+
+
 def _by_range(where: np.ndarray, ranges: int) -> list[np.ndarray]:
     """Places of each range's rows, in their order."""
     order = np.argsort(where, kind="stable")
@@ -293,9 +371,10 @@ def _by_range(where: np.ndarray, ranges: int) -> list[np.ndarray]:
 
 def _range_answers(key, tables, known):
     """For one range: corpus counts of every block's words and log10
-    probabilities of its grams, in the order in which the block has sent them.
+    probabilities of its grams, in the order in which the block has sent them,
+    and how many training words the range holds, in all and distinct ones.
     What the blocks have sent is unpacked one block at a time."""
-    blocks = tables.column("block").to_pylist()
+    blocks = tables.num_rows
 
     def sent(keys: str, counts: str, kind: type):
         for k, n in zip(tables.column(keys), tables.column(counts)):
@@ -306,17 +385,19 @@ def _range_answers(key, tables, known):
 
     words, total = sum_up(sent("words", "counts", np.int64))
     seen = total[total > 0]
-    tokens, kinds = [0] * len(blocks), [0] * len(blocks)
-    tokens[0], kinds[0] = int(seen.sum()), len(seen)  # once for the range
+    tokens, kinds = int(seen.sum()), len(seen)
     counts = answers("words", words, total)
     del words, total, seen
-    gram, uses = sum_up(sent("grams", "uses", np.int32))
-    gain = np.log10(np.maximum(probabilities(gram, uses, known), 1e-30)).astype(np.float32)
-    del uses
+    sent_grams, uses = sum_up(sent("grams", "uses", np.int32))
+    gram = from_sent_form(sent_grams)
+    order = np.argsort(gram)
+    gain = np.empty(len(gram), np.float32)
+    gain[order] = np.log10(np.maximum(probabilities(gram[order], uses[order], known), 1e-30))
+    del uses, gram, order
     return pa.table({
-        "block": pa.array(blocks, pa.int32()), "range": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
-        "counts": counts, "gains": answers("grams", gram, gain),
-        "tokens": pa.array(tokens, pa.int64()), "kinds": pa.array(kinds, pa.int64()),
+        "block": tables.column("block"), "range": pa.array([key[0].as_py()] * blocks, pa.int32()), "seal": tables.column("seal"),
+        "counts": counts, "gains": answers("grams", sent_grams, gain),
+        "tokens": pa.array([tokens] * blocks, pa.int64()), "kinds": pa.array([kinds] * blocks, pa.int64()),
     })
 
 
@@ -333,27 +414,25 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(base(docs.filter("_learn")))
     size, ends = docs.agg(
         F.sum(F.octet_length("text")), F.sum(F.col("_learn").cast("long"))).first()
-    ends = ends or 0
-    blocks = max(8, int((size or 0) // block_bytes) + 1)
+    size, ends = size or 0, ends or 0
+    block_bytes = min(block_bytes, max(size // 8, SLICE_BYTES // 4))
+    blocks = max(8, size // block_bytes + 1)
     ranges = max(4, int(blocks * RANGES_PER_BLOCK))
-    dealt = docs.withColumn("_block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    dealt = dealt.withColumn("_ranges", F.lit(ranges))
-    words = dealt.groupBy("_block").applyInArrow(_block_words, "block int, range int, words binary, counts binary, grams binary, uses binary")
-    counted = c.materialise(
-        words.groupBy("range").applyInArrow(lambda key, tables: _range_answers(key, tables, shared.value),
-                                            "block int, range int, counts binary, gains binary, tokens long, kinds long"),
-        "suffix-words",
-    )
-    tokens, kinds = counted.agg(F.sum("tokens"), F.sum("kinds")).first()
-    n, v = (tokens or 0) + ends, (kinds or 0) + (1 if ends else 0)
+    # no more tasks than blocks, so that none makes much smaller ones; the blocks are shuffled once for both uses
+    dealt = c.over_batches(docs.withColumn("_ranges", F.lit(ranges)).coalesce(blocks),
+                           lambda batches: _packed_blocks(batches, block_bytes), "block long, rows binary")
+    asked = dealt.groupBy("block").applyInArrow(_asked, "block long, range int, words binary, counts binary, grams binary, uses binary, seal long")
+    answered = asked.groupBy("range").applyInArrow(lambda key, tables: _range_answers(key, tables, shared.value),
+                                                   "block long, range int, seal long, counts binary, gains binary, tokens long, kinds long")
     kind = docs.schema["doc_id"].dataType
 
     def run(key, left, right):
-        if not left.num_rows:
-            return pa.table({"doc_id": left.column("doc_id")} | {
-                x: pa.array([], t) for x, t in (("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                                                ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
+        rows = left.column("rows")
+        if left.num_rows != 1 or right.num_rows != ranges or {zlib.crc32(rows[0].as_buffer())} != set(right.column("seal").to_pylist()):
+            raise RuntimeError("the blocks were cut anew from rows in another order")
+        left = _unpacked(rows[0])
         texts = c.as_bytes(left.column("text").combine_chunks())
+        n, v = pc.sum(right.column("tokens")).as_py() + ends, pc.sum(right.column("kinds")).as_py() + (1 if ends else 0)
         (known, _), (gram, _) = distinct(texts, np.zeros(len(texts), bool))
         where = known % np.uint64(ranges)
         counts = np.zeros(len(known), np.int64)
@@ -375,8 +454,10 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
             n_known[mine] = np.bincount(owner, counts[at] > 0, part.n).astype(int) + (ends > 0)
             base[mine] = np.bincount(owner, value[at], part.n) + end
             here, own = grams(symbols, first)
-            own, place = np.unique(own, return_inverse=True)
-            gain = gains[np.searchsorted(gram, own)].astype(np.float64)[place]
+            own = sent_form(own)
+            order = np.argsort(own)
+            gain = np.empty(len(own))
+            gain[order] = gains[np.searchsorted(gram, own[order])]
             # a word's own count, with as much of the tree as there are kinds of words
             seen = np.insert(counts[at], np.searchsorted(owner, np.arange(part.n), "right"), ends)
             word = np.log10((seen + (v + 1) * 10 ** token_scores(gain, here, symbols, first)) / (n + v + 1))
@@ -389,4 +470,4 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
 
     schema = (f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    return dealt.groupBy("_block").cogroup(counted.groupBy("block")).applyInArrow(run, schema)
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, schema)
