@@ -45,12 +45,14 @@ DIVERGENCE = 0.25
 SMOOTHING = 2.0
 END = 0x0A
 #: bytes of text of a block: the larger, the fewer grams are sent by several
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 24 << 20
+#: bytes of it whose grams are sorted at once
+CHUNK_BYTES = 3 << 20
 #: bytes of text that are worked on at a time
 SLICE_BYTES = 1 << 18
 #: rows of a batch that are
 SLICE_ROWS = 1000
-RANGES_PER_BLOCK = 1
+RANGES_PER_BLOCK = 2
 _BYTE = np.uint64(8)
 #: lowest bytes of a gram, by their number
 _LOW = [np.uint64((1 << 8 * d) - 1) for d in range(DEPTH + 2)]
@@ -274,29 +276,39 @@ def _sort_up(keys: np.ndarray, weight: int) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct(texts: list[bytes], learn: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Distinct words, and distinct grams in their sent form, each with their training counts."""
-    words, other_words = [], []
-    # a text has two grams more than bytes at most; those to learn from stand in front
-    room = np.empty(sum(map(len, texts)) + 2 * len(texts), np.uint64)
-    front, back = 0, len(room)
-    for part in c.slices(texts, SLICE_BYTES):
-        symbols, first, hashes, text = normal_form(part)
-        mine = learn[part.lo : part.hi]
-        words.append(hashes[mine[text]])
-        other_words.append(hashes[~mine[text]])
-        at, gram = grams(symbols, first)
-        gram, taught = sent_form(gram), mine[np.searchsorted(first, at, "right") - 1]
-        some, rest = gram[taught], gram[~taught]
-        room[front : front + len(some)] = some
-        room[back - len(rest) : back] = rest
-        front, back = front + len(some), back - len(rest)
-    found = [_sort_up(room[:front], 1), _sort_up(room[back:], 0)]
-    del room
+    words = []
     none = np.zeros(0, np.uint64)
-    return _merge([_sort_up(np.concatenate([none, *words]), 1), _sort_up(np.concatenate([none, *other_words]), 0)]), _merge(found)
+
+    def sorted_chunk(texts: list[bytes], learn: np.ndarray):
+        # a text has two grams more than bytes at most; those to learn from stand in front
+        room = np.empty(sum(map(len, texts)) + 2 * len(texts), np.uint64)
+        front, back = 0, len(room)
+        taught_words, other_words = [none], [none]
+        for part in c.slices(texts, SLICE_BYTES):
+            symbols, first, hashes, text = normal_form(part)
+            mine = learn[part.lo : part.hi]
+            taught_words.append(hashes[mine[text]])
+            other_words.append(hashes[~mine[text]])
+            at, gram = grams(symbols, first)
+            gram, taught = sent_form(gram), mine[np.searchsorted(first, at, "right") - 1]
+            some, rest = gram[taught], gram[~taught]
+            room[front : front + len(some)] = some
+            room[back - len(rest) : back] = rest
+            front, back = front + len(some), back - len(rest)
+        words.append(_merge([_sort_up(np.concatenate(taught_words), 1), _sort_up(np.concatenate(other_words), 0)]))
+        return _sort_up(room[:front], 1), _sort_up(room[back:], 0)
+
+    chunks = (sorted_chunk(texts[part.lo : part.hi], learn[part.lo : part.hi]) for part in c.slices(texts, CHUNK_BYTES))
+    found = sum_up(part for chunk in chunks for part in chunk)
+    return _merge(words), found
 
 
 def gram_range(sent: np.ndarray, ranges: int) -> np.ndarray:
-    return c.mix(sent >> np.uint64(64 - 8 * BASE)) % np.uint64(ranges)
+    out = np.empty(len(sent), np.int32)
+    for lo in range(0, len(sent), SLICE_BYTES):
+        part = slice(lo, lo + SLICE_BYTES)
+        out[part] = c.mix(sent[part] >> np.uint64(64 - 8 * BASE)) % np.uint64(ranges)
+    return out
 
 
 def _packed_blocks(batches, block_bytes: int):
@@ -342,6 +354,7 @@ def _block_words(key, tables):
     """Distinct words and grams of a block by range, with their training counts: a row for every range."""
     block, ranges = key[0].as_py(), tables.column("_ranges")[0].as_py()
     texts, learn = c.as_bytes(tables.column("text").combine_chunks()), np.array(tables.column("_learn").to_pylist(), bool)
+    del tables
     (words, counts), (gram, uses) = distinct(texts, learn)
     uses = uses.astype(np.int32)
     del texts
@@ -432,8 +445,9 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
             raise RuntimeError("the blocks were cut anew from rows in another order")
         left = _unpacked(rows[0])
         texts = c.as_bytes(left.column("text").combine_chunks())
+        left = left.drop_columns("text")
         n, v = pc.sum(right.column("tokens")).as_py() + ends, pc.sum(right.column("kinds")).as_py() + (1 if ends else 0)
-        (known, _), (gram, _) = distinct(texts, np.zeros(len(texts), bool))
+        known, gram = (keys for keys, _ in distinct(texts, np.zeros(len(texts), bool)))
         where = known % np.uint64(ranges)
         counts = np.zeros(len(known), np.int64)
         mine = _by_range(gram_range(gram, ranges), ranges)
